@@ -77,7 +77,7 @@ def normalize_encoding(name: Column) -> Column:
     key = _codec_key(n)
     valid = key.isin(CODEC_KEYS) | F.regexp_replace(key, r"\.", "_").isin(CODEC_KEYS)
     return (F.when((n.isNull()) | (n == ""), F.lit(None).cast("string"))
-            .when(alias.getItem(n).isNotNull(), alias.getItem(n))
+            .when(alias[n].isNotNull(), alias[n])
             .when(valid, n))
 
 
@@ -132,7 +132,9 @@ def with_encoding_info(df: DataFrame, content: str = "content", headers: str = "
     """
     h = charset_from_headers(F.col(headers)) if headers in df.columns else F.lit(None).cast("string")
     m = charset_from_meta(F.col(content))
-    man = normalize_encoding(manual) if manual is not None else F.lit(None).cast("string")
+    if manual is None:
+        manual = F.lit(None).cast("string")
+    man = normalize_encoding(manual)
     decided = (F.when(man.isNotNull(), _info(F.lower(F.trim(manual)), F.lit(1.0), F.lit(SOURCE_MANUAL),
                                              F.lit("manual_config")))
                .when(h.isNotNull(), _info(h, F.lit(1.0), F.lit(SOURCE_HEADER), F.lit("header")))

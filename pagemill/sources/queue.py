@@ -51,9 +51,9 @@ def decode_messages(messages: DataFrame, value_col: str = "value", missing_url:
         url=r["url"],
         method=F.upper(F.coalesce(F.nullif(r["method"], F.lit("")), F.lit("GET"))),
         headers=F.coalesce(r["headers"], EMPTY_MAP),
-        workflow_index=F.coalesce(r["meta.workflow_index"], F.lit(default_index)),
-        context=F.coalesce(r["meta.context"], EMPTY_MAP),
-        params=r["meta.params"], encoding=r["meta.encoding"],
+        workflow_index=F.coalesce(r["meta"]["workflow_index"], F.lit(default_index)),
+        context=F.coalesce(r["meta"]["context"], EMPTY_MAP),
+        params=r["meta"]["params"], encoding=r["meta"]["encoding"],
         dont_filter=F.coalesce(r["dont_filter"], F.lit(False)),
         seq=F.col("seq"),
     ))
