@@ -19,6 +19,7 @@ import pkgutil
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ---- fixed values ------------------------------------------------------------
 ENCODING_ALIASES = {
@@ -83,9 +84,9 @@ def normalize_encoding(name: Column) -> Column:
 
 def charset_from_headers(headers: Column) -> Column:
     """X11: charset of the Content-Type header (key case-insensitive)."""
-    ct = F.element_at(F.map_values(F.map_filter(
+    ct = F.get(F.map_values(F.map_filter(
         F.coalesce(headers, F.create_map().cast("map<string,string>")),
-        lambda k, v: F.lower(k) == "content-type")), 1)
+        lambda k, v: F.lower(k) == "content-type")), 0)
     raw = F.regexp_extract(ct, HEADER_CHARSET, 1)
     raw = F.regexp_replace(raw, r"^['\"]+|['\"]+$", "")
     return normalize_encoding(F.nullif(raw, F.lit("")))
@@ -98,7 +99,8 @@ def charset_from_meta(content: Column) -> Column:
     return normalize_encoding(found)
 
 
-@F.pandas_udf("struct<encoding:string,confidence:double>")
+@F.pandas_udf(T.StructType([T.StructField("encoding", T.StringType()),
+                             T.StructField("confidence", T.DoubleType())]))
 def _guess(content: pd.Series) -> pd.DataFrame:
     try:
         from charset_normalizer import from_bytes
@@ -153,7 +155,7 @@ def with_encoding_info(df: DataFrame, content: str = "content", headers: str = "
     return known.unionByName(rest)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decode_other(content: pd.Series, enc: pd.Series) -> pd.Series:
     out = []
     for b, e in zip(content, enc):

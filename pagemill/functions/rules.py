@@ -203,8 +203,8 @@ def values(dom: Column, rule: Rule, profile: str = "worker") -> Column:
         arr = F.transform(
             nids,
             lambda n: F.substr(html,
-                               F.element_at(starts, n.cast("int") + 1),
-                               F.element_at(lens, n.cast("int") + 1)),
+                               F.get(starts, n.cast("int")),
+                               F.get(lens, n.cast("int"))),
         )
     else:
         arr = F.xpath(xhtml, F.lit(xp))

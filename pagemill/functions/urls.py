@@ -7,9 +7,10 @@ from urllib.parse import urljoin as _py_urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _urljoin(base: pd.Series, ref: pd.Series) -> pd.Series:
     return pd.Series([
         None if b is None else _py_urljoin(b, "" if r is None else r)

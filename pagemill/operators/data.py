@@ -12,12 +12,13 @@ from collections import OrderedDict
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from pagemill.functions.common import empty_map
 from pyspark.sql import types as T
 
 from pagemill.config import Step, Workflow
 from pagemill.functions import rules as R
 
-EMPTY_MAP = F.create_map().cast("map<string,string>")
 
 
 def data_rules(step: Step) -> "OrderedDict[str, R.Rule]":
@@ -45,7 +46,7 @@ def data_step(responses: DataFrame, step: Step, wf: Workflow, profile: str = "wo
         F.lit(wf.task_id).alias("task_id"),
         F.lit(None if wf.task_name is None else str(wf.task_name)).cast("string").alias("task_name"),
         F.col("url").alias("source_url"),
-        F.coalesce(F.col("meta.context"), EMPTY_MAP).alias("context"),
+        F.coalesce(F.col("meta.context"), empty_map()).alias("context"),
         data_struct(step, profile, dom_col),
         F.col("body"),
         F.col("seq"),

@@ -26,12 +26,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.functions.common import empty_map
+
 from pagemill.functions.timefn import http_date, iso_with_offset, local_now, local_now_literal
 from pagemill.functions.urls import url_host
 from pagemill.operators.dedup import first_wins
 from pagemill.operators.requests import normalize_requests
 
-EMPTY_MAP = F.create_map().cast("map<string,string>")
 NO_PAGE = "no page for url in snapshot"
 
 
@@ -57,7 +58,7 @@ def fetch(requests: DataFrame, snapshot: DataFrame, profile: str = "worker",
     snap = snapshot.select(
         F.col("url").alias("_surl"), F.col("html").alias("_html"),
         (F.col("status") if "status" in snapshot.columns else F.lit(200)).cast("int").alias("_code"),
-        (F.col("headers") if "headers" in snapshot.columns else EMPTY_MAP).alias("_hdrs"),
+        (F.col("headers") if "headers" in snapshot.columns else empty_map()).alias("_hdrs"),
     )
     j = snap.join(req, snap["_surl"] == req["url"], "right")
     matched = F.col("_surl").isNotNull()
@@ -70,7 +71,7 @@ def fetch(requests: DataFrame, snapshot: DataFrame, profile: str = "worker",
         F.col("url"),
         F.when(ok, F.col("_code")).otherwise(F.lit(0)).alias("status"),
         http_status.alias("http_status"),
-        F.when(ok, F.coalesce(F.col("_hdrs"), EMPTY_MAP)).otherwise(EMPTY_MAP).alias("headers"),
+        F.when(ok, F.coalesce(F.col("_hdrs"), empty_map())).otherwise(empty_map()).alias("headers"),
         F.when(ok, F.coalesce(F.col("_html"), F.lit(""))).otherwise(F.lit("")).alias("body"),
         F.col("meta"),
         requested_at.alias("requested_at"),
@@ -87,8 +88,8 @@ def merge_headers(session_headers: dict, request_headers):
     """Request headers win over session defaults."""
     from pagemill.operators.links import overlay
     base = F.create_map(*[F.lit(x) for kv in session_headers.items() for x in kv]) \
-        if session_headers else EMPTY_MAP
-    return overlay(base, F.coalesce(request_headers, EMPTY_MAP))
+        if session_headers else empty_map()
+    return overlay(base, F.coalesce(request_headers, empty_map()))
 
 
 RESPONSE_SCHEMA = ("url string, status int, http_status int, headers map<string,string>, "

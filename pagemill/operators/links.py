@@ -16,11 +16,12 @@ from collections import OrderedDict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.functions.common import empty_map
+
 from pagemill.config import Step, Workflow
 from pagemill.functions import rules as R
 from pagemill.functions.urls import urljoin
 
-EMPTY_MAP = F.create_map().cast("map<string,string>")
 
 
 def cap_links(arr: Column, max_links) -> Column:
@@ -37,19 +38,19 @@ def padded_value(arr: Column, pos: Column) -> Column:
     """arr[pos] if present, else the last element; null if arr is empty."""
     return (F.when(F.size(arr) == 0, F.lit(None).cast("string"))
             .when(pos < F.size(arr), F.get(arr, pos))
-            .otherwise(F.element_at(arr, -1)))
+            .otherwise(F.get(arr, F.size(arr) - 1)))
 
 
 def overlay(parent: Column, child: Column) -> Column:
     """Child keys win over parent keys (no session-wide dedup policy needed)."""
     keys = F.map_keys(child)
-    kept = F.map_filter(F.coalesce(parent, EMPTY_MAP), lambda k, v: ~F.array_contains(keys, k))
+    kept = F.map_filter(F.coalesce(parent, empty_map()), lambda k, v: ~F.array_contains(keys, k))
     return F.map_concat(kept, child)
 
 
 def child_seq(seq: Column, pos: Column) -> Column:
     """seq of a child request: [round+1, parent path..., pos]."""
-    return F.concat(F.array(F.element_at(seq, 1) + 1),
+    return F.concat(F.array(F.get(seq, 0) + 1),
                     F.slice(seq, 2, F.greatest(F.size(seq) - 1, F.lit(0))),
                     F.array(pos.cast("long")))
 
@@ -90,18 +91,18 @@ def link_step(responses: DataFrame, step: Step, wf: Workflow, profile: str = "wo
     if entries:
         new_ctx = F.map_from_entries(F.filter(F.array(*entries), lambda e: e["v"].isNotNull()))
     else:
-        new_ctx = EMPTY_MAP
+        new_ctx = empty_map()
     if profile == "spider":
         # Blank links dropped (F8), no inherited context, no headers, dont_filter
         exploded = exploded.filter(F.col("_raw") != "")
         context = new_ctx
-        headers = EMPTY_MAP
+        headers = empty_map()
         dont_filter = F.lit(True)
     else:
         context = overlay(F.col("meta.context"), new_ctx)
         hdr = wf.default_headers()
         headers = (F.create_map(*[F.lit(x) for kv in hdr.items() for x in kv])
-                   if hdr else EMPTY_MAP)
+                   if hdr else empty_map())
         dont_filter = F.lit(False)
     return exploded.select(*request_columns(
         url=urljoin(F.col("_base"), F.col("_raw")),

@@ -8,7 +8,7 @@ one equi-join instead of a lookup per row (J2); pages use
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.operators.store import ArticleTables
@@ -26,6 +26,21 @@ def _with_content(store: ArticleTables, articles: DataFrame) -> DataFrame:
             .withColumn("content", F.coalesce(F.col("content"), F.lit(""))))
 
 
+def _page_with_content(store: ArticleTables, rows: DataFrame, order: list, limit: int,
+                       offset: int) -> DataFrame:
+    """A sorted page with its content joined.
+
+    ``orderBy().offset().limit()`` followed by a left join and a sort loses the
+    final sort under adaptive execution (seen on Spark 4.1.2), so the page is
+    taken as the top (offset + limit) rows, numbered (a window over those
+    bounded rows only), trimmed, joined, and sorted by the number.
+    """
+    top = rows.orderBy(*order).limit(int(offset) + int(limit))
+    numbered = top.withColumn("_rn", F.row_number().over(Window.orderBy(*order)))
+    page = numbered.filter(F.col("_rn") > int(offset))
+    return _with_content(store, page).orderBy("_rn").drop("_rn")
+
+
 def _extra(c: Column) -> Column:
     # stored JSON text; a null/empty value reads back as {}
     return F.coalesce(F.nullif(c, F.lit("")), F.lit("{}"))
@@ -59,10 +74,12 @@ def get_document_by_id(documents: DataFrame, doc_id) -> DataFrame:
 def get_articles_by_task(store: ArticleTables, task_id, include_content: bool = False,
                          limit: int = 100, offset: int = 0) -> DataFrame:
     """O1: newest first; id breaks ties (ties are unspecified in the source)."""
-    a = (_listing(store.articles.filter(F.col("task_id") == F.lit(str(task_id))))
-         .orderBy(F.col("created_at").desc(), F.col("id").desc())
-         .offset(int(offset)).limit(int(limit)))
-    return _with_content(store, a) if include_content else a
+    order = [F.col("created_at").desc(), F.col("id").desc()]
+    rows = _listing(store.articles.filter(F.col("task_id") == F.lit(str(task_id))))
+    if include_content:
+        # the page is small: content is joined to its rows only
+        return _page_with_content(store, rows, order, limit, offset)
+    return rows.orderBy(*order).offset(int(offset)).limit(int(limit))
 
 
 def get_documents_by_task(documents: DataFrame, task_id, limit: int = 100, skip: int = 0) -> DataFrame:
@@ -81,8 +98,10 @@ def get_all_articles(store: ArticleTables, include_content: bool = False, limit:
     direction = order_direction.upper() if order_direction.upper() in ORDER_DIRECTIONS else "DESC"
     key = F.col(order_by).asc() if direction == "ASC" else F.col(order_by).desc()
     tie = F.col("id").asc() if direction == "ASC" else F.col("id").desc()
-    a = _listing(store.articles).orderBy(key, tie).offset(int(offset)).limit(int(limit))
-    return _with_content(store, a) if include_content else a
+    rows = _listing(store.articles)
+    if include_content:
+        return _page_with_content(store, rows, [key, tie], limit, offset)
+    return rows.orderBy(key, tie).offset(int(offset)).limit(int(limit))
 
 
 def count_articles_by_task(articles: DataFrame, task_id) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemill.functions.common import empty_map
+
 from pagemill import schemas
 
-EMPTY_MAP = F.create_map().cast("map<string,string>")
 
 
 def request_columns(url: Column, headers: Column, workflow_index: Column, context: Column,
@@ -56,8 +57,8 @@ def seeds_from_urls(urls: DataFrame, url_col: str = "url", order_col: str | None
     """A table of start URLs -> requests at ``workflow_index`` (seq = [0, order])."""
     order = F.col(order_col) if order_col else F.monotonically_increasing_id()
     return urls.select(*request_columns(
-        url=F.col(url_col), headers=EMPTY_MAP, workflow_index=F.lit(workflow_index),
-        context=context if context is not None else EMPTY_MAP,
+        url=F.col(url_col), headers=empty_map(), workflow_index=F.lit(workflow_index),
+        context=context if context is not None else empty_map(),
         dont_filter=F.lit(False), seq=F.array(F.lit(0).cast("long"), order.cast("long")),
     ))
 
@@ -67,10 +68,10 @@ def normalize_requests(df: DataFrame) -> DataFrame:
     requests without a url dropped (F2: skipped, not dead-lettered)."""
     return (df.filter(F.coalesce(F.col("url"), F.lit("")) != "")
             .withColumn("method", F.upper(F.coalesce(F.nullif(F.col("method"), F.lit("")), F.lit("GET"))))
-            .withColumn("headers", F.coalesce(F.col("headers"), EMPTY_MAP))
+            .withColumn("headers", F.coalesce(F.col("headers"), empty_map()))
             .withColumn("meta", F.struct(
                 F.coalesce(F.col("meta.workflow_index"), F.lit(0)).alias("workflow_index"),
-                F.coalesce(F.col("meta.context"), EMPTY_MAP).alias("context"),
+                F.coalesce(F.col("meta.context"), empty_map()).alias("context"),
                 F.col("meta.params").alias("params"),
                 F.col("meta.encoding").alias("encoding")))
             .withColumn("dont_filter", F.coalesce(F.col("dont_filter"), F.lit(False))))

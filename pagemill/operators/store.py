@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill import schemas
 from pagemill.functions.hashing import article_id, content_hash, link_hash
@@ -220,7 +221,8 @@ class ArticleStore:
             if not _exists(spark, path):
                 return spark.createDataFrame([], schema)
             cols = [f.name for f in schema.fields]
-            return spark.read.schema(schema.add("batch", "string")).parquet(path).select(*cols)
+            with_batch = T.StructType(list(schema.fields) + [T.StructField("batch", T.StringType())])
+            return spark.read.schema(with_batch).parquet(path).select(*cols)
         return ArticleTables(read("articles", schemas.ARTICLES),
                              read("article_contents", schemas.ARTICLE_CONTENTS))
 

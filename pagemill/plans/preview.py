@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.functions.common import empty_map
+
 from pagemill.config import STEP_DATA, STEP_LINKS, STEP_REQUEST, Step, Workflow
 from pagemill.functions import rules as R
 from pagemill.functions.html import content_length, with_dom
@@ -28,7 +30,6 @@ from pagemill.operators.data import preview_data
 from pagemill.operators.links import cap_links, preview_links
 
 RESULT_TYPE = "map<string,array<string>>"
-EMPTY_RESULT = F.create_map().cast(RESULT_TYPE)
 
 
 def _row(df: DataFrame, step: Step, result: Column, error: Column | None = None,
@@ -54,13 +55,13 @@ def preview_step(pages: DataFrame, step: Step, html_col: str = "html") -> DataFr
     df = with_dom(pages, html_col, _spans([step]))
     if step.type == STEP_LINKS:
         if not step.link_rules:
-            return _row(df, step, EMPTY_RESULT, warning=F.lit("No link extraction rules configured"))
+            return _row(df, step, empty_map(RESULT_TYPE), warning=F.lit("No link extraction rules configured"))
         return _row(df, step, preview_links(df, step))
     if step.type == STEP_DATA:
         if not step.data_rules:
-            return _row(df, step, EMPTY_RESULT, warning=F.lit("No extraction rules configured"))
+            return _row(df, step, empty_map(RESULT_TYPE), warning=F.lit("No extraction rules configured"))
         return _row(df, step, preview_data(step))
-    return _row(df, step, EMPTY_RESULT, warning=F.lit(f"Unsupported step type: {step.type}"))
+    return _row(df, step, empty_map(RESULT_TYPE), warning=F.lit(f"Unsupported step type: {step.type}"))
 
 
 def preview_workflow(pages: DataFrame, wf: Workflow, snapshot: DataFrame | None = None,
@@ -82,7 +83,7 @@ def preview_workflow(pages: DataFrame, wf: Workflow, snapshot: DataFrame | None
         elif step.type == STEP_LINKS:
             last_link_step = step
             if not step.link_rules:
-                rows.append(_row(cur, step, EMPTY_RESULT,
+                rows.append(_row(cur, step, empty_map(RESULT_TYPE),
                                  warning=F.lit("No link extraction rules configured")))
                 continue
             res = preview_links(cur, step)
@@ -103,7 +104,7 @@ def preview_workflow(pages: DataFrame, wf: Workflow, snapshot: DataFrame | None
             in_range = has & F.lit(0 <= link_index) & (F.lit(link_index) < n)
             # Out-of-range index -> error row; no links -> extract on the page itself
             out_of_range = cur.filter(has & ~in_range)
-            rows.append(_row(out_of_range, step, EMPTY_RESULT, error=F.concat(
+            rows.append(_row(out_of_range, step, empty_map(RESULT_TYPE), error=F.concat(
                 F.lit(f"link index {link_index} out of range (0-"), (n - 1).cast("string"), F.lit(")"))))
             same = cur.filter(~has)
             follow = cur.filter(in_range).withColumn(
@@ -117,7 +118,7 @@ def preview_workflow(pages: DataFrame, wf: Workflow, snapshot: DataFrame | None
                 j = follow.withColumn("_surl", F.lit(None).cast("string")) \
                     .withColumn("_html", F.lit(None).cast("string")).withColumn("_code", F.lit(None).cast("int"))
             failed = j.filter(F.col("_surl").isNull() | (F.col("_code") >= 400))
-            rows.append(_row(failed, step, EMPTY_RESULT, error=F.concat(
+            rows.append(_row(failed, step, empty_map(RESULT_TYPE), error=F.concat(
                 F.lit("detail page request failed: "),
                 F.when(F.col("_surl").isNull(), F.lit("no page")).otherwise(
                     F.concat(F.lit("HTTP "), F.col("_code").cast("string"))),
@@ -127,12 +128,12 @@ def preview_workflow(pages: DataFrame, wf: Workflow, snapshot: DataFrame | None
             detail = with_dom(detail, "body", spans)
             target = same.select(*detail.columns).unionByName(detail)
             if not step.data_rules:
-                rows.append(_row(target, step, EMPTY_RESULT,
+                rows.append(_row(target, step, empty_map(RESULT_TYPE),
                                  warning=F.lit("No extraction rules configured")))
             else:
                 rows.append(_row(target, step, preview_data(step)))
         else:
-            rows.append(_row(cur, step, EMPTY_RESULT,
+            rows.append(_row(cur, step, empty_map(RESULT_TYPE),
                              warning=F.lit(f"Unknown step type: {step.type}")))
     return reduce(lambda a, b: a.unionByName(b), rows)
 

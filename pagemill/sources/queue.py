@@ -12,9 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemill.functions.common import empty_map
+
 from pagemill import schemas
 from pagemill.functions.urls import mask_url
-from pagemill.operators.requests import EMPTY_MAP, request_columns
+from pagemill.operators.requests import request_columns
 
 MESSAGE_SCHEMA = (
     "url string, method string, headers map<string,string>, "
@@ -50,9 +52,9 @@ def decode_messages(messages: DataFrame, value_col: str = "value", missing_url:
     requests = parsed.filter(has_url).select(*request_columns(
         url=r["url"],
         method=F.upper(F.coalesce(F.nullif(r["method"], F.lit("")), F.lit("GET"))),
-        headers=F.coalesce(r["headers"], EMPTY_MAP),
+        headers=F.coalesce(r["headers"], empty_map()),
         workflow_index=F.coalesce(r["meta"]["workflow_index"], F.lit(default_index)),
-        context=F.coalesce(r["meta"]["context"], EMPTY_MAP),
+        context=F.coalesce(r["meta"]["context"], empty_map()),
         params=r["meta"]["params"], encoding=r["meta"]["encoding"],
         dont_filter=F.coalesce(r["dont_filter"], F.lit(False)),
         seq=F.col("seq"),
@@ -80,14 +82,14 @@ def requests_from_pending(pending: DataFrame, since_id: int | None = None) -> Da
 
     meta_in = js("meta_json")
     params = js("params_json")
-    ctx = F.map_filter(F.coalesce(meta_in, EMPTY_MAP), lambda k, v: k != "workflow_index")
+    ctx = F.map_filter(F.coalesce(meta_in, empty_map()), lambda k, v: k != "workflow_index")
     return df.select(*request_columns(
         url=F.col("url"),
         method=F.coalesce(F.nullif(F.col("method"), F.lit("")), F.lit("GET")),
-        headers=F.coalesce(js("headers_json"), EMPTY_MAP),
+        headers=F.coalesce(js("headers_json"), empty_map()),
         workflow_index=F.coalesce(meta_in.getItem("workflow_index").cast("int"), F.lit(0)),
         context=ctx,
-        params=F.when(F.size(F.coalesce(params, EMPTY_MAP)) > 0, params),
+        params=F.when(F.size(F.coalesce(params, empty_map())) > 0, params),
         dont_filter=F.lit(False),
         seq=F.array(F.lit(0).cast("long"), F.col("id").cast("long")),
     ))

@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemill.functions.common import empty_map
+
 from pagemill.functions.hashing import md5_or_empty
 from pagemill.session import spread
 
-EMPTY_MAP = F.create_map().cast("map<string,string>")
 
 # fixed values: how document rows are presented as articles
 DOC_LINK_PREFIX = "https://docs.example.org/"
@@ -42,10 +43,10 @@ def responses_from_pages(pages: DataFrame, workflow_index: int = 0,
         F.col("url"),
         F.lit(200).alias("status"),
         F.lit(200).alias("http_status"),
-        EMPTY_MAP.alias("headers"),
+        empty_map().alias("headers"),
         F.col("html").alias("body"),
         F.struct(F.lit(workflow_index).cast("int").alias("workflow_index"),
-                 (context if context is not None else EMPTY_MAP).alias("context"),
+                 (context if context is not None else empty_map()).alias("context"),
                  F.lit(None).cast("map<string,string>").alias("params"),
                  F.lit(None).cast("string").alias("encoding")).alias("meta"),
         F.array(F.lit(0).cast("long"), F.col("page_id").cast("long")).alias("seq"),
