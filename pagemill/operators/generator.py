@@ -37,7 +37,7 @@ def run_generator(items: DataFrame, name: str, next_index: int, default_headers:
     if name not in GENERATORS:
         raise KeyError(f"no generator registered under {name!r}")
     fn = GENERATORS[name]
-    src = items.select("source_url", "body", F.to_json("data").alias("_data"), "seq")
+    src = items.select("source_url", "body", F.to_json("data").alias("data_json"), "seq")
 
     def run(batches):
         for pdf in batches:
@@ -45,7 +45,7 @@ def run_generator(items: DataFrame, name: str, next_index: int, default_headers:
             for r in pdf.itertuples(index=False):
                 parent = list(r.seq)
                 try:
-                    produced = list(fn(r.body or "", r.source_url, json.loads(r._data or "{}")) or [])
+                    produced = list(fn(r.body or "", r.source_url, json.loads(r.data_json or "{}")) or [])
                 except Exception as exc:  # the item goes to the dead letters
                     rows.append((None, None, None, None, None, None, None, None, parent, 0,
                                  f"generator failed: {exc}", r.source_url))

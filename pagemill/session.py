@@ -14,6 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "pagemill") -> SparkSession:
+    # local Python workers import the package from its source folder (on a
+    # cluster it is shipped with --py-files or installed on the executors)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root] + paths)
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
