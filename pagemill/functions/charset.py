@@ -190,3 +190,59 @@ def with_decoded_body(df: DataFrame, content: str = "content", info: str = "enco
     other = df.filter(~_is_utf8(enc) & F.col(content).isNotNull()).withColumn(
         out, _decode_other(F.col(content), enc))
     return native.unionByName(other)
+
+
+@F.pandas_udf(T.StructType([T.StructField("encoding", T.StringType()),
+                            T.StructField("confidence", T.DoubleType()),
+                            T.StructField("body", T.StringType())]))
+def _guess_and_decode(content: pd.Series, enc: pd.Series, statistical: pd.Series) -> pd.DataFrame:
+    try:
+        from charset_normalizer import from_bytes
+    except ImportError:
+        from_bytes = None
+    out = []
+    for b, e, stat in zip(content, enc, statistical):
+        if b is None:
+            out.append((e or "utf-8", None, None))
+            continue
+        b = bytes(b)
+        conf = None
+        if e is None:
+            e, conf = "utf-8", 0.0
+            if stat and len(b) and from_bytes is not None:
+                best = from_bytes(b).best()
+                if best is not None:
+                    e, conf = best.encoding, float(1.0 - best.chaos)
+        try:
+            text = b.decode(e, errors="replace")
+        except (LookupError, TypeError):
+            text = b.decode("utf-8", errors="replace")
+        out.append((e, conf, text))
+    return pd.DataFrame(out, columns=["encoding", "confidence", "body"])
+
+
+def decode_content(df: DataFrame, content: str = "content", headers: str = "headers",
+                   manual: Column | None = None, statistical: bool = True,
+                   info: str = "encoding_info", out: str = "body") -> DataFrame:
+    """X14-X17 in two branches: rows whose charset is decided by manual /
+    header / meta evidence and is UTF-8 decode JVM-side; every other row goes
+    through one pandas UDF that guesses (if undecided) and decodes."""
+    decided = with_encoding_info(df, content, headers, manual, statistical=False, out="_dec")
+    src = F.col("_dec.source")
+    undecided = src == SOURCE_DEFAULT
+    native = decided.filter(~undecided & _is_utf8(F.col("_dec.encoding"))).withColumn(
+        out, F.coalesce(decode_utf8(F.col(content)), F.lit("")))
+    native = native.withColumnRenamed("_dec", info)
+    rest = decided.filter(undecided | ~_is_utf8(F.col("_dec.encoding")))
+    g = _guess_and_decode(F.col(content), F.when(~undecided, F.col("_dec.encoding")),
+                          F.lit(bool(statistical)))
+    rest = rest.withColumn("_g", g)
+    guessed = F.col("_g.confidence").isNotNull() & (F.col("_g.confidence") > 0) & undecided
+    rest = (rest.withColumn(info, F.when(
+                ~undecided, F.col("_dec"))
+                .when(guessed, _info(F.col("_g.encoding"), F.col("_g.confidence"),
+                                     F.lit(SOURCE_STAT), F.lit("chardet")))
+                .otherwise(F.col("_dec")))
+            .withColumn(out, F.coalesce(F.col("_g.body"), F.lit("")))
+            .drop("_g", "_dec"))
+    return native.unionByName(rest)

@@ -8,8 +8,9 @@ Two forms:
   and otherwise shuffles only the frontier when the snapshot is already
   hash-partitioned by url (``page_snapshot``).
 * ``fetch_with(requests, fetcher)`` – a user-supplied client called inside
-  ``mapInPandas`` over ``repartition(n, host)`` (politeness per host, one
-  session per partition), with the retry policy of E3.
+  ``mapInPandas`` over ``repartition(n, host, salt)`` (politeness per task,
+  hot hosts split over a few tasks, one client per partition), with the
+  retry policy of E3.
 
 Response projection (F1): a response with HTTP status >= 400 counts as
 failed: status 0, empty headers and body, error null; the true code is
@@ -100,20 +101,26 @@ RESPONSE_SCHEMA = ("url string, status int, http_status int, headers map<string,
 
 def fetch_with(requests: DataFrame, fetcher: Callable, num_partitions: int | None = None,
                max_retries: int = 3, retry_delay_s: float = 1.0, min_interval_s: float = 0.0,
-               retryable: tuple = (TimeoutError, ConnectionError)) -> DataFrame:
+               retryable: tuple = (TimeoutError, ConnectionError),
+               per_host_parallelism: int = 4) -> DataFrame:
     """E1 (callable form), E3, E5: call ``fetcher(url, method, headers, params, data, json)``
     -> (status, headers dict, content bytes) for each request.
 
-    Requests are grouped by host so one task handles one host's requests
-    sequentially (``min_interval_s`` between calls); ``num_partitions`` plays
+    Requests are grouped by host and split into ``per_host_parallelism``
+    salted groups (by url hash), so a host holding a large share of the
+    frontier is served by several tasks instead of one, each sequential with
+    ``min_interval_s`` between calls (a host sees at most
+    ``per_host_parallelism`` requests per interval); ``num_partitions`` plays
     the role of the concurrency setting. Retryable errors are retried up to
     ``max_retries`` attempts with ``retry_delay_s`` between; any other
     exception stops at once. The error text is cleared when a later attempt
     succeeds.
     """
-    req = normalize_requests(requests).withColumn("_host", url_host(F.col("url")))
+    salt = F.pmod(F.xxhash64(F.col("url")), F.lit(max(1, int(per_host_parallelism))))
+    req = (normalize_requests(requests).withColumn("_host", url_host(F.col("url")))
+           .withColumn("_salt", salt))
     n = num_partitions or req.sparkSession.sparkContext.defaultParallelism
-    req = req.repartition(n, "_host")
+    req = req.repartition(n, "_host", "_salt")
 
     def run(batches):
         last = 0.0

@@ -76,6 +76,14 @@ def prepare(batch: DataFrame, batch_id: int | str = 0, as_of: str | None = None)
     )
 
 
+def _not_stored(winners: DataFrame, stored_keys: DataFrame, key: str) -> DataFrame:
+    """Winners whose key is not stored yet. Rows with an empty key are never
+    matched, so they bypass the join (they would all meet on one key)."""
+    keyed = winners.filter(F.col(key) != "")
+    new = keyed.join(stored_keys, keyed[key] == stored_keys["_k"], "left_anti")
+    return new.unionByName(winners.filter(F.col(key) == ""))
+
+
 def save_articles(store: ArticleTables, batch: DataFrame, batch_id: int | str = 0,
                   as_of: str | None = None, dedup_on: str = "link_hash") -> SaveResult:
     """K6: first-wins by link hash within the batch and against the store."""
@@ -84,7 +92,7 @@ def save_articles(store: ArticleTables, batch: DataFrame, batch_id: int | str =
     stored_keys = store.articles.select(F.col(dedup_on).alias("_k")).filter(F.col("_k") != "")
     if dedup_on == "content_hash":
         stored_keys = store.contents.select(F.col("content_hash").alias("_k")).filter(F.col("_k") != "")
-    new = winners.join(stored_keys, winners[dedup_on] == stored_keys["_k"], "left_anti")
+    new = _not_stored(winners, stored_keys, dedup_on)
     articles = new.select(*[f.name for f in schemas.ARTICLES.fields])
     contents = new.filter(F.col("content") != "").select(
         F.col("id").alias("article_id"), "content", "content_hash", "created_at")
@@ -142,7 +150,7 @@ def save_documents(documents: DataFrame, batch: DataFrame, batch_id: int | str =
     prepared = prepare(batch, batch_id, as_of)
     winners = first_wins(prepared, "link_hash", "seq", bypass_empty=True)
     stored = documents.select(F.col("link_hash").alias("_k")).filter(F.col("_k") != "")
-    new = winners.join(stored, winners["link_hash"] == stored["_k"], "left_anti")
+    new = _not_stored(winners, stored, "link_hash")
     docs = new.select(F.col("id").cast("string").alias("id"), "task_id", "title", "link", "link_hash",
                       "content", "content_hash", "source_url", F.parse_json("extra").alias("extra"),
                       "created_at", F.col("created_at").alias("updated_at"))

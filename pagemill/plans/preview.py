@@ -28,6 +28,7 @@ from pagemill.functions.html import content_length, with_dom
 from pagemill.functions.urls import urljoin
 from pagemill.operators.data import preview_data
 from pagemill.operators.links import cap_links, preview_links
+from pagemill.session import cut_lineage
 
 RESULT_TYPE = "map<string,array<string>>"
 
@@ -69,7 +70,8 @@ def preview_workflow(pages: DataFrame, wf: Workflow, snapshot: DataFrame | None
     """Run all steps on every page (page_id, url, html)."""
     spans = _spans(wf)
     cur = with_dom(pages.select("page_id", "url", F.col(html_col).alias("body")), "body", spans)
-    cur = cur.withColumn("_links", F.lit(None).cast("array<string>"))
+    # every step row below reads the normalised pages: materialise them once
+    cur = cut_lineage(cur).withColumn("_links", F.lit(None).cast("array<string>"))
     rows = []
     last_link_step = None
     for step in wf.steps:

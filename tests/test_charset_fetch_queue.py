@@ -130,3 +130,14 @@ def test_pending_requests(spark):
     assert a.params is None and a.meta.context == {"test": "true"}
     assert b.method == "POST" and b.headers == {} and b.meta.params is None
     assert requests_from_pending(pending, since_id=1).count() == 1
+
+
+def test_decode_content_matches_two_step_form(spark, decoded):
+    df = spark.createDataFrame(_charset_rows(),
+                               "name string, content binary, headers map<string,string>, manual string")
+    got = {r.name: r for r in CH.decode_content(df, manual=F.col("manual")).collect()}
+    assert set(got) == set(decoded)
+    for name, r in got.items():
+        assert r.body == decoded[name].body, name
+        assert r.encoding_info.encoding == decoded[name].encoding_info.encoding, name
+        assert r.encoding_info.source == decoded[name].encoding_info.source, name
