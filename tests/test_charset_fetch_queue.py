@@ -141,3 +141,32 @@ def test_decode_content_matches_two_step_form(spark, decoded):
         assert r.body == decoded[name].body, name
         assert r.encoding_info.encoding == decoded[name].encoding_info.encoding, name
         assert r.encoding_info.source == decoded[name].encoding_info.source, name
+
+
+def test_merge_headers_request_wins(spark):
+    from pagemill.operators.fetch import merge_headers
+
+    df = spark.createDataFrame([({"User-Agent": "req", "X": "1"},), (None,)], "h map<string,string>")
+    got = [r[0] for r in df.select(merge_headers({"User-Agent": "session", "Accept": "*/*"}, F.col("h"))).collect()]
+    assert got[0] == {"Accept": "*/*", "User-Agent": "req", "X": "1"}
+    assert got[1] == {"User-Agent": "session", "Accept": "*/*"}
+
+
+def test_run_sql_named_parameters(spark):
+    from pagemill.sources.queue import run_sql
+
+    spark.createDataFrame([("t1", 1), ("t2", 2)], "task_id string, n int").createOrReplaceTempView("arts")
+    got = run_sql(spark, "SELECT n FROM arts WHERE task_id = :task", task="t2").collect()
+    assert [r.n for r in got] == [2]
+
+
+def test_step_manual_encoding(spark):
+    from pagemill.config import parse_config
+
+    step = parse_config({"taskInfo": {}, "workflowSteps": [
+        {"type": "data_extraction", "config": {"encodingMode": "manual", "encoding": "gbk"}},
+        {"type": "data_extraction", "config": {"encodingMode": "auto", "encoding": "gbk"}}]}).steps
+    assert step[0].manual_encoding == "gbk" and step[1].manual_encoding is None
+    df = spark.createDataFrame([(TEXT.encode("gbk"),)], "content binary")
+    out = CH.decode_content(df, headers="none", manual=F.lit(step[0].manual_encoding)).first()
+    assert out.body == TEXT and out.encoding_info.source == "manual"
