@@ -4,33 +4,35 @@ The reference gets first-wins from one-at-a-time processing in queue order.
 Here every row carries a unique, comparable ``seq`` and the winner of a key
 is the row with the smallest ``seq``:
 
-  1. ``groupBy(key).agg(min(seq))`` – map-side partial aggregation, so a
-     key holding a third of all rows is reduced to one row per map task
-     before the shuffle;
-  2. left-semi join back on the *pair* (key, seq) – the pair is unique per
-     row, so the join is hash-partitioned without a hot key.
-
-No window over a hot partition, nothing collected, no row dropped other
-than the losers.
+    groupBy(key).agg(min_by(struct(row), seq))
+
+One pass over the input (an expensive upstream – page parsing, rule
+evaluation – is computed once), and map-side partial aggregation keeps one
+row per key per task, so a key holding a third of all rows reaches the
+shuffle as one row per map task. Rows whose key is '' are never
+de-duplicated: they get a per-row group key, so they are all kept and
+spread over tasks instead of meeting on one key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def spread_key(key: Column, order: Column) -> Column:
+    """``key``, or a per-row key (never equal to a real key) when it is ''."""
+    per_row = F.concat(F.lit("\u0000"), F.to_json(F.array(order)))
+    return F.when(F.coalesce(key, F.lit("")) == "", per_row).otherwise(key)
+
+
 def first_wins(df: DataFrame, key: str, order: str = "seq", bypass_empty: bool = False) -> DataFrame:
     """Rows of ``df`` that are first (smallest ``order``) for their ``key``.
 
     ``bypass_empty``: rows whose key is '' are never de-duplicated (all kept).
     """
-    winners = (df.groupBy(key).agg(F.min(order).alias("_win_order"))
-               .withColumnRenamed(key, "_win_key"))
-    cond = (df[key] == winners["_win_key"]) & (df[order] == winners["_win_order"])
-    if not bypass_empty:
-        return df.join(winners, cond, "left_semi")
-    keyed = df.filter(F.col(key) != "")
-    winners = winners.filter(F.col("_win_key") != "")
-    cond = (keyed[key] == winners["_win_key"]) & (keyed[order] == winners["_win_order"])
-    return keyed.join(winners, cond, "left_semi").unionByName(df.filter(F.col(key) == ""))
+    cols = df.columns
+    gkey = spread_key(F.col(key), F.col(order)) if bypass_empty else F.col(key)
+    return (df.groupBy(gkey.alias("_first_wins_key"))
+            .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order)).alias("_r"))
+            .select(*[F.col("_r")[c].alias(c) for c in cols]))

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pagemill import schemas
 from pagemill.functions.hashing import article_id, content_hash, link_hash
 from pagemill.functions.timefn import local_now_literal
-from pagemill.operators.dedup import first_wins
+from pagemill.operators.dedup import first_wins, spread_key
 
 
 @dataclass
@@ -43,10 +43,26 @@ class ArticleTables:
 
 @dataclass
 class SaveResult:
-    articles: DataFrame      # rows to append to ``articles``
-    contents: DataFrame      # rows to append to ``article_contents``
+    rows: DataFrame          # the new articles, with content (one frame for both tables)
     outcomes: DataFrame      # per input row: seq, article_id, status inserted|existing
 
+    @property
+    def articles(self) -> DataFrame:
+        """Rows to append to ``articles``."""
+        return self.rows.select(*[f.name for f in schemas.ARTICLES.fields])
+
+    @property
+    def contents(self) -> DataFrame:
+        """Rows to append to ``article_contents`` (only non-empty content)."""
+        return self.rows.filter(F.col("content") != "").select(
+            F.col("id").alias("article_id"), "content", "content_hash", "created_at")
+
+    def materialized(self) -> "SaveResult":
+        """The same result with the new rows written once to the checkpoint
+        folder, so writing both tables does not recompute the batch."""
+        from pagemill.session import cut_lineage
+        return SaveResult(cut_lineage(self.rows), self.outcomes)
+
 
 def _seq_key(seq: Column) -> Column:
     return F.concat_ws(":", F.transform(seq, lambda x: x.cast("string")))
@@ -77,11 +93,11 @@ def prepare(batch: DataFrame, batch_id: int | str = 0, as_of: str | None = None)
 
 
 def _not_stored(winners: DataFrame, stored_keys: DataFrame, key: str) -> DataFrame:
-    """Winners whose key is not stored yet. Rows with an empty key are never
-    matched, so they bypass the join (they would all meet on one key)."""
-    keyed = winners.filter(F.col(key) != "")
-    new = keyed.join(stored_keys, keyed[key] == stored_keys["_k"], "left_anti")
-    return new.unionByName(winners.filter(F.col(key) == ""))
+    """Winners whose key is not stored yet, in one pass. Rows with an empty key
+    are never matched: they join on a per-row key (``spread_key``) that no
+    stored hash can equal, so they are kept and do not meet on one key."""
+    probe = winners.withColumn("_probe", spread_key(F.col(key), F.col("seq")))
+    return probe.join(stored_keys, probe["_probe"] == stored_keys["_k"], "left_anti").drop("_probe")
 
 
 def save_articles(store: ArticleTables, batch: DataFrame, batch_id: int | str = 0,
@@ -93,15 +109,12 @@ def save_articles(store: ArticleTables, batch: DataFrame, batch_id: int | str =
     if dedup_on == "content_hash":
         stored_keys = store.contents.select(F.col("content_hash").alias("_k")).filter(F.col("_k") != "")
     new = _not_stored(winners, stored_keys, dedup_on)
-    articles = new.select(*[f.name for f in schemas.ARTICLES.fields])
-    contents = new.filter(F.col("content") != "").select(
-        F.col("id").alias("article_id"), "content", "content_hash", "created_at")
     inserted = new.select(F.col("seq").alias("_seq"), F.lit(True).alias("_ins"))
     outcomes = (prepared.join(inserted, prepared["seq"] == inserted["_seq"], "left")
                 .select("seq", F.col("id").alias("article_id"),
                         F.when(F.col("_ins"), F.lit("inserted")).otherwise(F.lit("existing"))
                         .alias("status")))
-    return SaveResult(articles, contents, outcomes)
+    return SaveResult(new, outcomes)
 
 
 def apply_save(store: ArticleTables, result: SaveResult) -> ArticleTables:
@@ -237,6 +250,7 @@ class ArticleStore:
     def append(self, result: SaveResult, batch_id) -> bool:
         if self.committed(batch_id):
             return False
+        result = result.materialized()  # both tables from one computation
         for table, df in (("articles", result.articles), ("article_contents", result.contents)):
             (df.withColumn("batch", F.lit(str(batch_id))).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch")

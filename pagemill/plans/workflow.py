@@ -103,6 +103,8 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
         raise ValueError("workflow has no data_extraction step reached")
     # data structs of several data steps differ: union by name, missing fields null
     items = _union(items_parts, None, allow_missing=True)
+    if checkpoint:  # items feed the queue, the store and the caller: extract them once
+        items = cut_lineage(items)
     queued = items.filter(F.col("route") == "queue")
     to_store = items.filter(F.col("route") == "store")
     saved = None
