@@ -38,28 +38,41 @@ NO_PAGE = "no page for url in snapshot"
 
 
 def page_snapshot(pages: DataFrame, url_col: str = "url", html_col: str = "html",
-                  version_col: str = "page_id", partitions: int | None = None) -> DataFrame:
-    """One page per url (the highest ``version_col`` wins), hash-partitioned by url.
-
-    Build it once per workflow run and reuse it every round: later joins on
-    url then shuffle only the request side.
+                  version_col: str = "page_id", unique_urls: bool = False) -> DataFrame:
+    """One page per url (the highest ``version_col`` wins).
+
+    The de-duplication is a ``groupBy(url)`` with map-side partial
+    aggregation, so its output is already hash-partitioned by url and a later
+    sort-merge join with a large frontier shuffles only the frontier. When
+    urls are known to be unique (``unique_urls``) nothing is shuffled here and
+    a small frontier can be broadcast against the plain scan.
     """
-    extra = [c for c in ("status", "headers") if c in pages.columns]
+    extra = [c for c in ("status", "headers", "content") if c in pages.columns]
     snap = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         (-F.col(version_col).cast("long")).alias("_order"), *extra)
-    snap = first_wins(snap, "url", "_order").drop("_order")
-    n = partitions or pages.sparkSession.sparkContext.defaultParallelism
-    return snap.repartition(n, "url")
+    if unique_urls:
+        return snap.drop("_order")
+    return first_wins(snap, "url", "_order").drop("_order")
 
 
 def fetch(requests: DataFrame, snapshot: DataFrame, profile: str = "worker",
-          as_of: str | None = None, on_failed_fetch: str = "keep") -> DataFrame:
-    """Responses for ``requests`` from ``snapshot`` (url, html[, status, headers])."""
+          as_of: str | None = None, on_failed_fetch: str = "keep",
+          charset: bool = True) -> DataFrame:
+    """Responses for ``requests`` from ``snapshot``
+    (url, html[, status, headers, content]).
+
+    ``charset``: add encoding, encoding_confidence, encoding_source and
+    body_reencoded (X16-X19). A snapshot with raw ``content`` bytes is decoded
+    (request ``meta.encoding`` > Content-Type header > meta tag > guess); a
+    text snapshot is reported by header / meta evidence and kept as is.
+    """
     req = normalize_requests(requests)
+    has_bytes = "content" in snapshot.columns
     snap = snapshot.select(
         F.col("url").alias("_surl"), F.col("html").alias("_html"),
         (F.col("status") if "status" in snapshot.columns else F.lit(200)).cast("int").alias("_code"),
         (F.col("headers") if "headers" in snapshot.columns else empty_map()).alias("_hdrs"),
+        *([F.col("content").alias("_content")] if has_bytes else []),
     )
     j = snap.join(req, snap["_surl"] == req["url"], "right")
     matched = F.col("_surl").isNotNull()
@@ -74,6 +87,7 @@ def fetch(requests: DataFrame, snapshot: DataFrame, profile: str = "worker",
         http_status.alias("http_status"),
         F.when(ok, F.coalesce(F.col("_hdrs"), empty_map())).otherwise(empty_map()).alias("headers"),
         F.when(ok, F.coalesce(F.col("_html"), F.lit(""))).otherwise(F.lit("")).alias("body"),
+        *([F.when(ok, F.col("_content")).alias("content")] if has_bytes else []),
         F.col("meta"),
         requested_at.alias("requested_at"),
         F.when(~matched, F.lit(NO_PAGE)).alias("error"),
@@ -82,9 +96,38 @@ def fetch(requests: DataFrame, snapshot: DataFrame, profile: str = "worker",
     )
     if on_failed_fetch == "drop":
         out = out.filter(F.col("status") != 0)
+    if charset:
+        out = with_charset_columns(out, decode_bytes=has_bytes)
     return out
 
 
+def with_charset_columns(responses: DataFrame, decode_bytes: bool) -> DataFrame:
+    """X16-X19 columns on responses; only successful responses carry them."""
+    from pagemill.functions import charset as CH
+
+    ok = F.col("status") != 0
+    if decode_bytes:
+        dec = CH.decode_content(responses, "content", "headers", manual=F.col("meta.encoding"),
+                                info="_enc", out="_decoded")
+        declared = CH.charset_from_headers(F.col("headers"))
+        dec = dec.withColumn("body", F.when(ok, F.col("_decoded")).otherwise(F.col("body")))
+        # the text as the header declared it differs from ours only when we
+        # decoded with another charset (manual override); unknown without one
+        reencoded = F.when(declared.isNotNull(), F.col("_enc.encoding") != declared)
+        out = dec.drop("_decoded", "content")
+    else:
+        out = CH.with_encoding_info(
+            responses.withColumn("_bytes", F.encode(F.substring("body", 1, CH.META_SCAN_BYTES), "UTF-8")),
+            "_bytes", "headers", manual=F.col("meta.encoding"), statistical=False,
+            out="_enc").drop("_bytes")
+        reencoded = F.lit(False)
+    return (out.withColumn("encoding", F.when(ok, F.col("_enc.encoding")))
+            .withColumn("encoding_confidence", F.when(ok, F.col("_enc.confidence")))
+            .withColumn("encoding_source", F.when(ok, F.col("_enc.source")))
+            .withColumn("body_reencoded", F.when(ok, reencoded))
+            .drop("_enc"))
+
+
 def merge_headers(session_headers: dict, request_headers):
     """Request headers win over session defaults."""
     from pagemill.operators.links import overlay

@@ -33,7 +33,8 @@ from pagemill.plans.workflow import REQUEST_COLS, process_responses
 from pagemill.session import ensure_checkpoint_dir
 
 RESPONSE_COLS = ["url", "status", "http_status", "headers", "body", "meta", "requested_at",
-                 "error", "seq"]
+                 "error", "encoding", "encoding_confidence", "encoding_source", "body_reencoded",
+                 "seq"]
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -91,7 +92,8 @@ def start_extract_stream(spark: SparkSession, wf: Workflow, response_dir: str, r
     """Continuous extraction over the response queue."""
     schema = ("url string, status int, http_status int, headers map<string,string>, body string, "
               f"meta {schemas.META.simpleString()}, requested_at string, error string, "
-              "seq array<bigint>, batch long")
+              "encoding string, encoding_confidence double, encoding_source string, "
+              "body_reencoded boolean, seq array<bigint>, batch long")
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)

@@ -170,3 +170,28 @@ def test_step_manual_encoding(spark):
     df = spark.createDataFrame([(TEXT.encode("gbk"),)], "content binary")
     out = CH.decode_content(df, headers="none", manual=F.lit(step[0].manual_encoding)).first()
     assert out.body == TEXT and out.encoding_info.source == "manual"
+
+
+def test_fetch_decodes_snapshot_bytes(spark):
+    pages = spark.createDataFrame([
+        (1, "https://h/gbk", "", {"Content-Type": "text/html; charset=gbk"}, TEXT.encode("gbk")),
+        (2, "https://h/meta", "", {}, f'<meta charset="big5">{BIG5}'.encode("big5")),
+        (3, "https://h/manual", "", {"Content-Type": "text/html; charset=utf-8"}, "café".encode("latin-1")),
+    ], "page_id long, url string, html string, headers map<string,string>, content binary")
+    snap = page_snapshot(pages, unique_urls=True)
+    reqs = requests_from_rows(spark, [{"url": "https://h/gbk"}, {"url": "https://h/meta"},
+                                      {"url": "https://h/manual", "meta": {"encoding": "latin-1"}},
+                                      {"url": "https://h/none"}])
+    got = {r.url: r for r in fetch(reqs, snap).collect()}
+    g, m, man, none = (got[u] for u in ["https://h/gbk", "https://h/meta", "https://h/manual", "https://h/none"])
+    assert (g.body, g.encoding, g.encoding_source, g.body_reencoded) == (TEXT, "gbk", "Content-Type header", False)
+    assert BIG5 in m.body and (m.encoding, m.encoding_confidence, m.body_reencoded) == ("big5", 0.95, None)
+    assert (man.body, man.encoding_source, man.body_reencoded) == ("café", "manual", True)
+    assert none.encoding is None and none.body == ""
+
+
+def test_fetch_text_snapshot_charset_columns(spark):
+    pages = spark.createDataFrame([(1, "https://h/a", '<meta charset="UTF-8"><p>x</p>')],
+                                  "page_id long, url string, html string")
+    r = fetch(requests_from_rows(spark, [{"url": "https://h/a"}]), page_snapshot(pages)).first()
+    assert (r.encoding, r.encoding_source, r.body_reencoded) == ("utf-8", "HTML meta tag", False)
