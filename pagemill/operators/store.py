@@ -105,9 +105,9 @@ def save_articles(store: ArticleTables, batch: DataFrame, batch_id: int | str =
     """K6: first-wins by link hash within the batch and against the store."""
     prepared = prepare(batch, batch_id, as_of)
     winners = first_wins(prepared, dedup_on, "seq", bypass_empty=True)
-    stored_keys = store.articles.select(F.col(dedup_on).alias("_k")).filter(F.col("_k") != "")
-    if dedup_on == "content_hash":
-        stored_keys = store.contents.select(F.col("content_hash").alias("_k")).filter(F.col("_k") != "")
+    # the stored keys live in articles (link_hash) or article_contents (content_hash)
+    source = store.contents if dedup_on == "content_hash" else store.articles
+    stored_keys = source.select(F.col(dedup_on).alias("_k")).filter(F.col("_k") != "")
     new = _not_stored(winners, stored_keys, dedup_on)
     inserted = new.select(F.col("seq").alias("_seq"), F.lit(True).alias("_ins"))
     outcomes = (prepared.join(inserted, prepared["seq"] == inserted["_seq"], "left")

@@ -65,12 +65,11 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
     spans = R.needs_spans(all_rules, profile)
     frontier = seeds.select(*REQUEST_COLS)
     items_parts, dead_parts = [], []
+    seen = spark.createDataFrame([], "url string")  # urls already requested (T4 state)
     rounds = 0
     for rounds in range(1, max_rounds + 1):
-        if dedup_urls:  # T4: optional URL dupe filter; dont_filter rows bypass it
-            keep = frontier.filter(F.col("dont_filter"))
-            frontier = keep.unionByName(
-                frontier.filter(~F.col("dont_filter")).dropDuplicates(["url"]))
+        if dedup_urls:  # T4: persistent URL dupe filter; dont_filter rows bypass it
+            frontier, seen = _dupe_filter(frontier, seen, checkpoint)
         responses = fetch(frontier, snapshot, profile, as_of, on_failed_fetch)
         responses = responses.withColumn(
             "_step", wf.dispatch_column(F.col("meta.workflow_index"), mode))
@@ -115,6 +114,22 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
     return WorkflowResult(items, queued, saved, dead, rounds)
 
 
+def _dupe_filter(frontier: DataFrame, seen: DataFrame, checkpoint: bool):
+    """First request per url wins within the round; urls requested in an
+    earlier round are dropped (anti-join against the seen set)."""
+    from pagemill.operators.dedup import first_wins
+
+    free = frontier.filter(F.col("dont_filter"))
+    fresh = first_wins(frontier.filter(~F.col("dont_filter")), "url", "seq")
+    fresh = fresh.join(seen.withColumnRenamed("url", "_seen"), F.col("url") == F.col("_seen"), "left_anti")
+    if checkpoint:
+        fresh = cut_lineage(fresh)
+    seen = seen.unionByName(fresh.select("url"))
+    if checkpoint:
+        seen = cut_lineage(seen)
+    return free.unionByName(fresh), seen
+
+
 def process_responses(wf: Workflow, responses: DataFrame, profile: str = "worker"):
     """One round over given responses (no fetch): (next_requests, items)."""
     mode = "strict" if profile == "spider" else "lenient"

@@ -113,3 +113,16 @@ def test_article_store_append_is_idempotent_per_batch(spark):
     tables, _ = delete_by_task(store.load(), "t")
     store.replace(tables)
     assert store.load().articles.count() == 0
+
+
+def test_dedup_on_content_hash_and_document_delete(spark):
+    from pagemill.operators.store import delete_documents_by_task
+
+    rows = [("t", "A", "https://h/1", "same", "s", "{}", [0, 1]),
+            ("t", "B", "https://h/2", "same", "s", "{}", [0, 2]),
+            ("u", "C", "https://h/3", "other", "s", "{}", [0, 3])]
+    res = save_articles(ArticleTables.empty(spark), _batch(spark, rows), dedup_on="content_hash")
+    assert sorted(r.title for r in res.articles.collect()) == ["A", "C"]
+    docs, _ = save_documents(to_documents(ArticleTables.empty(spark)), _batch(spark, rows))
+    after, deleted = delete_documents_by_task(docs, "t")
+    assert deleted.first()[0] == 2 and [r.title for r in after.collect()] == ["C"]
