@@ -87,3 +87,19 @@ def env_cpus(default: int = 8) -> int:
         return int(os.environ.get("BENCH_CPUS", default))
     except ValueError:
         return default
+
+
+def ensure_importable(spark: SparkSession) -> None:
+    """Let Python workers of an existing session import this package.
+
+    Python functions carry ``SparkContext.environment`` to the workers and
+    the worker's PYTHONPATH is merged from it, so adding the package root
+    here works for sessions built elsewhere (e.g. by a driver harness). On a
+    cluster the package is installed or shipped with --py-files instead and
+    the extra path entry is harmless.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join(paths + [root])
