@@ -23,7 +23,7 @@ duplicate attributes first-wins.
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from html import unescape
 from urllib.parse import quote
 
 # ---- fixed values: HTML structure tables --------------------------------
@@ -74,7 +74,20 @@ _NAME_FIX = re.compile(r"[^a-z0-9_.\-]")
 # --------------------------------------------------------------------------
 
 
+_NAMES: dict[str, str] = {}
+
+
 def _clean_name(name: str) -> str:
+    cached = _NAMES.get(name)
+    if cached is not None:
+        return cached
+    if len(_NAMES) < 4096:
+        cached = _NAMES[name] = _clean_name_uncached(name)
+        return cached
+    return _clean_name_uncached(name)
+
+
+def _clean_name_uncached(name: str) -> str:
     name = name.lower()
     if _NAME_OK.match(name):
         return name
@@ -93,9 +106,82 @@ class _Node:
         self.children = []
 
 
-class _TreeBuilder(HTMLParser):
+# one scan over the markup: comments, declarations / processing
+# instructions, end tags, start tags (with their attribute text), text
+_TOKEN = re.compile(
+    r"<!--(.*?)(?:-->|\Z)"
+    r"|<[!?][^>]*>?"
+    r"|</([A-Za-z][^\t\n\r\f />]*)[^>]*>?"
+    r"|<([A-Za-z][^\t\n\r\f />\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|[^<]+|<",
+    re.S,
+)
+_ATTR = re.compile(
+    r"((?<=[\s'\"/])[^\s/>][^\s/=>]*)(\s*=+\s*('[^']*'|\"[^\"]*\"|(?!['\"])[^>\s]*))?")
+_RAW_END = {t: re.compile(r"</%s(?=[\s/>])[^>]*>|</%s$" % (t, t), re.I) for t in RAW_TEXT_ELEMENTS}
+
+
+def _attributes(text: str):
+    out = []
+    for m in _ATTR.finditer(" " + text):
+        name, value = m.group(1), m.group(3)
+        if value is not None:
+            if value[:1] in "'\"" and value[-1:] == value[:1] and len(value) > 1:
+                value = value[1:-1]
+            value = unescape(value) if "&" in value else value
+        out.append((name.lower(), value))
+    return out
+
+
+def _feed(builder: "_TreeBuilder", html: str) -> None:
+    """Drive the tree builder with start / end / text / comment events."""
+    pos, n = 0, len(html)
+    text: list[str] = []
+
+    def flush():
+        if text:
+            t = "".join(text)
+            text.clear()
+            builder.handle_data(unescape(t) if "&" in t else t)
+
+    match = _TOKEN.match
+    while pos < n:
+        m = match(html, pos)
+        pos = m.end()
+        comment, end_tag, start_tag, attrs_text = m.groups()
+        if start_tag is not None:           # start tag
+            flush()
+            tag = start_tag.lower()
+            stripped = attrs_text.rstrip()
+            # '/>' closes the tag unless the slash ends an unquoted value (href=x/)
+            self_closing = stripped.endswith("/") and (
+                len(stripped) == 1 or stripped[-2] in " \t\n\r\f\"'")
+            builder.handle_starttag(tag, _attributes(attrs_text.rstrip("/ \t\n\r\f") if self_closing
+                                                     else attrs_text))
+            if tag in RAW_TEXT_ELEMENTS and not self_closing:
+                end = _RAW_END[tag].search(html, pos)
+                stop = end.start() if end else n
+                if stop > pos:
+                    builder.handle_data(html[pos:stop])
+                pos = end.end() if end else n
+                builder.handle_endtag(tag)
+            elif self_closing:
+                builder.handle_endtag(tag)
+        elif end_tag is not None:           # end tag
+            flush()
+            builder.handle_endtag(end_tag.lower())
+        elif comment is not None:           # comment
+            flush()
+            builder.handle_comment(comment)
+        elif m.group(0).startswith(("<!", "<?")) and len(m.group(0)) > 1:
+            flush()                         # doctype, declaration, PI: dropped
+        else:
+            text.append(m.group(0))         # text, or a lone '<'
+    flush()
+
+
+class _TreeBuilder:
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.root = _Node("#root")
         self.stack = [self.root]
         self.html = self.head = self.body = None
@@ -245,11 +331,7 @@ def normalize(html: str | None, with_html: bool = True):
     if html is None:
         html = ""
     b = _TreeBuilder()
-    try:
-        b.feed(html)
-        b.close()
-    except Exception:  # html.parser is lenient; never fail a whole batch
-        pass
+    _feed(b, html)
     if b.html is None:
         b._ensure_html()
     xs: list[str] = []
