@@ -246,3 +246,10 @@ def decode_content(df: DataFrame, content: str = "content", headers: str = "head
             .withColumn(out, F.coalesce(F.col("_g.body"), F.lit("")))
             .drop("_g", "_dec"))
     return native.unionByName(rest)
+
+
+def header_value(headers: Column, name: str) -> Column:
+    """A header as text, key matched case-insensitively (first match)."""
+    return F.get(F.map_values(F.map_filter(
+        F.coalesce(headers, F.create_map().cast("map<string,string>")),
+        lambda k, v: F.lower(k) == name.lower())), 0)

@@ -265,3 +265,71 @@ class ArticleStore:
                 .partitionBy("batch").parquet(self._dir(table, new_v))
         _write_text(self.spark, f"{self.root}/CURRENT", str(new_v))
         return new_v
+
+
+class DocumentStore:
+    """The one-table (document) form persisted like ``ArticleStore``: append
+    per batch under ``batch=<id>`` plus a commit marker; replays are skipped."""
+
+    SCHEMA = ("id string, task_id string, title string, link string, link_hash string, "
+              "content string, content_hash string, source_url string, extra string, "
+              "created_at timestamp_ntz, updated_at timestamp_ntz")
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def committed(self, batch_id) -> bool:
+        return _exists(self.spark, f"{self.root}/_commits/{batch_id}")
+
+    def load(self) -> DataFrame:
+        """Documents with ``extra`` parsed back to VARIANT."""
+        path = f"{self.root}/documents"
+        if not _exists(self.spark, path):
+            raw = self.spark.createDataFrame([], self.SCHEMA)
+        else:
+            raw = self.spark.read.schema(self.SCHEMA + ", batch string").parquet(path).drop("batch")
+        return raw.withColumn("extra", F.parse_json("extra"))
+
+    def save(self, batch: DataFrame, batch_id, as_of: str | None = None):
+        """K7 + persist: returns the outcomes, or None when the batch was already saved."""
+        if self.committed(batch_id):
+            return None
+        docs, outcomes = save_documents(self.load(), batch, batch_id=batch_id, as_of=as_of)
+        (docs.withColumn("extra", F.to_json("extra")).withColumn("batch", F.lit(str(batch_id)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch").parquet(f"{self.root}/documents"))
+        _write_text(self.spark, f"{self.root}/_commits/{batch_id}", "")
+        return outcomes
+
+
+def save_to_targets(batch: DataFrame, targets: list, batch_id, dead_letter_path: str | None = None,
+                    as_of: str | None = None, fallback: bool = True) -> str:
+    """Save projected articles to the first target that works.
+
+    ``targets`` are ``DocumentStore`` / ``ArticleStore`` objects in priority
+    order (document store first, as the item pipeline prefers). A failing
+    write falls back to the next target (``fallback=True``, the pipeline) or
+    goes straight to the dead letters (``fallback=False``, the worker's
+    direct saves). Dead letters keep the error text and each item as JSON.
+    Returns the name of the target that took the batch ('dead_letter' if none).
+    """
+    errors = []
+    for target in targets:
+        try:
+            if isinstance(target, DocumentStore):
+                target.save(batch, batch_id, as_of=as_of)
+            else:
+                target.append(save_articles(target.load(), batch, batch_id=batch_id, as_of=as_of),
+                              batch_id)
+            return type(target).__name__
+        except Exception as exc:  # noqa: BLE001 - any store failure routes the batch on
+            errors.append(f"{type(target).__name__} save failed: {exc}"[:1000])
+            if not fallback:
+                break
+    if dead_letter_path:
+        (batch.select(F.lit("; ".join(errors)).alias("error"), F.lit("store").alias("stage"),
+                      F.to_json(F.struct(*batch.columns)).alias("item"))
+         .withColumn("batch", F.lit(str(batch_id))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(dead_letter_path))
+    return "dead_letter"

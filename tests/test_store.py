@@ -126,3 +126,34 @@ def test_dedup_on_content_hash_and_document_delete(spark):
     docs, _ = save_documents(to_documents(ArticleTables.empty(spark)), _batch(spark, rows))
     after, deleted = delete_documents_by_task(docs, "t")
     assert deleted.first()[0] == 2 and [r.title for r in after.collect()] == ["C"]
+
+
+def test_sink_router_fallback_and_dead_letters(spark):
+    from pagemill.operators.store import DocumentStore, save_to_targets
+
+    root = scratch_dir(spark, "router")
+    rows = [("t", "A", "https://h/1", "x", "s", '{"tags": ["a"]}', [0, 1])]
+    docs = DocumentStore(spark, f"{root}/docs")
+    rel = ArticleStore(spark, f"{root}/rel")
+    assert save_to_targets(_batch(spark, rows), [docs, rel], batch_id=0) == "DocumentStore"
+    assert docs.load().first().title == "A"
+
+    class Broken(DocumentStore):
+        def save(self, *a, **k):
+            raise RuntimeError("store down")
+
+    broken = Broken(spark, f"{root}/broken")
+    assert save_to_targets(_batch(spark, rows), [broken, rel], batch_id=1) == "ArticleStore"
+    assert rel.load().articles.count() == 1
+    out = save_to_targets(_batch(spark, rows), [broken, rel], batch_id=2, fallback=False,
+                          dead_letter_path=f"{root}/dead")
+    assert out == "dead_letter"
+    dead = spark.read.json(f"{root}/dead").first()
+    assert "store down" in dead.error and '"title":"A"' in dead.item
+
+
+def test_header_value(spark):
+    from pagemill.functions.charset import header_value
+
+    df = spark.createDataFrame([({"DATE": "Mon", "x": "1"},), (None,)], "h map<string,string>")
+    assert [r[0] for r in df.select(header_value(F.col("h"), "date")).collect()] == ["Mon", None]
