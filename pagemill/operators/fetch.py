@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.common import empty_map
-
 from pagemill.functions.timefn import http_date, iso_with_offset, local_now, local_now_literal
 from pagemill.functions.urls import url_host
 from pagemill.operators.dedup import first_wins

@@ -13,11 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.functions.common import empty_map
-
 from pagemill.functions.hashing import md5_or_empty
 from pagemill.session import spread
 
-
 # fixed values: how document rows are presented as articles
 DOC_LINK_PREFIX = "https://docs.example.org/"
 DOC_SOURCE_URL = "https://{source}.example.com/"
