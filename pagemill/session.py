@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         # pages can be tens of KB each: keep Arrow batches to the Python
         # workers bounded in bytes, not only in rows
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
