@@ -219,11 +219,22 @@ class ArticleStore:
     partitions and then a commit marker, so a replayed batch (streaming
     restart) is skipped. Deletes write a new version and switch the
     ``CURRENT`` pointer; a path being read is never overwritten.
+
+    ``buckets=n`` keeps both tables as catalog tables over the same folders,
+    bucketed by ``link_hash`` (articles) and ``article_id`` (contents): the
+    anti-join of a new batch against the stored link hashes and the content
+    joins then read the stored side without a shuffle.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    KEYS = {"articles": "link_hash", "article_contents": "article_id"}
+    SCHEMAS = {"articles": schemas.ARTICLES, "article_contents": schemas.ARTICLE_CONTENTS}
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
+                 table_prefix: str = "pagemill"):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
+        self.prefix = table_prefix
 
     def _version(self) -> int:
         return int(_read_text(self.spark, f"{self.root}/CURRENT").strip() or 0)
@@ -231,38 +242,67 @@ class ArticleStore:
     def _dir(self, table: str, version: int | None = None) -> str:
         return f"{self.root}/v{self._version() if version is None else version}/{table}"
 
+    def _table(self, table: str, version: int | None = None) -> str:
+        """Catalog table over the folder (bucketed mode), created if missing."""
+        v = self._version() if version is None else version
+        name = f"{self.prefix}_{table}_v{v}"
+        if not self.spark.catalog.tableExists(name):
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.SCHEMAS[table].fields)
+            key = self.KEYS[table]
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({cols}, batch STRING) USING parquet "
+                f"PARTITIONED BY (batch) CLUSTERED BY ({key}) SORTED BY ({key}) "
+                f"INTO {int(self.buckets)} BUCKETS LOCATION '{self._dir(table, v)}'")
+            if _exists(self.spark, self._dir(table, v)):  # data written before: register it
+                self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        return name
+
     def committed(self, batch_id) -> bool:
         return _exists(self.spark, f"{self._dir('_commits')}/{batch_id}")
 
     def load(self) -> ArticleTables:
         spark = self.spark
 
-        def read(table, schema):
+        def read(table):
+            schema = self.SCHEMAS[table]
+            cols = [f.name for f in schema.fields]
+            if self.buckets:
+                return spark.table(self._table(table)).select(*cols)
             path = self._dir(table)
             if not _exists(spark, path):
                 return spark.createDataFrame([], schema)
-            cols = [f.name for f in schema.fields]
             with_batch = T.StructType(list(schema.fields) + [T.StructField("batch", T.StringType())])
             return spark.read.schema(with_batch).parquet(path).select(*cols)
-        return ArticleTables(read("articles", schemas.ARTICLES),
-                             read("article_contents", schemas.ARTICLE_CONTENTS))
+        return ArticleTables(read("articles"), read("article_contents"))
+
+    def _write(self, table: str, df: DataFrame, batch: str, version: int | None = None) -> None:
+        if self.buckets:
+            # a static partition spec replaces exactly this batch's partition
+            cols = [f.name for f in self.SCHEMAS[table].fields]
+            view = f"_pm_write_{table}_{abs(hash((self.root, batch))) % 10**9}"
+            df.select(*cols).createOrReplaceTempView(view)
+            safe = batch.replace("'", "")
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self._table(table, version)} "
+                           f"PARTITION (batch = '{safe}') SELECT {', '.join(cols)} FROM {view}")
+            self.spark.catalog.dropTempView(view)
+            return
+        (df.withColumn("batch", F.lit(batch)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch")
+         .parquet(self._dir(table, version)))
 
     def append(self, result: SaveResult, batch_id) -> bool:
         if self.committed(batch_id):
             return False
         result = result.materialized()  # both tables from one computation
-        for table, df in (("articles", result.articles), ("article_contents", result.contents)):
-            (df.withColumn("batch", F.lit(str(batch_id))).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch")
-             .parquet(self._dir(table)))
+        self._write("articles", result.articles, str(batch_id))
+        self._write("article_contents", result.contents, str(batch_id))
         _write_text(self.spark, f"{self._dir('_commits')}/{batch_id}", "")
         return True
 
     def replace(self, tables: ArticleTables) -> int:
         new_v = self._version() + 1
-        for table, df in (("articles", tables.articles), ("article_contents", tables.contents)):
-            df.withColumn("batch", F.lit("compacted")).write.mode("overwrite") \
-                .partitionBy("batch").parquet(self._dir(table, new_v))
+        self._write("articles", tables.articles, "compacted", new_v)
+        self._write("article_contents", tables.contents, "compacted", new_v)
         _write_text(self.spark, f"{self.root}/CURRENT", str(new_v))
         return new_v
 

@@ -157,3 +157,22 @@ def test_header_value(spark):
 
     df = spark.createDataFrame([({"DATE": "Mon", "x": "1"},), (None,)], "h map<string,string>")
     assert [r[0] for r in df.select(header_value(F.col("h"), "date")).collect()] == ["Mon", None]
+
+
+def test_bucketed_store_reads_stored_keys_without_shuffle(spark):
+    root = scratch_dir(spark, "bucketed")
+    store = ArticleStore(spark, root, buckets=4, table_prefix="pm_test")
+    rows = [("t", f"T{i}", f"https://h/{i}", f"c{i}", "s", "{}", [0, i]) for i in range(20)]
+    assert store.append(save_articles(store.load(), _batch(spark, rows[:10]), batch_id=0), 0)
+    res = save_articles(store.load(), _batch(spark, rows[5:]), batch_id=1)
+    plan = res.rows._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.split("\n") if "pm_test_articles" in line]
+    assert scan and "Bucketed: true" in scan[0]
+    assert store.append(res, 1) and store.load().articles.count() == 20
+    assert store.append(res, 1) is False
+    # a new handle over the same folder (as in a new session) sees the data
+    again = ArticleStore(spark, root, buckets=4, table_prefix="pm_test_reopen")
+    assert again.load().contents.count() == 20
+    tables, _ = delete_by_task(again.load(), "t")
+    again.replace(tables)
+    assert again.load().articles.count() == 0
