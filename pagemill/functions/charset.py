@@ -71,12 +71,30 @@ def _codec_key(name: Column) -> Column:
     return F.regexp_replace(k, r"^_+|_+$", "")
 
 
+_CODEC_ARRAY: dict = {}
+
+
+def _codec_array() -> Column:
+    """The codec names as one array literal, built once per Spark context
+    (one expression instead of hundreds of literal columns per use)."""
+    from pyspark import SparkContext
+
+    ctx = id(SparkContext._active_spark_context)
+    if ctx not in _CODEC_ARRAY:
+        quoted = ", ".join("'" + k.replace("'", "") + "'" for k in CODEC_KEYS)
+        _CODEC_ARRAY.clear()
+        _CODEC_ARRAY[ctx] = F.expr(f"array({quoted})")
+    return _CODEC_ARRAY[ctx]
+
+
 def normalize_encoding(name: Column) -> Column:
     """lower/strip, alias map, unknown codec -> null."""
     n = F.lower(F.trim(name))
     alias = F.create_map(*[F.lit(x) for kv in ENCODING_ALIASES.items() for x in kv])
     key = _codec_key(n)
-    valid = key.isin(CODEC_KEYS) | F.regexp_replace(key, r"\.", "_").isin(CODEC_KEYS)
+    codecs_ = _codec_array()
+    valid = (F.array_contains(codecs_, key)
+             | F.array_contains(codecs_, F.regexp_replace(key, r"\.", "_")))
     return (F.when((n.isNull()) | (n == ""), F.lit(None).cast("string"))
             .when(alias[n].isNotNull(), alias[n])
             .when(valid, n))

@@ -7,10 +7,10 @@ Each round is one set of distributed jobs:
                                                  -> data steps  -> items
                                                                 -> generator requests
 
-The fetched-and-normalised responses of a round are checkpointed to the
-cluster's checkpoint folder (reliable, lineage cut), so every step of the
-round reads them once and a lost executor recomputes nothing older than
-the round. The driver loop only decides whether another round is needed
+The fetched-and-normalised responses of a round are written as a table in
+the cluster's checkpoint folder (reliable, lineage cut), so every step of
+the round reads them once and a lost executor recomputes nothing older than
+the round; the next frontier derives from that table. The driver loop only decides whether another round is needed
 (``isEmpty`` on the new frontier) and stops at ``max_rounds`` (cycles from
 generators, Q13).
 """
@@ -93,15 +93,15 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
                     next_parts.append(gen.filter(F.col("error").isNull()).select(*REQUEST_COLS))
                     dead_parts.append(gen.filter(F.col("error").isNotNull()).select(
                         "error", F.lit("generator").alias("stage"), "payload"))
+        # the frontier derives from this round's written responses (and written
+        # generator output): short lineage, and isEmpty reads at most one row
         frontier = _union(next_parts, empty_requests(spark).select(*REQUEST_COLS))
-        if checkpoint:
-            frontier = cut_lineage(frontier)
         if frontier.isEmpty():
             break
     if not items_parts:
         raise ValueError("workflow has no data_extraction step reached")
     # data structs of several data steps differ: union by name, missing fields null
-    items = _union(items_parts, None, allow_missing=True)
+    items = _union(items_parts, None, allow_missing=True).drop("body")
     if checkpoint:  # items feed the queue, the store and the caller: extract them once
         items = cut_lineage(items)
     queued = items.filter(F.col("route") == "queue")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,9 +61,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably (survives executor loss) and cut lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the checkpoint folder and read it back.
+
+    Survives executor loss (the files are in the cluster's shared checkpoint
+    folder) and cuts lineage. Unlike an eager ``checkpoint()``, which runs the
+    plan once to count and again to write, the plan runs once; reads of the
+    table are columnar and pruned.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pagemill-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
