@@ -32,7 +32,7 @@ from pagemill.operators.generator import run_generator
 from pagemill.operators.links import link_step
 from pagemill.operators.requests import empty_requests
 from pagemill.operators.store import ArticleTables, SaveResult, save_articles
-from pagemill.session import cut_lineage
+from pagemill.session import cut_lineage, drop_tables
 
 REQUEST_COLS = ["url", "method", "headers", "meta", "params", "data", "json", "dont_filter",
                 "seq", "attempt"]
@@ -66,6 +66,7 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
     frontier = seeds.select(*REQUEST_COLS)
     items_parts, dead_parts = [], []
     seen = spark.createDataFrame([], "url string")  # urls already requested (T4 state)
+    round_tables: list = []  # per-round response tables, dropped once items are written
     rounds = 0
     for rounds in range(1, max_rounds + 1):
         if dedup_urls:  # T4: persistent URL dupe filter; dont_filter rows bypass it
@@ -75,7 +76,7 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
             "_step", wf.dispatch_column(F.col("meta.workflow_index"), mode))
         responses = with_dom(responses.filter(F.col("_step").isNotNull()), "body", spans)
         if checkpoint:
-            responses = cut_lineage(responses)
+            responses = cut_lineage(responses, round_tables)
         next_parts = []
         for step in wf.steps:
             mine = responses.filter(F.col("_step") == step.index)
@@ -88,7 +89,7 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
                 if step.custom_code:
                     gen = run_generator(items, step.custom_code, step.index + 1,
                                         wf.default_headers(), profile)
-                    if checkpoint:
+                    if checkpoint:  # kept: the returned dead letters read it
                         gen = cut_lineage(gen)
                     next_parts.append(gen.filter(F.col("error").isNull()).select(*REQUEST_COLS))
                     dead_parts.append(gen.filter(F.col("error").isNotNull()).select(
@@ -104,6 +105,7 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
     items = _union(items_parts, None, allow_missing=True).drop("body")
     if checkpoint:  # items feed the queue, the store and the caller: extract them once
         items = cut_lineage(items)
+        drop_tables(spark, round_tables)  # nothing returned reads the round responses
     queued = items.filter(F.col("route") == "queue")
     to_store = items.filter(F.col("route") == "store")
     saved = None

@@ -60,7 +60,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, written: list | None = None) -> DataFrame:
     """Materialise ``df`` as a parquet table in the checkpoint folder and read it back.
 
     Survives executor loss (the files are in the cluster's shared checkpoint
@@ -71,9 +71,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pagemill-tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if written is not None:
+        written.append(path)
     return spark.read.parquet(path)
 
 
+def drop_tables(spark: SparkSession, paths: list) -> None:
+    """Delete intermediate tables written by ``cut_lineage`` once nothing reads them."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
 def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
     """Hash-spread a scan that arrives in fewer partitions than the cluster has cores.
 
