@@ -195,3 +195,22 @@ def test_fetch_text_snapshot_charset_columns(spark):
                                   "page_id long, url string, html string")
     r = fetch(requests_from_rows(spark, [{"url": "https://h/a"}]), page_snapshot(pages)).first()
     assert (r.encoding, r.encoding_source, r.body_reencoded) == ("utf-8", "HTML meta tag", False)
+
+
+def test_queue_round_trip_multiple_queues(spark):
+    from pagemill.sources.queue import read_queue, write_queue
+    from pagemill.streaming.pipeline import scratch_dir
+
+    root = scratch_dir(spark, "queues")
+    reqs = requests_from_rows(spark, [
+        {"url": "https://h/中文", "meta": {"workflow_index": 2, "context": {"title": "标题"}}},
+        {"url": "https://h/b", "method": "post"}])
+    write_queue(encode_requests(reqs), f"{root}/start")
+    write_queue(encode_requests(requests_from_rows(spark, [{"url": "https://h/c"}])), f"{root}/retry")
+    raw = read_queue(spark, [f"{root}/start", f"{root}/retry"])
+    assert raw.count() == 3
+    assert any("中文" in r.value and "\\u" not in r.value for r in raw.collect())  # unescaped
+    back, dead = decode_messages(raw)
+    got = {r.url: r for r in back.collect()}
+    assert dead.count() == 0 and set(got) == {"https://h/中文", "https://h/b", "https://h/c"}
+    assert got["https://h/中文"].meta.context == {"title": "标题"} and got["https://h/b"].method == "POST"
