@@ -25,30 +25,42 @@ MESSAGE_SCHEMA = (
 DEAD_LETTER_COLS = ["error", "stage", "payload"]
 
 
+OUTCOME_OK = "ok"
+OUTCOME_BAD_JSON = "invalid JSON"
+OUTCOME_NO_URL = "missing url"
+
+
+def classify_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """One pass over the messages: ``outcome`` ('ok' | 'invalid JSON' |
+    'missing url'), the parsed message ``_r`` (null for invalid JSON), the
+    masked raw ``payload`` and ``seq``."""
+    v = F.col(value_col)
+    seq = F.col("seq") if "seq" in messages.columns else F.array(F.lit(0).cast("long"),
+                                                                 F.monotonically_increasing_id())
+    ok = F.try_parse_json(v).isNotNull()
+    parsed = F.when(ok, F.from_json(v, MESSAGE_SCHEMA))
+    has_url = F.coalesce(parsed["url"], F.lit("")) != ""
+    outcome = (F.when(~ok, F.lit(OUTCOME_BAD_JSON)).when(~has_url, F.lit(OUTCOME_NO_URL))
+               .otherwise(F.lit(OUTCOME_OK)))
+    return messages.select(outcome.alias("outcome"), parsed.alias("_r"),
+                           mask_url(v).alias("payload"), seq.alias("seq"))
+
+
 def decode_messages(messages: DataFrame, value_col: str = "value", missing_url: str = "dead_letter",
                     default_index: int = 0):
     """(requests, dead_letters) from JSON message text.
 
     invalid JSON -> dead letter 'invalid JSON'; no url -> dead letter
     'missing url' (``missing_url='dead_letter'``) or dropped ('skip', the
-    fetch worker's behaviour). Credentials in payloads are masked.
+    fetch worker's behaviour). Credentials in payloads are masked. Both
+    outputs filter one ``classify_messages`` projection.
     """
-    v = F.col(value_col)
-    seq = F.col("seq") if "seq" in messages.columns else F.array(F.lit(0).cast("long"),
-                                                                 F.monotonically_increasing_id())
-    m = messages.select(v.alias("_v"), seq.alias("seq"),
-                        F.try_parse_json(v).isNotNull().alias("_ok"))
-    parsed = m.filter("_ok").withColumn("_r", F.from_json("_v", MESSAGE_SCHEMA))
-    has_url = F.coalesce(F.col("_r.url"), F.lit("")) != ""
-    bad_json = m.filter(~F.col("_ok")).select(
-        F.lit("invalid JSON").alias("error"), F.lit("decode").alias("stage"),
-        mask_url(F.col("_v")).alias("payload"))
-    no_url = parsed.filter(~has_url).select(
-        F.lit("missing url").alias("error"), F.lit("decode").alias("stage"),
-        mask_url(F.col("_v")).alias("payload"))
-    dead = bad_json.unionByName(no_url) if missing_url == "dead_letter" else bad_json
+    c = classify_messages(messages, value_col)
+    dead_outcomes = [OUTCOME_BAD_JSON, OUTCOME_NO_URL] if missing_url == "dead_letter" else [OUTCOME_BAD_JSON]
+    dead = c.filter(F.col("outcome").isin(dead_outcomes)).select(
+        F.col("outcome").alias("error"), F.lit("decode").alias("stage"), "payload")
     r = F.col("_r")
-    requests = parsed.filter(has_url).select(*request_columns(
+    requests = c.filter(F.col("outcome") == OUTCOME_OK).select(*request_columns(
         url=r["url"],
         method=F.upper(F.coalesce(F.nullif(r["method"], F.lit("")), F.lit("GET"))),
         headers=F.coalesce(r["headers"], empty_map()),
