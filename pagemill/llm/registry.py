@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing
+from . import bpe, exact_dedup, ngram_jaccard, packing
 from .common import read_table
 
 
@@ -33,7 +33,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op5_byte_bpe, op6_exact_dedup)}
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op5_byte_bpe, op6_exact_dedup, op9_ngram_jaccard)}
 
 ORACLES = {
     "op6_exact_dedup": r"""
