@@ -22,8 +22,12 @@ result. Other columns are not read.
 from __future__ import annotations
 
 import bisect
+import json
 import zlib
+from array import array
 from collections import defaultdict
+from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +36,6 @@ from pyspark.sql.window import Window
 from .common import cut_lineage, map_rows
 
 CAPACITY = 2048
-MEMO_ENTRIES = 400_000
-_MEMO: dict[str, tuple] = {}
 
 
 def best_fit_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple]:
@@ -85,35 +87,18 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
            capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, task, rank in task and length.
 
-    The tokenizer splits a text by its pattern before merging, so ids are
-    looked up per split and each distinct split is encoded once per worker
-    (a bounded memo; long splits are not memoised).
+    A task numbers the pieces of each length as it makes them.
     """
 
     def make():
-        import regex
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_file(tokenizer_path)
-        tok.encode_special_tokens = True
-        from array import array
-
-        split = regex.compile(SPLIT).findall
-        # one memo per worker process and tokenizer, shared by its tasks
-        memo = _MEMO.setdefault(tokenizer_path, {})
         task, ranks, end = TaskContext.get().partitionId(), defaultdict(int), end_id.to_bytes(4, "little")
-        width = 4 * capacity
+        width, ids_of = 4 * capacity, _encoder(tokenizer_path)
 
         def each(cols):
-            split_texts = [split(t or "") for t in cols["text"]]
-            if len(memo) > MEMO_ENTRIES:
-                memo.clear()
-            new = list({s for words in split_texts for s in words if s not in memo})
-            for s, e in zip(new, tok.encode_batch(new, add_special_tokens=False), strict=True):
-                memo[s] = array("I", e.ids).tobytes()
-            for doc, words in zip(cols["id"], split_texts, strict=True):
-                raw = b"".join(map(memo.__getitem__, words)) + end
+            for doc, text in zip(cols["id"], cols["text"], strict=True):
+                raw = (ids_of(text) if text else b"") + end
                 first = len(raw) % width or width
                 cuts = [0, *range(first, len(raw) + 1, width)] if len(raw) > width else [0, len(raw)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
@@ -132,6 +117,50 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+@lru_cache(maxsize=4)
+def _encoder(tokenizer_path: str) -> Callable[[str], bytes]:
+    """Text -> its ids as little-endian unsigned 32-bit numbers; one per worker process.
+
+    The ids are those of the tokenizer file. Where its merges come in the
+    order of their ids, as in a file with a rank per token, the merges are run
+    by the rank encoder, which takes a sixth of the CPU time; a text that it
+    refuses (its pattern engine has a step limit) and any other file go
+    through the tokenizer itself.
+    """
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path)
+    tok.encode_special_tokens = True
+
+    def by_tokenizer(text: str) -> bytes:
+        return array("I", tok.encode(text, add_special_tokens=False).ids).tobytes()
+
+    with open(tokenizer_path, encoding="utf-8") as file:
+        spec = json.load(file)
+    vocab, merges = spec["model"].get("vocab"), spec["model"].get("merges") or []
+    if spec["model"]["type"] != "BPE" or (spec["pre_tokenizer"] or {}).get("type") != "ByteLevel" or spec["normalizer"]:
+        return by_tokenizer
+    made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
+    if made != sorted(made) or spec["pre_tokenizer"].get("add_prefix_space"):
+        return by_tokenizer
+    import tiktoken
+
+    # the byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(sorted({*range(256)} - {*plain}))}
+    special = {t["content"] for t in spec["added_tokens"]}
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if token not in special}
+    encode = tiktoken.Encoding("ids", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def by_ranks(text: str) -> bytes:
+        try:
+            return array("I", encode(text)).tobytes()
+        except (RuntimeError, ValueError):
+            return by_tokenizer(text)
+
+    return by_ranks
+
+
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
          capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """Pieces with their slot: id, piece, start, length, ids_crc32, sequence_id, offset."""
