@@ -5,25 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, ngram_jaccard, packing
+from . import bpe, exact_dedup, ngram_jaccard, packing, pii, toxicity
 from .common import read_table
 
 
-def _public(name: str) -> str:
+def public_file(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(read_table(spark, sf_dir, "documents"))
+    return pii.digest_columns(found).withColumnRenamed("id", "doc_id")
+
+
+#: Categories of the chain, in its order, over the labels' columns.
+CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    chain = toxicity.fit_chain(docs, read_table(spark, sf_dir, "labels"), CATEGORIES)
+    return toxicity.scores(docs, chain).withColumnsRenamed({"id": "doc_id", "rejected": "toxic"})
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), _public("byte_bpe_50k.json")).withColumnRenamed(
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json")).withColumnRenamed(
         "id", "doc_id")
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), _public("byte_bpe_50k.tiktoken"),
+    return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.tiktoken"),
                                   public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
 
 
@@ -38,7 +53,7 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op5_byte_bpe, op6_exact_dedup, op9_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_pii, op3_best_fit_packing, op4_toxicity, op5_byte_bpe, op6_exact_dedup, op9_ngram_jaccard)}
 
 ORACLES = {
     "op6_exact_dedup": r"""
