@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pagemill.session import cut_lineage
 
-__all__ = ["connected_components", "cut_lineage", "hash_thinned", "map_rows", "read_table", "text_or_empty", "tmp_name"]
+__all__ = ["connected_components", "cut_lineage", "hash_marked", "hash_thinned", "map_rows", "read_table", "text_or_empty", "tmp_name"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,17 +86,24 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .unionByName(nxt.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()))
 
 
-def hash_thinned(rows: DataFrame, wanted: DataFrame, column: str, bits: int = 1 << 23) -> DataFrame:
-    """``rows`` without most of those whose ``column`` is not in ``wanted``: a bitmap of hashes, of a
-    fixed size that is safe to broadcast, thins the scan before an exact join. It lets all
-    wanted rows through, and some others when it fills up."""
+def hash_marked(rows: DataFrame, wanted: DataFrame, column: str, flag: str, bits: int = 1 << 23) -> DataFrame:
+    """``rows`` with a boolean ``flag``: false where ``column`` is surely not in ``wanted``.
+
+    A bitmap of hashes, of a fixed size that is safe to broadcast. It marks all
+    wanted rows, and some others when it fills up, so an exact join must follow.
+    """
     at = F.pmod(F.xxhash64(column), F.lit(bits))
-    words = wanted.select(at.alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("word_bits"))
-    hashed = rows.withColumn("hash_at", at)
-    return (hashed.join(F.broadcast(words), F.expr("hash_at div 64 = word"))
-            .where(F.expr("shiftright(word_bits, cast(hash_at % 64 as int)) & 1 = 1"))
-            .drop("hash_at", "word", "word_bits"))
+    words = wanted.select(at.alias("at")).groupBy(F.expr("at div 64").alias("__word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("__bits"))
+    return (rows.withColumn("__at", at).join(F.broadcast(words), F.expr("__at div 64 = __word"), "left")
+            .withColumn(flag, F.coalesce(F.expr("shiftright(__bits, cast(__at % 64 as int)) & 1 = 1"), F.lit(False)))
+            .drop("__at", "__word", "__bits"))
+
+
+def hash_thinned(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """``rows`` without most of those whose ``column`` is not in ``wanted``, to thin a scan before
+    an exact join."""
+    return hash_marked(rows, wanted, column, "__wanted").where("__wanted").drop("__wanted")
 
 
 def text_or_empty(col: str | Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, ngram_jaccard, packing, pii, toxicity
+from . import bpe, exact_dedup, html_main_text, ngram_jaccard, packing, pii, toxicity, warc
 from .common import read_table
 
 
@@ -48,14 +48,35 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    warc.write(read_table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_best_fit_packing, op4_toxicity, op5_byte_bpe, op6_exact_dedup, op9_ngram_jaccard)}
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return html_main_text.extract(pages, html_main_text.fit(pages)).withColumnRenamed("id", "page_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op3_best_fit_packing, op4_toxicity, op5_byte_bpe, op6_exact_dedup, op8_warc,
+                                   op9_ngram_jaccard, op10_main_text)}
 
 ORACLES = {
+    "op8_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+             d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p),
+             g AS (SELECT *, CASE WHEN payload_bytes >= 100
+                                  THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id
+                   FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to FROM g""",
     "op6_exact_dedup": r"""
         WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
              d AS (SELECT doc_id, length(x) AS n,
