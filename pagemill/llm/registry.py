@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_main_text, ngram_jaccard, packing, pii, toxicity, warc
+from . import ann, bpe, exact_dedup, html_main_text, ngram_jaccard, packing, pii, toxicity, warc
 from .common import read_table
 
 
@@ -48,6 +48,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors["vec_id"] % 50 == 0).withColumnRenamed("id", "vec_id")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive_folder(spark)
     warc.write(read_table(spark, sf_dir, "pages"), folder)
@@ -64,7 +69,8 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main_text.extract(pages, html_main_text.fit(pages)).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_best_fit_packing, op4_toxicity, op5_byte_bpe, op6_exact_dedup, op8_warc,
+QUERIES = {f.__name__: f for f in (op1_pii, op3_best_fit_packing, op4_toxicity, op5_byte_bpe, op6_exact_dedup,
+                                   op7_hash_prefix_forest, op8_warc,
                                    op9_ngram_jaccard, op10_main_text)}
 
 ORACLES = {
