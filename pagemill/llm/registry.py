@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, exact_dedup, html_main_text, ngram_jaccard, packing, pii, toxicity, warc
+from . import ann, bpe, exact_dedup, html_main_text, line_dedup, ngram_jaccard, packing, pii, toxicity, warc
 from .common import read_table
 
 
@@ -30,6 +30,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, chain).withColumnsRenamed({"id": "doc_id", "rejected": "toxic"})
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    cut = line_dedup.without_runs(docs, line_dedup.repeated_runs(docs), "kept_text", "n_removed")
+    return cut.select("doc_id", "n_removed", F.length("kept_text").cast("long").alias("n_chars_kept"),
+                      F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json")).withColumnRenamed(
         "id", "doc_id")
@@ -69,11 +76,54 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main_text.extract(pages, html_main_text.fit(pages)).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_best_fit_packing, op4_toxicity, op5_byte_bpe, op6_exact_dedup,
+QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_best_fit_packing, op4_toxicity, op5_byte_bpe, op6_exact_dedup,
                                    op7_hash_prefix_forest, op8_warc,
                                    op9_ngram_jaccard, op10_main_text)}
 
 ORACLES = {
+    "op2_line_dedup": r"""
+        WITH split_lines AS (
+               SELECT doc_id, generate_subscripts(x, 1) - 1 AS line, unnest(x) AS raw
+               FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+             trimmed AS (SELECT doc_id, line, raw, trim(regexp_replace(raw, '[\x20\x09-\x0D]+', ' ', 'g')) AS t
+                         FROM split_lines),
+             l AS (SELECT doc_id, line, md5(t) AS h, len(string_split(t, ' ')) AS words,
+                          row_number() OVER o AS n,
+                          (sum(len(string_split(t, ' '))) OVER o - len(string_split(t, ' ')))::BIGINT AS pos
+                   FROM trimmed WHERE t <> '' WINDOW o AS (PARTITION BY doc_id ORDER BY line)),
+             grams AS (SELECT *, md5(array_to_string(list(h) OVER s, '')) AS gram, sum(words) OVER s AS size
+                       FROM l WINDOW s AS (PARTITION BY doc_id ORDER BY pos RANGE BETWEEN CURRENT ROW AND 24 FOLLOWING)),
+             windows AS (SELECT doc_id, pos,
+                                list({'gram': gram, 'n': n, 'end': pos + size, 'size': size}) OVER w AS found,
+                                sum(words) OVER w AS span
+                         FROM grams
+                         WINDOW w AS (PARTITION BY doc_id ORDER BY pos RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+             marks AS (SELECT DISTINCT doc_id, g.n AS n, g.gram AS gram FROM (
+                         SELECT doc_id, list_sort(list_filter(found, lambda x: x.size >= 25 AND x."end" <= pos + span))[1] AS g
+                         FROM windows WHERE span >= 50) WHERE g IS NOT NULL),
+             firsts AS (SELECT gram, first_value(doc_id) OVER f AS from_doc, first_value(n) OVER f AS from_n, doc_id, n
+                        FROM marks WINDOW f AS (PARTITION BY gram ORDER BY doc_id, n)),
+             seeds AS (SELECT DISTINCT doc_id, from_doc, n - from_n AS shift, n FROM firsts
+                       WHERE doc_id <> from_doc OR n <> from_n),
+             same AS (SELECT s.doc_id, s.from_doc, s.shift, a.n,
+                             a.n - row_number() OVER (PARTITION BY s.doc_id, s.from_doc, s.shift ORDER BY a.n) AS island
+                      FROM (SELECT DISTINCT doc_id, from_doc, shift FROM seeds) s
+                      JOIN l a ON a.doc_id = s.doc_id
+                      JOIN l b ON b.doc_id = s.from_doc AND b.n = a.n - s.shift AND b.h = a.h),
+             hit AS (SELECT DISTINCT doc_id, from_doc, shift, island FROM same JOIN seeds USING (doc_id, from_doc, shift, n)),
+             spans AS (SELECT s.doc_id, min(l.line) AS a, max(l.line) AS b FROM same s
+                       JOIN hit USING (doc_id, from_doc, shift, island)
+                       JOIN l ON l.doc_id = s.doc_id AND l.n = s.n
+                       GROUP BY s.doc_id, s.from_doc, s.shift, s.island),
+             gone AS (SELECT DISTINCT t.doc_id, t.line, t.t FROM trimmed t
+                      JOIN spans p ON p.doc_id = t.doc_id AND t.line BETWEEN p.a AND p.b),
+             kept AS (SELECT t.doc_id, string_agg(t.raw, chr(10) ORDER BY t.line) AS x FROM trimmed t
+                      ANTI JOIN gone USING (doc_id, line) GROUP BY t.doc_id),
+             cut AS (SELECT doc_id, count(*) FILTER (WHERE t <> '') AS n_removed FROM gone GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(c.n_removed, 0) AS n_removed,
+               CASE WHEN d.text IS NULL THEN NULL ELSE length(coalesce(k.x, '')) END AS n_chars_kept,
+               CASE WHEN d.text IS NULL THEN NULL ELSE sha256(coalesce(k.x, '')) END AS kept_sha256
+        FROM documents d LEFT JOIN cut c USING (doc_id) LEFT JOIN kept k USING (doc_id)""",
     "op8_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
              d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p),
