@@ -55,6 +55,7 @@ class Forest:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, trees: int = TREES, seed: int = 7) -> None:
         self.ids, self.vectors = ids, vectors
+        self.most = int(np.unique(ids, return_counts=True)[1].max())  # rows of one id
         self.unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         self.planes = np.random.default_rng(seed).standard_normal((trees, vectors.shape[1], BITS))
         self.order, self.sorted = [], []
@@ -95,10 +96,14 @@ class Forest:
             held &= self.ids != own[q]
             rows = np.flatnonzero(held)
             near = self.unit[rows] @ unit[q]
-            if len(rows) > k:  # all that may be among the best, ties and rounding included
-                rows = rows[near >= np.partition(near, len(near) - k)[len(near) - k] - 1e-9]
+            last = k * self.most
+            if len(rows) > last:  # all that may be among the best, ties and rounding included
+                rows = rows[near >= np.partition(near, len(near) - last)[len(near) - last] - 1e-9]
             score = cosine(np.broadcast_to(queries[q], (len(rows), queries.shape[1])), self.vectors[rows])
-            best = np.lexsort((self.ids[rows], -score))[:k]
+            best = np.lexsort((self.ids[rows], -score))
+            if self.most > 1:  # an id counts once, by its best row
+                best = best[np.sort(np.unique(self.ids[rows[best]], return_index=True)[1])]
+            best = best[:k]
             yield score[best], self.ids[rows[best]]
 
 

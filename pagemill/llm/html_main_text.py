@@ -11,9 +11,9 @@ The model is trained by gradient steps on the exact log-likelihood over a
 bounded sample of labelled pages (``max_pages``). Unless the caller has labels,
 pages whose authors marked the main text up serve as labelled ones: a block is
 main when it lies in an ``article`` or ``main`` element and in no part that is
-not text (see ``marked_label``). Each such page is learnt from twice, the second time
-without the features that made its labels, so pages without such markup are
-decoded by the other features.
+not text (see ``marked_label``). Each such page is learnt from three times (see
+``examples``), once without the features that made its labels, so pages without
+such markup are decoded by the other features.
 
 Cases: a null or empty html, and a page without text, have the empty text.
 Unclosed and misnested tags, comments, quotes and raw text elements are read as
@@ -37,11 +37,11 @@ from pyspark.sql import functions as F
 
 from .common import cut_lineage, map_rows
 
-MAX_PAGES = 400
+MAX_PAGES = 200
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*+>"""
-    r"""|<[a-zA-Z][^>]*+>|[^<]++|<""", re.S)
+    r"""|</?[a-zA-Z][^>]*+(?:>|\Z)|[^<]++|<""", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 #: Elements that start and end a block.
@@ -175,18 +175,18 @@ def features(block: Block, place: int, count: int, blind: bool = False) -> list[
         out.append("first")
     if place == count - 1:
         out.append("last")
+    # what marks parts is summed up by the zone, so that a kind of part that no training page has
+    # weighs as much as the others
     read = MAIN_TAGS | OTHER_TAGS
     if not blind:
         out.append("zone:" + zone(block))
-    if parent not in MAIN_TAGS and not (blind and parent in read):
+    if parent not in read:
         out.append("parent:" + parent)
     seen = set()
     for tag, names in block.path:
-        if tag not in ("html", "body", "article", "main") and not (blind and tag in read):
+        if tag not in ("html", "body") and tag not in read:
             seen.add("tag:" + tag)
-        for w in names:
-            if w != "main" and not (blind and w in OTHER_NAMES):
-                seen.add("name:" + w)
+        seen.update("name:" + w for w in names if w != "main" and w not in OTHER_NAMES)
     out.extend(sorted(seen))
     return out
 
@@ -217,7 +217,7 @@ class Crf:
         return labels[::-1]
 
 
-def train(sequences: list[list[list[str]]], labels: list[list[int]], steps: int = 150, penalty: float = 1e-3) -> Crf:
+def train(sequences: list[list[list[str]]], labels: list[list[int]], steps: int = 100, penalty: float = 3e-4) -> Crf:
     """Maximum likelihood with a ridge penalty by Adam steps; forward and backward sums run over
     all pages at once."""
     names = sorted({f for s in sequences for fs in s for f in fs})
@@ -266,6 +266,24 @@ def page_features(blocks: list[Block], blind: bool = False) -> list[list[str]]:
     return [features(b, i, len(blocks), blind) for i, b in enumerate(blocks)]
 
 
+def examples(blocks: list[Block]) -> list[tuple[list[list[str]], list[int]]]:
+    """What a page that its own markup labels is learnt from: as it is; without the features that made
+    the labels; and with parts that look like the text but lie in another zone (comments, asides)
+    put between its blocks."""
+    marked = [marked_label(b) for b in blocks]
+    plain = page_features(blocks)
+    mixed, labels = [], []
+    for k, (names, y) in enumerate(zip(plain, marked, strict=True)):
+        mixed.append(names)
+        labels.append(y)
+        if y and k % 3 == 1:
+            mixed.append(["zone:other" if f == "zone:main" else f for f in plain[(k * 7) % len(plain)] if f != "zone:none"])
+            if "zone:other" not in mixed[-1]:
+                mixed[-1].append("zone:other")
+            labels.append(0)
+    return [(plain, marked), (page_features(blocks, True), marked), (mixed, labels)]
+
+
 def fit(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES, label: Column | None = None) -> Crf | None:
     """Train on at most ``max_pages`` labelled pages, taken by the order of a hash of the page.
     ``label``: a column array<int>, a label for each leaf block; without it the pages that their
@@ -280,15 +298,13 @@ def fit(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES, la
         def each(cols):
             for page, given in zip(cols["html"], cols["label"], strict=True):
                 blocks = leaf_blocks(page)
-                if blocks:
-                    marked = given or [marked_label(b) for b in blocks]
-                    if len(marked) == len(blocks):
-                        yield page_features(blocks), marked
-                        if given is None:
-                            yield page_features(blocks, True), marked
+                if blocks and given is None:
+                    yield from examples(blocks)
+                elif blocks and len(given) == len(blocks):
+                    yield page_features(blocks), given
         return each
 
-    seen = map_rows(sample, make, "sequence array<array<string>>, label array<int>").toPandas()  # 2 * max_pages rows
+    seen = map_rows(sample, make, "sequence array<array<string>>, label array<int>").toPandas()  # 3 * max_pages rows
     if not len(seen):
         return None
     return train([[list(f) for f in s] for s in seen["sequence"]], [list(x) for x in seen["label"]])
