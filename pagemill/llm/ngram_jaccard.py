@@ -44,19 +44,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut_lineage, text_or_empty, tmp_name
+from .common import connected_components, cut_lineage, hash_thinned, text_or_empty, tmp_name
 
 WORDS = 5
 THRESHOLD = 80  # per cent
-FREQUENT = 1 << 16  # frequent shingles known to the order
+FREQUENT = 1 << 17  # frequent shingles known to the order
 COUNTERS = 1 << 17  # Misra-Gries counters of a task
 COARSE = 6  # the tree's points have 2 ** COARSE coordinates
 LEAF = 32
 BLOCK = 1024
-FILTER_BITS = 1 << 23
 SLICE_BYTES = 2 << 20
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -154,14 +153,14 @@ def frequent_shingles(docs: DataFrame, text_col: str, words: int = WORDS, most:
                     new, held = [], 0
         merge()
         top = np.argsort(-counts, kind="stable")[:most]
-        top = top[counts[top] > 3]
+        top = top[counts[top] > 2]
         yield pa.RecordBatch.from_pydict({"key": pa.array(keys[top].view(np.int64)), "seen": pa.array(counts[top])})
 
     seen = (docs.select(docs[text_col]).mapInArrow(run, "key long, seen long")
-            .groupBy("key").agg(F.sum("seen").alias("seen")).where("seen > 15")
+            .groupBy("key").agg(F.sum("seen").alias("seen")).where("seen > 7")
             .orderBy(F.desc("seen"), "key").limit(most))
-    rows = seen.collect()  # at most `most` rows
-    return np.array([r["key"] for r in reversed(rows)], np.int64).view(np.uint64)
+    keys = seen.toPandas()["key"].to_numpy(np.int64)  # at most `most` rows
+    return keys[::-1].view(np.uint64)
 
 
 def _resolution(n: np.ndarray) -> np.ndarray:
@@ -177,7 +176,7 @@ def document_sets(docs: DataFrame, frequent: np.ndarray, id_col: str, text_col:
     text = text_or_empty(docs[text_col])
     rows = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     schema = (f"id {rows.schema['id'].dataType.simpleString()}, text_hash long, sid long, n int, "
-              "prefix array<long>, point binary")
+              "prefix array<long>, point binary, coarse binary")
 
     def run(batches):
         for batch in batches:
@@ -197,27 +196,23 @@ def document_sets(docs: DataFrame, frequent: np.ndarray, id_col: str, text_col:
                 place = np.arange(len(h)) - np.repeat(first, n)
                 take = place < np.repeat(n - (threshold * n + 99) // 100 + 1, n)
                 prefix = h[order][take]
-                points = []
+                points, coarse = [], []
                 for at, m, g in zip(first, n, _resolution(n), strict=True):
                     count = np.bincount((h[at:at + m] >> np.uint64(64 - g)).astype(np.int64), minlength=1 << g)
                     # a count over 255 does not occur by hashing; an empty point stands for "no bound"
                     points.append(count.astype(np.uint8).tobytes() if m and count.max() < 256 else b"")
+                    count = count.reshape(1 << COARSE, -1).sum(1)
+                    coarse.append(count.astype(np.uint8 if count.max() < 256 else np.uint32).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(sid.view(np.int64)), pa.array(n, pa.int32()),
                      pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.bincount(d[take], minlength=part.num_rows))],
                                                        pa.int32()), pa.array(prefix.view(np.int64))),
-                     pa.array(points, pa.binary())], names=["id", "text_hash", "sid", "n", "prefix", "point"])
+                     pa.array(points, pa.binary()), pa.array(coarse, pa.binary())],
+                    names=["id", "text_hash", "sid", "n", "prefix", "point", "coarse"])
 
     return rows.mapInArrow(run, schema)
 
 
-def coarse_point(point: bytes) -> np.ndarray | None:
-    """The point's counts summed to 2 ** COARSE coordinates."""
-    if not point:
-        return None
-    return np.frombuffer(point, np.uint8).reshape(1 << COARSE, -1).sum(1, dtype=np.uint16)
-
-
 def overlap_bound(a: bytes, b: bytes) -> int:
     """Sum of coordinate minima at the coarser resolution of two points."""
     if not a or not b:
@@ -236,31 +231,52 @@ def _may_link(na, nb, overlap, threshold):
     return overlap * (100 + threshold) >= threshold * (na + nb)
 
 
+def _fold(points: np.ndarray, width: int) -> np.ndarray:
+    """Points at a coarser resolution: neighbouring groups are summed."""
+    return points if points.shape[1] == width else points.reshape(len(points), width, -1).sum(2, dtype=np.uint16)
+
+
 class _Tree:
-    """Packed R-tree over one block's points, sorted by set size: leaves of LEAF points,
-    each with the range of the sizes and the maxima of the coordinates."""
+    """Packed R-tree over one block's points, sorted by set size: leaves of LEAF points, each at the
+    coarsest resolution of its points, with the range of the sizes and the maxima of the coordinates."""
 
-    def __init__(self, n: np.ndarray, points: np.ndarray) -> None:
-        self.n, self.points = n, points
+    def __init__(self, n: np.ndarray, points: list[bytes]) -> None:
+        self.n = n
         self.first = np.arange(0, len(n), LEAF)
         self.last = np.minimum(self.first + LEAF, len(n))
         self.low_n, self.high_n = n[self.first], n[self.last - 1]
-        self.high = np.maximum.reduceat(points, self.first, axis=0)
+        self.leaves: list[np.ndarray | None] = []
+        for a, b in zip(self.first, self.last, strict=True):
+            width = min(len(p) for p in points[a:b])
+            self.leaves.append(np.concatenate([_fold(np.frombuffer(p, np.uint8)[None], width) for p in points[a:b]])
+                               if width else None)
+        self.high = [None if x is None else x.max(0) for x in self.leaves]
+
+    def _bounds(self, a: int, b: int) -> np.ndarray | None:
+        """Overlap bounds of the points of two leaves; None if even their maxima are too small."""
+        x, y, u, v = self.leaves[a], self.leaves[b], self.high[a], self.high[b]
+        if x is None or y is None:
+            return np.full((self.last[a] - self.first[a], self.last[b] - self.first[b]), 1 << 40)
+        width = min(len(u), len(v))
+        x, y = _fold(x, width), _fold(y, width)
+        u, v = x.max(0), y.max(0)
+        if not _may_link(self.low_n[a], self.low_n[b], int(np.minimum(u, v).sum(dtype=np.int64)), self.threshold):
+            return None
+        return np.minimum(x[:, None, :], y[None, :, :]).sum(2, dtype=np.int64)
 
     def pairs(self, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Position pairs i < j whose points may link."""
+        self.threshold = threshold
         for a in range(len(self.first)):
-            near = np.arange(a, len(self.first))
-            near = near[threshold * self.low_n[near] <= 100 * self.high_n[a]]
-            bound = np.minimum(self.high[a], self.high[near]).sum(1, dtype=np.int64)
-            for b in near[_may_link(self.low_n[a], self.low_n[near], bound, threshold)]:
-                i, j = np.meshgrid(np.arange(self.first[a], self.last[a]),
-                                   np.arange(self.first[b], self.last[b]), indexing="ij")
-                keep = i < j
-                i, j = i[keep], j[keep]
-                bound = np.minimum(self.points[i], self.points[j]).sum(1, dtype=np.int64)
-                keep = _may_link(self.n[i], self.n[j], bound, threshold)
-                yield i[keep], j[keep]
+            for b in range(a, len(self.first)):
+                if threshold * self.low_n[b] > 100 * self.high_n[a]:
+                    break
+                bounds = self._bounds(a, b)
+                if bounds is not None:
+                    i, j = np.arange(self.first[a], self.last[a]), np.arange(self.first[b], self.last[b])
+                    may = _may_link(self.n[i][:, None], self.n[j][None, :], bounds, threshold) & (i[:, None] < j[None, :])
+                    p, q = np.nonzero(may)
+                    yield i[p], j[q]
 
 
 def _block_pairs(blocks: DataFrame, threshold: int) -> DataFrame:
@@ -271,11 +287,10 @@ def _block_pairs(blocks: DataFrame, threshold: int) -> DataFrame:
         key = np.stack([t["key"].to_numpy(), t["i"].to_numpy().astype(np.int64), t["j"].to_numpy().astype(np.int64)])
         n, pos = t["n"].to_numpy().astype(np.int64), t["pos"].to_numpy().astype(np.int64)
         sid, comp, chunk = t["sid"].to_numpy(), t["comp"].to_numpy(), t["chunk"].to_numpy()
-        points = np.full((len(n), 1 << COARSE), 1 << 14, np.uint16)  # where there is no point: no bound
-        for k, p in enumerate(t["point"].to_pylist()):
-            c = coarse_point(p)
-            if c is not None:
-                points[k] = c
+        raw, fine = t["point"].to_pylist(), t["fine"].to_numpy(zero_copy_only=False)
+        points = np.zeros((len(n), 1 << COARSE), np.uint32)
+        for k in np.flatnonzero(~fine):
+            points[k] = np.frombuffer(raw[k], np.uint8 if len(raw[k]) == 1 << COARSE else np.uint32)
         edge = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(0), True])
         size = np.diff(edge)
         block = np.repeat(np.arange(len(size)), size)
@@ -290,7 +305,7 @@ def _block_pairs(blocks: DataFrame, threshold: int) -> DataFrame:
             return x[ok], y[ok]
 
         # blocks of one leaf, all at once: the pairs at distance d in the same block
-        small = np.repeat(size <= LEAF, size)
+        small = ~fine
         for d in range(1, min(LEAF, len(n))):
             x = np.flatnonzero(small[:-d] & (block[:-d] == block[d:]))
             if not len(x):
@@ -300,9 +315,9 @@ def _block_pairs(blocks: DataFrame, threshold: int) -> DataFrame:
                 i, j = x[at:at + (1 << 14)], y[at:at + (1 << 14)]
                 ok = _may_link(n[i], n[j], np.minimum(points[i], points[j]).sum(1, dtype=np.int64), threshold)
                 found.append((i[ok], j[ok]))
-        for k in np.flatnonzero(size > LEAF):
+        for k in np.flatnonzero(fine[edge[:-1]]):
             at = edge[k]
-            for i, j in _Tree(n[at:edge[k + 1]], points[at:edge[k + 1]]).pairs(threshold):
+            for i, j in _Tree(n[at:edge[k + 1]], raw[at:edge[k + 1]]).pairs(threshold):
                 found.append(keep(i + at, j + at))
         x = np.concatenate([f[0] for f in found]) if found else np.empty(0, int)
         y = np.concatenate([f[1] for f in found]) if found else np.empty(0, int)
@@ -333,7 +348,7 @@ def _block_pairs(blocks: DataFrame, threshold: int) -> DataFrame:
              .withColumn("chunk", F.pmod("sid", F.col("chunks")).cast("int"))
              .withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
              .select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-                     "n", "pos", "sid", "comp", "chunk", "point")
+                     "n", "pos", "sid", "comp", "chunk", "point", "fine")
              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n"))
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
@@ -345,7 +360,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, text_col: str,
 
     def bound(batches):
         for batch in batches:
-            ok = [9 and _may_link(na, nb, overlap_bound(x, y), threshold)
+            ok = [_may_link(na, nb, overlap_bound(x, y), threshold)
                   for na, nb, x, y in zip(*(batch.column(k).to_pylist() for k in range(4, 8)), strict=True)]
             yield batch.select(range(4)).filter(pa.array(ok, pa.bool_()))
 
@@ -355,17 +370,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, text_col: str,
                         F.col("point").alias("pb"))
     left = cut_lineage(pairs.join(one, "a").join(two, "b").select("a", "b", "ha", "hb", "na", "nb", "pa", "pb")
                        .mapInArrow(bound, "a long, b long, ha long, hb long"))
-    # texts of these documents alone: a bitmap of their text hashes (fixed size, so safe to broadcast)
-    # thins the scan; what it lets through by chance joins with nothing
+    # texts of these documents alone, thinned in the scan before the exact join
     hashes = left.select(F.explode(F.array("ha", "hb")).alias("text_hash")).distinct()
-    word = F.expr(f"pmod(text_hash, {FILTER_BITS}) div 64")
-    bits = hashes.groupBy(word.alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(text_hash, {FILTER_BITS}) % 64 as int))")).alias("bits"))
     text = text_or_empty(docs[text_col])
     rows = docs.select(F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    thin = (rows.join(F.broadcast(bits), word == F.col("word"))
-            .where(F.expr(f"shiftright(bits, cast(pmod(text_hash, {FILTER_BITS}) % 64 as int)) & 1 = 1"))
-            .select("text_hash", "text"))
+    thin = hash_thinned(rows, hashes, "text_hash").select("text_hash", "text")
 
     def shingles(batches):
         for batch in batches:
@@ -412,8 +421,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = multi.join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
         "comp", F.coalesce("component", "sid")).drop("component")
     mixed = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    points = sets.where("n > 0").select("sid", "point").dropDuplicates(["sid"])
-    blocks = labelled.join(mixed.select("key"), "key", "left_semi").join(points, "sid")
+    # blocks of more than a leaf take the fine points: there the number of pairs counts
+    points = sets.where("n > 0").select("sid", "point", "coarse").dropDuplicates(["sid"])
+    blocks = (labelled.join(mixed.select("key"), "key", "left_semi").withColumn("fine", F.col("c") > LEAF))
+    large = blocks.where("fine").join(points.select("sid", "point"), "sid")
+    small = blocks.where("not fine").join(points.select("sid", F.col("coarse").alias("point")), "sid")
+    blocks = large.unionByName(small)
     more = _block_pairs(blocks, threshold).join(star, ["a", "b"], "left_anti")
     links = links.unionByName(cut_lineage(_verified(more, docs, sets, text_col, words, threshold)))
     found = connected_components(links)
