@@ -11,7 +11,6 @@ UDF never sees the rest.
 
 from __future__ import annotations
 
-import codecs
 import encodings
 import encodings.aliases
 import pkgutil
@@ -49,15 +48,16 @@ SOURCE_MANUAL = "manual"
 
 
 def _codec_keys() -> list[str]:
-    """Every spelling the Python codec registry resolves (built from the registry)."""
+    """Every spelling of a text encoding that can encode (built from the codec registry);
+    byte transforms such as base64 and the codec that always fails are none."""
     keys = set(encodings.aliases.aliases) | set(encodings.aliases.aliases.values())
     keys |= {m.name for m in pkgutil.iter_modules(encodings.__path__)}
     ok = []
     for k in sorted(keys):
         try:
-            codecs.lookup(k)
+            "".encode(k)
             ok.append(k)
-        except LookupError:
+        except (LookupError, UnicodeError):
             pass
     return ok
 
@@ -183,11 +183,16 @@ def _decode_other(content: pd.Series, enc: pd.Series) -> pd.Series:
         b = bytes(b)
         try:
             out.append(b.decode(e, errors="replace"))
-        except (LookupError, TypeError):
+        except (LookupError, TypeError, ValueError):  # UnicodeError is a ValueError
             out.append(b.decode("utf-8", errors="replace"))
     return pd.Series(out)
 
 
+def decode_as(content: Column, charset: Column) -> Column:
+    """``content`` read in ``charset``; null content gives null."""
+    return _decode_other(content, charset)
+
+
 def _is_utf8(enc: Column) -> Column:
     return F.lower(enc).isin("utf-8", "utf8", "utf_8", "u8", "utf")
 
@@ -212,7 +217,8 @@ def with_decoded_body(df: DataFrame, content: str = "content", info: str = "enco
 
 @F.pandas_udf(T.StructType([T.StructField("encoding", T.StringType()),
                             T.StructField("confidence", T.DoubleType()),
-                            T.StructField("body", T.StringType())]))
+                            T.StructField("body", T.StringType()),
+                            T.StructField("error", T.StringType())]))
 def _guess_and_decode(content: pd.Series, enc: pd.Series, statistical: pd.Series) -> pd.DataFrame:
     try:
         from charset_normalizer import from_bytes
@@ -221,10 +227,10 @@ def _guess_and_decode(content: pd.Series, enc: pd.Series, statistical: pd.Series
     out = []
     for b, e, stat in zip(content, enc, statistical):
         if b is None:
-            out.append((e or "utf-8", None, None))
+            out.append((e or "utf-8", None, None, None))
             continue
         b = bytes(b)
-        conf = None
+        conf, error = None, None
         if e is None:
             e, conf = "utf-8", 0.0
             if stat and len(b) and from_bytes is not None:
@@ -233,10 +239,10 @@ def _guess_and_decode(content: pd.Series, enc: pd.Series, statistical: pd.Series
                     e, conf = best.encoding, float(1.0 - best.chaos)
         try:
             text = b.decode(e, errors="replace")
-        except (LookupError, TypeError):
-            text = b.decode("utf-8", errors="replace")
-        out.append((e, conf, text))
-    return pd.DataFrame(out, columns=["encoding", "confidence", "body"])
+        except (LookupError, TypeError, ValueError) as exc:  # UnicodeError is a ValueError
+            text, error = b.decode("utf-8", errors="replace"), f"{e}: {exc}"
+        out.append((e, conf, text, error))
+    return pd.DataFrame(out, columns=["encoding", "confidence", "body", "error"])
 
 
 def decode_content(df: DataFrame, content: str = "content", headers: str = "headers",
@@ -244,13 +250,14 @@ def decode_content(df: DataFrame, content: str = "content", headers: str = "head
                    info: str = "encoding_info", out: str = "body") -> DataFrame:
     """X14-X17 in two branches: rows whose charset is decided by manual /
     header / meta evidence and is UTF-8 decode JVM-side; every other row goes
-    through one pandas UDF that guesses (if undecided) and decodes."""
+    through one pandas UDF that guesses (if undecided) and decodes. A charset that
+    fails to decode leaves its message in ``encoding_error`` and the UTF-8 reading as text."""
     decided = with_encoding_info(df, content, headers, manual, statistical=False, out="_dec")
     src = F.col("_dec.source")
     undecided = src == SOURCE_DEFAULT
     native = decided.filter(~undecided & _is_utf8(F.col("_dec.encoding"))).withColumn(
         out, F.coalesce(decode_utf8(F.col(content)), F.lit("")))
-    native = native.withColumnRenamed("_dec", info)
+    native = native.withColumnRenamed("_dec", info).withColumn("encoding_error", F.lit(None).cast("string"))
     rest = decided.filter(undecided | ~_is_utf8(F.col("_dec.encoding")))
     g = _guess_and_decode(F.col(content), F.when(~undecided, F.col("_dec.encoding")),
                           F.lit(bool(statistical)))
@@ -262,6 +269,7 @@ def decode_content(df: DataFrame, content: str = "content", headers: str = "head
                                      F.lit(SOURCE_STAT), F.lit("chardet")))
                 .otherwise(F.col("_dec")))
             .withColumn(out, F.coalesce(F.col("_g.body"), F.lit("")))
+            .withColumn("encoding_error", F.col("_g.error"))
             .drop("_g", "_dec"))
     return native.unionByName(rest)
 

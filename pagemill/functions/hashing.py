@@ -28,12 +28,7 @@ def content_hash(content: Column) -> Column:
     return sha256_or_empty(content)
 
 
-def hex_id(hex_digest: Column) -> Column:
-    """60-bit id from the first 15 hex digits of a digest (SQL-reproducible)."""
-    return F.conv(F.substring(hex_digest, 1, 15), 16, 10).cast("bigint")
-
-
 def article_id(link_hash_col: Column, fallback_key: Column) -> Column:
-    """Deterministic id, stable across re-runs: from the link hash, or - for
-    rows without a link (never de-duplicated) - from a unique fallback key."""
-    return F.when(link_hash_col != "", hex_id(link_hash_col)).otherwise(hex_id(F.md5(fallback_key)))
+    """Deterministic id, stable across re-runs: the whole link hash, or - for
+    rows without a link (never de-duplicated) - the digest of a unique fallback key."""
+    return F.when(link_hash_col != "", link_hash_col).otherwise(F.md5(fallback_key))

@@ -322,8 +322,8 @@ def _html_attr(name: str, s: str) -> str:
 
 
 def _comment(s: str) -> str:
-    s = s.replace("--", "- -")
-    return s[:-1] + "- " if s.endswith("-") else s
+    """Comment text without ``--`` and without a hyphen at its end, as XML asks."""
+    return re.sub(r"-(?=-|\Z)", "- ", s)
 
 
 def normalize(html: str | None, with_html: bool = True):

@@ -3,10 +3,9 @@
 Two forms:
 
 * ``fetch(requests, snapshot)`` – the request frontier joined to a page
-  snapshot on url. Written as ``snapshot RIGHT JOIN requests`` so the
-  planner may broadcast a small frontier (AQE measures it at run time)
-  and otherwise shuffles only the frontier when the snapshot is already
-  hash-partitioned by url (``page_snapshot``).
+  snapshot on url: an inner join, for which the planner may broadcast a small
+  frontier (never the pages of an outer join's other side), and, with the urls
+  of the snapshot alone, an anti-join for the requests that have no page.
 * ``fetch_with(requests, fetcher)`` – a user-supplied client called inside
   ``mapInPandas`` over ``repartition(n, host, salt)`` (politeness per task,
   hot hosts split over a few tasks, one client per partition), with the
@@ -73,7 +72,10 @@ def fetch(requests: DataFrame, snapshot: DataFrame, profile: str = "worker",
         (F.col("headers") if "headers" in snapshot.columns else empty_map()).alias("_hdrs"),
         *([F.col("content").alias("_content")] if has_bytes else []),
     )
-    j = snap.join(req, snap["_surl"] == req["url"], "right")
+    hit = snap.join(req, snap["_surl"] == req["url"], "inner")
+    urls = snap.select(F.col("_surl").alias("_known")).filter(F.col("_known").isNotNull())
+    miss = req.join(urls, req["url"] == urls["_known"], "left_anti")
+    j = hit.unionByName(miss, allowMissingColumns=True)
     matched = F.col("_surl").isNotNull()
     http_status = F.when(matched, F.col("_code"))
     ok = matched & (F.col("_code") < 400)
@@ -110,21 +112,27 @@ def with_charset_columns(responses: DataFrame, decode_bytes: bool) -> DataFrame:
                                 info="_enc", out="_decoded")
         declared = CH.charset_from_headers(F.col("headers"))
         dec = dec.withColumn("body", F.when(ok, F.col("_decoded")).otherwise(F.col("body")))
-        # the text as the header declared it differs from ours only when we
-        # decoded with another charset (manual override); unknown without one
-        reencoded = F.when(declared.isNotNull(), F.col("_enc.encoding") != declared)
-        out = dec.drop("_decoded", "content")
+        # by text: decoded as the header declares it, the body would read differently; the text
+        # can differ only where we decoded with another charset, so only those rows are decoded again
+        other = declared.isNotNull() & (F.col("_enc.encoding") != declared)
+        dec = dec.withColumn("_declared", F.when(other, CH.decode_as(F.when(other, F.col("content")), declared)))
+        reencoded = F.when(declared.isNotNull(), F.coalesce(F.col("_declared") != F.col("body"), F.lit(False)))
+        dec = dec.withColumn("_re", reencoded)
+        reencoded = F.col("_re")
+        out = dec.drop("_decoded", "content", "_declared")
     else:
         out = CH.with_encoding_info(
             responses.withColumn("_bytes", F.encode(F.substring("body", 1, CH.META_SCAN_BYTES), "UTF-8")),
             "_bytes", "headers", manual=F.col("meta.encoding"), statistical=False,
             out="_enc").drop("_bytes")
+        out = out.withColumn("encoding_error", F.lit(None).cast("string"))
         reencoded = F.lit(False)
     return (out.withColumn("encoding", F.when(ok, F.col("_enc.encoding")))
             .withColumn("encoding_confidence", F.when(ok, F.col("_enc.confidence")))
             .withColumn("encoding_source", F.when(ok, F.col("_enc.source")))
             .withColumn("body_reencoded", F.when(ok, reencoded))
-            .drop("_enc"))
+            .withColumn("encoding_error", F.when(ok, F.col("encoding_error")))
+            .drop("_enc", "_re"))
 
 
 def merge_headers(session_headers: dict, request_headers):

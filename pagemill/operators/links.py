@@ -112,6 +112,21 @@ def link_step(responses: DataFrame, step: Step, wf: Workflow, profile: str = "wo
     ))
 
 
+def link_dead_letters(responses: DataFrame, step: Step, profile: str = "worker",
+                      dom_col: str = "dom") -> DataFrame:
+    """Links of the step that name no page (a malformed authority): error, stage, payload.
+    ``link_step`` gives them a null url, which no fetch takes."""
+    link_rule, _ = split_link_rules(step)
+    empty = responses.sparkSession.createDataFrame([], "error string, stage string, payload string")
+    if link_rule is None:
+        return empty
+    links = cap_links(R.values(F.col(dom_col), link_rule, profile), link_rule.max_links)
+    return (responses.select(F.col("url"), F.explode(links).alias("_raw"))
+            .filter(urljoin(F.col("url"), F.col("_raw")).isNull())
+            .select(F.lit("link cannot be resolved").alias("error"), F.lit("links").alias("stage"),
+                    F.to_json(F.struct(F.col("url").alias("page"), F.col("_raw").alias("link"))).alias("payload")))
+
+
 def preview_links(responses: DataFrame, step: Step, profile: str = "worker",
                   dom_col: str = "dom") -> Column:
     """Every rule's list (maxLinks applied per rule) as map<field, array>."""

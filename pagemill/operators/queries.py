@@ -52,7 +52,7 @@ def _listing(df: DataFrame) -> DataFrame:
 
 def get_article_by_id(store: ArticleTables, article_id, include_content: bool = True) -> DataFrame:
     """0 or 1 row."""
-    a = _listing(store.articles.filter(F.col("id") == F.lit(article_id).cast("bigint")))
+    a = _listing(store.articles.filter(F.col("id") == F.lit(str(article_id))))
     return _with_content(store, a) if include_content else a
 
 
@@ -65,10 +65,8 @@ def get_articles_by_ids(store: ArticleTables, ids: DataFrame, id_col: str = "id"
 
 
 def get_document_by_id(documents: DataFrame, doc_id) -> DataFrame:
-    """String id; an id that is not a valid number finds nothing."""
-    want = F.lit(str(doc_id)).try_cast("bigint") if hasattr(F.lit(1), "try_cast") else \
-        F.expr(f"try_cast('{str(doc_id)}' as bigint)")
-    return documents.filter(F.col("id").cast("bigint") == want)
+    """String id; an id of another form finds nothing."""
+    return documents.filter(F.col("id") == F.lit(str(doc_id)))
 
 
 def get_articles_by_task(store: ArticleTables, task_id, include_content: bool = False,

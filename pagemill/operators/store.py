@@ -110,10 +110,17 @@ def save_articles(store: ArticleTables, batch: DataFrame, batch_id: int | str =
     stored_keys = source.select(F.col(dedup_on).alias("_k")).filter(F.col("_k") != "")
     new = _not_stored(winners, stored_keys, dedup_on)
     inserted = new.select(F.col("seq").alias("_seq"), F.lit(True).alias("_ins"))
-    outcomes = (prepared.join(inserted, prepared["seq"] == inserted["_seq"], "left")
-                .select("seq", F.col("id").alias("article_id"),
-                        F.when(F.col("_ins"), F.lit("inserted")).otherwise(F.lit("existing"))
-                        .alias("status")))
+    marked = prepared.join(inserted, prepared["seq"] == inserted["_seq"], "left")
+    if dedup_on == "link_hash":  # the id is the link hash, so a duplicate has the id of its link
+        holder = F.col("id")
+    else:  # the id of the row that holds the key: a new one of this batch or a stored one
+        held = (new.filter(F.col(dedup_on) != "").select(F.col(dedup_on).alias("_hk"), F.col("id").alias("_hid"))
+                .unionByName(source.filter(F.col(dedup_on) != "").groupBy(F.col(dedup_on).alias("_hk"))
+                             .agg(F.min("article_id").alias("_hid"))))
+        marked = marked.join(held, marked[dedup_on] == held["_hk"], "left")
+        holder = F.when(F.col("_ins"), F.col("id")).otherwise(F.coalesce("_hid", "id"))
+    outcomes = marked.select("seq", holder.alias("article_id"),
+                             F.when(F.col("_ins"), F.lit("inserted")).otherwise(F.lit("existing")).alias("status"))
     return SaveResult(new, outcomes)
 
 
@@ -124,9 +131,9 @@ def apply_save(store: ArticleTables, result: SaveResult) -> ArticleTables:
 
 
 # ---- deletes (K14, K15, J4, A8) --------------------------------------------
-def delete_article(store: ArticleTables, article_id_value: int):
+def delete_article(store: ArticleTables, article_id_value: str):
     """Drop one article and its content. Returns (tables, deleted_count_df)."""
-    aid = F.lit(article_id_value).cast("bigint")
+    aid = F.lit(str(article_id_value))
     deleted = store.articles.filter(F.col("id") == aid).agg(F.count("*").alias("deleted"))
     return (ArticleTables(store.articles.filter(F.col("id") != aid),
                           store.contents.filter(F.col("article_id") != aid)), deleted)
@@ -150,30 +157,49 @@ def to_documents(store: ArticleTables, as_of: str | None = None) -> DataFrame:
     """One record per article with content inline, extra nested, updated_at."""
     c = store.contents.select(F.col("article_id"), F.col("content"), F.col("content_hash"))
     return (store.articles.join(c, store.articles["id"] == c["article_id"], "left")
-            .select(F.col("id").cast("string").alias("id"), "task_id", "title", "link", "link_hash",
+            .select("id", "task_id", "title", "link", "link_hash",
                     F.coalesce("content", F.lit("")).alias("content"),
                     F.coalesce("content_hash", F.lit("")).alias("content_hash"),
-                    "source_url", F.parse_json("extra").alias("extra"), "created_at",
+                    "source_url", F.try_parse_json("extra").alias("extra"), "created_at",
                     F.col("created_at").alias("updated_at")))
 
 
+def _is_bad_extra(extra: Column) -> Column:
+    return F.try_parse_json(F.coalesce(extra, F.lit("{}"))).isNull()
+
+
+def document_dead_letters(batch: DataFrame) -> DataFrame:
+    """Items whose ``extra`` is not JSON (error, stage, item); ``save_documents`` leaves them out,
+    so one bad item costs no other."""
+    return batch.filter(_is_bad_extra(F.col("extra"))).select(
+        F.lit("extra is not JSON").alias("error"), F.lit("store").alias("stage"),
+        F.to_json(F.struct(*batch.columns)).alias("item"))
+
+
 def save_documents(documents: DataFrame, batch: DataFrame, batch_id: int | str = 0,
                    as_of: str | None = None):
-    """K7: same de-dup as K6 into the single-table form. Returns (new_docs, outcomes)."""
-    prepared = prepare(batch, batch_id, as_of)
+    """K7: same de-dup as K6 into the single-table form. Returns (new_docs, outcomes); items whose
+    ``extra`` is not JSON take no part (see ``document_dead_letters``)."""
+    prepared = prepare(batch.filter(~_is_bad_extra(F.col("extra"))), batch_id, as_of)
     winners = first_wins(prepared, "link_hash", "seq", bypass_empty=True)
     stored = documents.select(F.col("link_hash").alias("_k")).filter(F.col("_k") != "")
     new = _not_stored(winners, stored, "link_hash")
-    docs = new.select(F.col("id").cast("string").alias("id"), "task_id", "title", "link", "link_hash",
-                      "content", "content_hash", "source_url", F.parse_json("extra").alias("extra"),
+    docs = new.select("id", "task_id", "title", "link", "link_hash",
+                      "content", "content_hash", "source_url", F.try_parse_json("extra").alias("extra"),
                       "created_at", F.col("created_at").alias("updated_at"))
     ins = new.select(F.col("seq").alias("_seq"), F.lit(True).alias("_ins"))
     outcomes = (prepared.join(ins, prepared["seq"] == ins["_seq"], "left")
-                .select("seq", F.col("id").cast("string").alias("article_id"),
+                .select("seq", F.col("id").alias("article_id"),
                         F.when(F.col("_ins"), "inserted").otherwise("existing").alias("status")))
     return docs, outcomes
 
 
+def delete_document(documents: DataFrame, document_id: str):
+    """K16, one document by id. Returns (documents', deleted_count_df)."""
+    same = F.col("id") == F.lit(str(document_id))
+    return documents.filter(~same), documents.filter(same).agg(F.count("*").alias("deleted"))
+
+
 def delete_documents_by_task(documents: DataFrame, task_id: str):
     """One-table delete. Returns (documents', deleted_count_df)."""
     t = F.lit(str(task_id))
@@ -188,7 +214,7 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _exists(spark, path: str) -> bool:
+def path_exists(spark, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)
 
@@ -212,13 +238,24 @@ def _read_text(spark, path: str) -> str:
         stream.close()
 
 
+COMPACTED = "compacted"
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 class ArticleStore:
     """Parquet directories with append-per-batch and versioned rewrites.
 
     Appends write ``articles`` and ``article_contents`` under ``batch=<id>``
     partitions and then a commit marker, so a replayed batch (streaming
-    restart) is skipped. Deletes write a new version and switch the
-    ``CURRENT`` pointer; a path being read is never overwritten.
+    restart) is skipped. Readers see committed batches only: what a crash left
+    between the two writes is invisible and is overwritten by the replay. The
+    markers lie beside the versions, so a batch stays committed after a delete
+    and a replay does not bring back what was deleted. Deletes write a new version and
+    switch the ``CURRENT`` pointer; a path being read is never overwritten.
 
     ``buckets=n`` keeps both tables as catalog tables over the same folders,
     bucketed by ``link_hash`` (articles) and ``article_id`` (contents): the
@@ -253,12 +290,16 @@ class ArticleStore:
                 f"CREATE TABLE IF NOT EXISTS {name} ({cols}, batch STRING) USING parquet "
                 f"PARTITIONED BY (batch) CLUSTERED BY ({key}) SORTED BY ({key}) "
                 f"INTO {int(self.buckets)} BUCKETS LOCATION '{self._dir(table, v)}'")
-            if _exists(self.spark, self._dir(table, v)):  # data written before: register it
+            if path_exists(self.spark, self._dir(table, v)):  # data written before: register it
                 self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         return name
 
     def committed(self, batch_id) -> bool:
-        return _exists(self.spark, f"{self._dir('_commits')}/{batch_id}")
+        return path_exists(self.spark, f"{self.root}/_commits/{batch_id}")
+
+    def _visible(self) -> Column:
+        """Rows of committed batches, and of the base that a delete wrote with its version."""
+        return F.col("batch").isin(*_names(self.spark, f"{self.root}/_commits"), COMPACTED)
 
     def load(self) -> ArticleTables:
         spark = self.spark
@@ -267,12 +308,12 @@ class ArticleStore:
             schema = self.SCHEMAS[table]
             cols = [f.name for f in schema.fields]
             if self.buckets:
-                return spark.table(self._table(table)).select(*cols)
+                return spark.table(self._table(table)).filter(self._visible()).select(*cols)
             path = self._dir(table)
-            if not _exists(spark, path):
+            if not path_exists(spark, path):
                 return spark.createDataFrame([], schema)
             with_batch = T.StructType(list(schema.fields) + [T.StructField("batch", T.StringType())])
-            return spark.read.schema(with_batch).parquet(path).select(*cols)
+            return spark.read.schema(with_batch).parquet(path).filter(self._visible()).select(*cols)
         return ArticleTables(read("articles"), read("article_contents"))
 
     def _write(self, table: str, df: DataFrame, batch: str, version: int | None = None) -> None:
@@ -296,13 +337,13 @@ class ArticleStore:
         result = result.materialized()  # both tables from one computation
         self._write("articles", result.articles, str(batch_id))
         self._write("article_contents", result.contents, str(batch_id))
-        _write_text(self.spark, f"{self._dir('_commits')}/{batch_id}", "")
+        _write_text(self.spark, f"{self.root}/_commits/{batch_id}", "")
         return True
 
     def replace(self, tables: ArticleTables) -> int:
         new_v = self._version() + 1
-        self._write("articles", tables.articles, "compacted", new_v)
-        self._write("article_contents", tables.contents, "compacted", new_v)
+        self._write("articles", tables.articles, COMPACTED, new_v)
+        self._write("article_contents", tables.contents, COMPACTED, new_v)
         _write_text(self.spark, f"{self.root}/CURRENT", str(new_v))
         return new_v
 
@@ -320,16 +361,17 @@ class DocumentStore:
         self.root = root.rstrip("/")
 
     def committed(self, batch_id) -> bool:
-        return _exists(self.spark, f"{self.root}/_commits/{batch_id}")
+        return path_exists(self.spark, f"{self.root}/_commits/{batch_id}")
 
     def load(self) -> DataFrame:
         """Documents with ``extra`` parsed back to VARIANT."""
         path = f"{self.root}/documents"
-        if not _exists(self.spark, path):
+        if not path_exists(self.spark, path):
             raw = self.spark.createDataFrame([], self.SCHEMA)
         else:
-            raw = self.spark.read.schema(self.SCHEMA + ", batch string").parquet(path).drop("batch")
-        return raw.withColumn("extra", F.parse_json("extra"))
+            raw = (self.spark.read.schema(self.SCHEMA + ", batch string").parquet(path)
+                   .filter(F.col("batch").isin(*_names(self.spark, f"{self.root}/_commits"))).drop("batch"))
+        return raw.withColumn("extra", F.try_parse_json("extra"))
 
     def save(self, batch: DataFrame, batch_id, as_of: str | None = None):
         """K7 + persist: returns the outcomes, or None when the batch was already saved."""
@@ -359,17 +401,22 @@ def save_to_targets(batch: DataFrame, targets: list, batch_id, dead_letter_path:
         try:
             if isinstance(target, DocumentStore):
                 target.save(batch, batch_id, as_of=as_of)
+                if dead_letter_path:  # single items that the store cannot take
+                    _write_dead(document_dead_letters(batch), f"{dead_letter_path}", f"{batch_id}-items")
             else:
                 target.append(save_articles(target.load(), batch, batch_id=batch_id, as_of=as_of),
                               batch_id)
             return type(target).__name__
         except Exception as exc:  # noqa: BLE001 - any store failure routes the batch on
-            errors.append(f"{type(target).__name__} save failed: {exc}"[:1000])
+            errors.append(f"{type(target).__name__} save failed: {exc}")
             if not fallback:
                 break
     if dead_letter_path:
-        (batch.select(F.lit("; ".join(errors)).alias("error"), F.lit("store").alias("stage"),
-                      F.to_json(F.struct(*batch.columns)).alias("item"))
-         .withColumn("batch", F.lit(str(batch_id))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(dead_letter_path))
+        _write_dead(batch.select(F.lit("; ".join(errors)).alias("error"), F.lit("store").alias("stage"),
+                                 F.to_json(F.struct(*batch.columns)).alias("item")), dead_letter_path, str(batch_id))
     return "dead_letter"
+
+
+def _write_dead(rows: DataFrame, path: str, batch: str) -> None:
+    (rows.withColumn("batch", F.lit(batch)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(path))

@@ -1,12 +1,14 @@
 """The workflow used by the registered queries over the ``pages`` table.
 
-Shaped like the format's demo: a request step (default headers), a link
-step (nav links capped by maxLinks, zipped with anchor text and the page
-heading) and a terminal data step.
+A request step (default headers), a link step (all nav links, zipped with
+anchor text and the page heading) and a terminal data step. A cap on the links
+is a feature of a rule (``maxLinks``) and set only where that is what is asked.
 """
 
 from __future__ import annotations
 
+import copy
+
 from pagemill.config import parse_config
 
 SITE_CONFIG = {
@@ -18,8 +20,7 @@ SITE_CONFIG = {
                     "headersJson": "{\"User-Agent\": \"pagemill\"}"}},
         {"id": 2, "type": "link_extraction",
          "config": {"linkExtractionRules": [
-             {"fieldName": "link", "expression": "//nav//a/@href", "extractType": "xpath",
-              "maxLinks": 5},
+             {"fieldName": "link", "expression": "//nav//a/@href", "extractType": "xpath"},
              {"fieldName": "anchor", "expression": "//nav//a/text()", "extractType": "xpath"},
              {"fieldName": "section", "expression": "//h1/text()", "extractType": "xpath"},
          ]}},
@@ -47,5 +48,10 @@ PAGE_RULES = {
 }
 
 
-def site_workflow():
-    return parse_config(SITE_CONFIG)
+def site_workflow(max_links: int | None = None):
+    """The workflow; ``max_links`` sets the link rule's cap."""
+    if max_links is None:
+        return parse_config(SITE_CONFIG)
+    config = copy.deepcopy(SITE_CONFIG)
+    config["workflowSteps"][1]["config"]["linkExtractionRules"][0]["maxLinks"] = max_links
+    return parse_config(config)

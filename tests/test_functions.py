@@ -67,3 +67,38 @@ def test_local_now_and_iso(spark):
                                "t timestamp_ntz")
     got = [r[0] for r in df.select(T.iso_with_offset(F.col("t"))).collect()]
     assert got == ["2024-01-01T08:00:00+08:00", "2024-01-01T08:00:00.000005+08:00"]
+
+
+def test_urljoin_resolves_as_rfc_3986_says(spark):
+    from pyspark.sql import functions as F
+
+    from pagemill.functions.urls import urljoin
+
+    base = "http://a/b/c/d;p?q"
+    want = {"g:h": "g:h", "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g",
+            "//g": "http://g", "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y", "#s": "http://a/b/c/d;p?q#s",
+            "g#s": "http://a/b/c/g#s", "g?y#s": "http://a/b/c/g?y#s", ";x": "http://a/b/c/;x", "g;x": "http://a/b/c/g;x",
+            "": base, ".": "http://a/b/c/", "./": "http://a/b/c/", "..": "http://a/b/", "../": "http://a/b/",
+            "../g": "http://a/b/g", "../..": "http://a/", "../../g": "http://a/g", "../../../g": "http://a/g",
+            "/./g": "http://a/g", "/../g": "http://a/g", "g.": "http://a/b/c/g.", "..g": "http://a/b/c/..g",
+            "./../g": "http://a/b/g", "./g/.": "http://a/b/c/g/", "g/../h": "http://a/b/c/h", "g?y/../x": "http://a/b/c/g?y/../x",
+            "http:g": "http://a/b/c/g", " \n/x\ty": "http://a/xy", "mailto:a@b": "mailto:a@b", "http://[x": None}
+    df = spark.createDataFrame([(base, r) for r in want] + [(None, "g")], "b string, r string")
+    got = df.select("b", "r", urljoin(F.col("b"), F.col("r")).alias("u")).collect()
+    assert {x.r: x.u for x in got if x.b} == want and [x.u for x in got if not x.b] == [None]
+
+
+def test_codec_names_are_text_encodings_that_encode():
+    from pagemill.functions.charset import CODEC_KEYS
+
+    assert {"utf_8", "gbk", "big5", "latin_1"} <= set(CODEC_KEYS)
+    assert not {"base64", "undefined", "rot13", "hex"} & set(CODEC_KEYS)
+
+
+def test_a_charset_that_cannot_decode_is_reported(spark):
+    from pagemill.functions.charset import decode_content
+
+    df = spark.createDataFrame([(bytearray(b'<meta charset="idna">a..b'), {}), (bytearray(b'<meta charset="undefined">x'), {})],
+                               "content binary, headers map<string,string>")
+    rows = decode_content(df, "content").select("body", "encoding_error").collect()
+    assert all(r.body for r in rows) and any((r.encoding_error or "").startswith("idna") for r in rows)

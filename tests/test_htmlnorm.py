@@ -69,3 +69,20 @@ def test_any_tag_soup_is_well_formed(html):
     assert len(starts) == len(lens) == x.count("_nid=")
     for s, n in zip(starts, lens):
         assert h[s - 1: s - 1 + n].startswith("<")
+
+
+def test_every_output_is_well_formed():
+    import xml.etree.ElementTree as ET
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from pagemill.functions.htmlnorm import normalize
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.text(alphabet="<>!-/ab=\"'& ;?p\n", max_size=80), st.text(max_size=20))
+    def check(a, b):
+        for html in (a, b, f"<!-- --- nav --- -->{a}", f"<!--{a}-->", f"<p>{a}<!--{b}"):
+            ET.fromstring(normalize(html)[0])
+
+    check()

@@ -115,6 +115,50 @@ def test_article_store_append_is_idempotent_per_batch(spark):
     assert store.load().articles.count() == 0
 
 
+def test_crash_between_the_two_writes_loses_nothing(spark):
+    store = ArticleStore(spark, scratch_dir(spark, "crash"))
+    rows = [("t", "A", "https://h/1", "x", "s", "{}", [0, 1]), ("t", "B", "https://h/2", "y", "s", "{}", [0, 2])]
+    res = save_articles(store.load(), _batch(spark, rows), batch_id=0)
+    store._write("articles", res.articles, "0")  # and then the job dies
+    assert store.load().articles.count() == 0
+    again = save_articles(store.load(), _batch(spark, rows), batch_id=0)
+    assert store.append(again, 0)
+    assert store.load().articles.count() == 2 and store.load().contents.count() == 2
+
+
+def test_replay_after_a_delete_brings_nothing_back(spark):
+    store = ArticleStore(spark, scratch_dir(spark, "replay"))
+    rows = [("t", "A", "https://h/1", "x", "s", "{}", [0, 1]), ("u", "B", "https://h/2", "y", "s", "{}", [0, 2])]
+    store.append(save_articles(store.load(), _batch(spark, rows), batch_id=0), 0)
+    tables, _ = delete_by_task(store.load(), "t")
+    store.replace(tables)
+    assert store.committed(0)
+    assert store.append(save_articles(store.load(), _batch(spark, rows), batch_id=0), 0) is False
+    assert [r.title for r in store.load().articles.collect()] == ["B"]
+
+
+def test_outcomes_of_content_duplicates_name_the_row_that_holds_them(spark):
+    first = [("t", "A", "https://h/1", "same", "s", "{}", [0, 1])]
+    more = [("t", "B", "https://h/2", "same", "s", "{}", [1, 1]), ("t", "C", "https://h/3", "new", "s", "{}", [1, 2]),
+            ("t", "D", "https://h/4", "new", "s", "{}", [1, 3])]
+    one = save_articles(ArticleTables.empty(spark), _batch(spark, first), dedup_on="content_hash")
+    store = apply_save(ArticleTables.empty(spark), one)
+    two = save_articles(store, _batch(spark, more), batch_id=1, dedup_on="content_hash")
+    ids = {r.title: r.id for r in apply_save(store, two).articles.collect()}
+    got = {tuple(r.seq): (r.article_id, r.status) for r in two.outcomes.collect()}
+    assert got == {(1, 1): (ids["A"], "existing"), (1, 2): (ids["C"], "inserted"), (1, 3): (ids["C"], "existing")}
+
+
+def test_one_bad_extra_costs_no_other_document(spark):
+    from pagemill.operators.store import document_dead_letters
+
+    rows = [("t", "A", "https://h/1", "x", "s", "{not json", [0, 1]), ("t", "B", "https://h/2", "y", "s", "{}", [0, 2])]
+    docs, outcomes = save_documents(to_documents(ArticleTables.empty(spark)), _batch(spark, rows))
+    assert [r.title for r in docs.collect()] == ["B"] and outcomes.count() == 1
+    dead = document_dead_letters(_batch(spark, rows)).collect()
+    assert [d.error for d in dead] == ["extra is not JSON"] and "{not json" in dead[0].item
+
+
 def test_dedup_on_content_hash_and_document_delete(spark):
     from pagemill.operators.store import delete_documents_by_task
 
@@ -164,8 +208,12 @@ def test_bucketed_store_reads_stored_keys_without_shuffle(spark):
     store = ArticleStore(spark, root, buckets=4, table_prefix="pm_test")
     rows = [("t", f"T{i}", f"https://h/{i}", f"c{i}", "s", "{}", [0, i]) for i in range(20)]
     assert store.append(save_articles(store.load(), _batch(spark, rows[:10]), batch_id=0), 0)
-    res = save_articles(store.load(), _batch(spark, rows[5:]), batch_id=1)
-    plan = res.rows._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for a store that is not small
+    try:
+        res = save_articles(store.load(), _batch(spark, rows[5:]), batch_id=1)
+        plan = res.rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     scan = [line for line in plan.split("\n") if "pm_test_articles" in line]
     assert scan and "Bucketed: true" in scan[0]
     assert store.append(res, 1) and store.load().articles.count() == 20
