@@ -68,9 +68,6 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
                  dedup_urls: bool = False, checkpoint: bool = True) -> WorkflowResult:
     """Loop fetch -> extract -> frontier until the frontier is empty, or ``max_rounds`` are over."""
     spark = seeds.sparkSession
-    mode = "strict" if profile == "spider" else "lenient"
-    all_rules = [r for s in wf.steps for r in (s.link_rules + s.data_rules)]
-    spans = R.needs_spans(all_rules, profile)
     frontier = seeds.select(*REQUEST_COLS)
     items_parts, dead_parts = [], []
     seen = spark.createDataFrame([], "url string")  # urls already requested (T4 state)
@@ -83,31 +80,12 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds
         if dedup_urls:  # T4: persistent URL dupe filter; dont_filter rows bypass it
             frontier, seen = _dupe_filter(frontier, seen, checkpoint)
         responses = fetch(frontier, snapshot, profile, as_of, on_failed_fetch)
-        responses = responses.withColumn(
-            "_step", wf.dispatch_column(F.col("meta.workflow_index"), mode))
-        responses = with_dom(responses.filter(F.col("_step").isNotNull()), "body", spans)
+        responses = normalised(wf, responses, profile)
         if checkpoint:
             responses = cut_lineage(responses, round_tables)
-        next_parts = []
-        for step in wf.steps:
-            mine = responses.filter(F.col("_step") == step.index)
-            if step.type == STEP_LINKS:
-                next_parts.append(link_step(mine, step, wf, profile).select(*REQUEST_COLS)
-                                  .filter(F.col("url").isNotNull()))
-                bad = link_dead_letters(mine, step, profile)
-                dead_parts.append(cut_lineage(bad) if checkpoint else bad)
-            elif step.type == STEP_DATA:
-                items = data_step(mine, step, wf, profile).withColumn(
-                    "route", F.lit(route(wf, step, has_store)))
-                items_parts.append(items)
-                if step.custom_code:
-                    gen = run_generator(items, step.custom_code, step.index + 1,
-                                        wf.default_headers(), profile)
-                    if checkpoint:  # kept: the returned dead letters read it
-                        gen = cut_lineage(gen)
-                    next_parts.append(gen.filter(F.col("error").isNull()).select(*REQUEST_COLS))
-                    dead_parts.append(gen.filter(F.col("error").isNotNull()).select(
-                        "error", F.lit("generator").alias("stage"), "payload"))
+        next_parts, new_items, new_dead = run_steps(wf, responses, profile, has_store, checkpoint)
+        items_parts += new_items
+        dead_parts += new_dead
         # the frontier derives from this round's written responses (and written
         # generator output): short lineage, and isEmpty reads at most one row
         frontier = _union(next_parts, empty_requests(spark).select(*REQUEST_COLS))
@@ -147,19 +125,41 @@ def _dupe_filter(frontier: DataFrame, seen: DataFrame, checkpoint: bool):
     return free.unionByName(fresh), seen
 
 
-def process_responses(wf: Workflow, responses: DataFrame, profile: str = "worker"):
-    """One round over given responses (no fetch): (next_requests, items)."""
-    mode = "strict" if profile == "spider" else "lenient"
-    all_rules = [r for s in wf.steps for r in (s.link_rules + s.data_rules)]
-    r = responses.withColumn("_step", wf.dispatch_column(F.col("meta.workflow_index"), mode))
-    r = with_dom(r.filter(F.col("_step").isNotNull()), "body", R.needs_spans(all_rules, profile))
-    reqs, items = [], []
+def run_steps(wf: Workflow, responses: DataFrame, profile: str = "worker", has_store: bool = True,
+              checkpoint: bool = True) -> tuple[list, list, list]:
+    """One round of given, normalised responses (with ``_step`` and ``dom``) through their steps:
+    parts of the next requests, of the items (with their route) and of the dead letters. Batch runs
+    and streams share it. ``checkpoint``: generator output and dead letters are written once."""
+    keep = cut_lineage if checkpoint else (lambda df: df)
+    next_parts, items_parts, dead_parts = [], [], []
     for step in wf.steps:
-        mine = r.filter(F.col("_step") == step.index)
+        mine = responses.filter(F.col("_step") == step.index)
         if step.type == STEP_LINKS:
-            reqs.append(link_step(mine, step, wf, profile).select(*REQUEST_COLS))
+            next_parts.append(link_step(mine, step, wf, profile).select(*REQUEST_COLS)
+                              .filter(F.col("url").isNotNull()))
+            dead_parts.append(keep(link_dead_letters(mine, step, profile)))
         elif step.type == STEP_DATA:
-            items.append(data_step(mine, step, wf, profile))
+            items = data_step(mine, step, wf, profile).withColumn("route", F.lit(route(wf, step, has_store)))
+            items_parts.append(items)
+            if step.custom_code:
+                gen = keep(run_generator(items, step.custom_code, step.index + 1, wf.default_headers(), profile))
+                next_parts.append(gen.filter(F.col("error").isNull()).select(*REQUEST_COLS))
+                dead_parts.append(gen.filter(F.col("error").isNotNull()).select(
+                    "error", F.lit("generator").alias("stage"), "payload"))
+    return next_parts, items_parts, dead_parts
+
+
+def normalised(wf: Workflow, responses: DataFrame, profile: str = "worker") -> DataFrame:
+    """Responses with the index of their step and their parsed page; those of no step go."""
+    mode = "strict" if profile == "spider" else "lenient"
+    rules = [r for s in wf.steps for r in (s.link_rules + s.data_rules)]
+    found = responses.withColumn("_step", wf.dispatch_column(F.col("meta.workflow_index"), mode))
+    return with_dom(found.filter(F.col("_step").isNotNull()), "body", R.needs_spans(rules, profile))
+
+
+def process_responses(wf: Workflow, responses: DataFrame, profile: str = "worker"):
+    """One round over given responses (no fetch), generators included: (next_requests, items)."""
+    reqs, items, _ = run_steps(wf, normalised(wf, responses, profile), profile, checkpoint=False)
     spark = responses.sparkSession
     return (_union(reqs, empty_requests(spark).select(*REQUEST_COLS)),
             _union(items, None, allow_missing=True) if items else None)

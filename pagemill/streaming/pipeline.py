@@ -3,7 +3,7 @@
 * ``start_fetch_stream``  (T1): request queue dir -> fetch (stream-static
   right join to the page snapshot) -> response queue dir.
 * ``start_extract_stream`` (T2, T5): response queue dir -> one workflow
-  step per micro-batch (``process_responses``) -> next requests, items and
+  step per micro-batch (``run_steps``) -> next requests, items and
   articles. Articles are de-duplicated first-wins against the stored table
   inside ``foreachBatch`` (the table is the state, T5), and every sink write
   is keyed by the batch id so a replayed batch after a restart is skipped
@@ -18,19 +18,21 @@ are the tasks over file partitions.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill import schemas
 from pagemill.config import Workflow
 from pagemill.functions.hashing import link_hash
-from pagemill.operators.data import article_projection
+from pagemill.operators.data import article_projection, item_json
 from pagemill.operators.dedup import first_wins
 from pagemill.operators.fetch import fetch
 from pagemill.operators.store import ArticleStore, path_exists, save_articles
-from pagemill.plans.workflow import REQUEST_COLS, process_responses
-from pagemill.session import cut_lineage, ensure_checkpoint_dir
+from pagemill.plans.workflow import REQUEST_COLS, normalised, run_steps
+from pagemill.session import cut_lineage, drop_tables, ensure_checkpoint_dir
 
 RESPONSE_COLS = ["url", "status", "http_status", "headers", "body", "meta", "requested_at",
                  "error", "encoding", "encoding_confidence", "encoding_source", "body_reencoded",
@@ -66,30 +68,41 @@ def start_fetch_stream(spark: SparkSession, request_dir: str, response_dir: str,
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def _put(df: DataFrame, batch_id: int, path: str, form: str = "parquet") -> None:
+    """Write a micro-batch under its own partition; a replay overwrites it."""
+    (df.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch").format(form).save(path))
+
+
 def extract_batch(wf: Workflow, responses: DataFrame, batch_id: int, request_dir: str,
                   item_dir: str | None, store: ArticleStore | None, profile: str = "worker",
-                  as_of: str | None = None) -> None:
-    """T2 body: one micro-batch of responses through their workflow step."""
-    next_requests, items = process_responses(wf, responses, profile)
-    (next_requests.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(request_dir))
-    if items is None:
-        return
-    if item_dir:
-        (items.select(F.to_json(F.struct("task_id", "task_name", "source_url", "context", "data"),
-                                {"ignoreNullFields": "false"}).alias("value"), "seq")
-         .withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(item_dir))
-    if store is not None and not store.committed(batch_id):
-        res = save_articles(store.load(), article_projection(items, profile), batch_id=batch_id,
-                            as_of=as_of)
-        store.append(res, batch_id)
+                  as_of: str | None = None, dead_letter_dir: str | None = None) -> None:
+    """T2 body: one micro-batch of responses through their workflow steps, as a batch run does it:
+    generators feed the requests, items go where their step's route says (the queue, or the store of
+    a last step; without a store all go to the queue), rows that cannot be processed to the dead letters.
+    The parsed pages of the batch are written once and dropped at the end."""
+    spark, written = responses.sparkSession, []
+    pages = cut_lineage(normalised(wf, responses, profile), written)
+    requests, items, dead = run_steps(wf, pages, profile, has_store=store is not None)
+    if requests:
+        _put(reduce(DataFrame.unionByName, requests), batch_id, request_dir)
+    if dead and dead_letter_dir:
+        _put(reduce(DataFrame.unionByName, dead), batch_id, dead_letter_dir, "json")
+    if items:
+        # extracted once; data structs of several steps differ: union by name
+        items = cut_lineage(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), items).drop("body"), written)
+        if item_dir:
+            _put(item_json(items.filter(F.col("route") == "queue")), batch_id, item_dir, "json")
+        if store is not None and not store.committed(batch_id):
+            mine = article_projection(items.filter(F.col("route") == "store"), profile)
+            store.append(save_articles(store.load(), mine, batch_id=batch_id, as_of=as_of), batch_id)
+    drop_tables(spark, written)
 
 
 def start_extract_stream(spark: SparkSession, wf: Workflow, response_dir: str, request_dir: str,
                          checkpoint: str, item_dir: str | None = None, store: ArticleStore | None = None,
                          profile: str = "worker", trigger: dict | None = None, as_of: str | None = None,
-                         max_files: int | None = None):
+                         max_files: int | None = None, dead_letter_dir: str | None = None):
     """Continuous extraction over the response queue."""
     schema = ("url string, status int, http_status int, headers map<string,string>, body string, "
               f"meta {schemas.META.simpleString()}, requested_at string, error string, "
@@ -101,7 +114,7 @@ def start_extract_stream(spark: SparkSession, wf: Workflow, response_dir: str, r
     stream = r.parquet(response_dir)
     return (stream.writeStream
             .foreachBatch(lambda df, bid: extract_batch(wf, df.drop("batch"), bid, request_dir,
-                                                        item_dir, store, profile, as_of))
+                                                        item_dir, store, profile, as_of, dead_letter_dir))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
@@ -116,8 +129,8 @@ def start_link_dedup_stream(spark: SparkSession, requests: DataFrame, sink_dir:
         won = first_wins(keyed, "link_hash", "seq")
         if path_exists(spark, sink_dir):
             # a replayed batch must not see its own earlier output as state
-            schema = won.schema.simpleString().removeprefix("struct<")[:-1]
-            seen = (spark.read.schema(f"{schema},batch:bigint").parquet(sink_dir)
+            schema = T.StructType([*won.schema.fields, T.StructField("batch", T.LongType())])
+            seen = (spark.read.schema(schema).parquet(sink_dir)
                     .filter(F.col("batch") != F.lit(batch_id)).select(F.col("link_hash").alias("_k")))
             won = won.join(seen, won["link_hash"] == seen["_k"], "left_anti")
         (won.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")

@@ -205,5 +205,5 @@ def test_replayed_micro_batch_is_idempotent(spark, pages_df):
     for _ in range(2):  # the same batch delivered twice (restart before the commit)
         extract_batch(wf, batch, 7, f"{root}/requests", f"{root}/items", store, as_of=AS_OF)
     assert spark.read.parquet(f"{root}/requests").count() == 5
-    assert spark.read.json(f"{root}/items").count() == 2
+    # items of the last step are saved, not queued, as in a batch run
     assert store.load().articles.count() == 2
