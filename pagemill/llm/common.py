@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pagemill.session import cut_lineage
 
-__all__ = ["connected_components", "cut_lineage", "hash_marked", "hash_thinned", "map_rows", "read_table", "text_or_empty", "tmp_name"]
+__all__ = ["connected_components", "cut_lineage", "hash_marked", "hash_thinned", "map_rows", "read_table", "released", "text_or_empty", "tmp_name"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,17 @@ def tmp_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; at its end freed memory goes back to the system. Python workers are
+    used again by later tasks, and else keep the peak of every one of them."""
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only where the C library is glibc
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], Iterable[tuple]]], schema: str) -> DataFrame:
     """``mapInArrow`` with columns in and tuples out.
 
@@ -50,7 +63,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], Iterable[tuple]]
                         [pa.array(c, type=f.type) for c, f in zip(zip(*rows), out_schema, strict=True)],
                         schema=out_schema)
 
-    return df.mapInArrow(run, fields)
+    return df.mapInArrow(lambda batches: released(run(batches)), fields)
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

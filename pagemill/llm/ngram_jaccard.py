@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut_lineage, hash_thinned, text_or_empty, tmp_name
+from .common import connected_components, cut_lineage, hash_thinned, released, text_or_empty, tmp_name
 
 WORDS = 5
 THRESHOLD = 80  # per cent
@@ -56,7 +56,7 @@ COUNTERS = 1 << 17  # Misra-Gries counters of a task
 COARSE = 6  # the tree's points have 2 ** COARSE coordinates
 LEAF = 32
 BLOCK = 1024
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.zeros(256, bool)
@@ -156,7 +156,7 @@ def frequent_shingles(docs: DataFrame, text_col: str, words: int = WORDS, most:
         top = top[counts[top] > 2]
         yield pa.RecordBatch.from_pydict({"key": pa.array(keys[top].view(np.int64)), "seen": pa.array(counts[top])})
 
-    seen = (docs.select(docs[text_col]).mapInArrow(run, "key long, seen long")
+    seen = (docs.select(docs[text_col]).mapInArrow(lambda b: released(run(b)), "key long, seen long")
             .groupBy("key").agg(F.sum("seen").alias("seen")).where("seen > 7")
             .orderBy(F.desc("seen"), "key").limit(most))
     keys = seen.toPandas()["key"].to_numpy(np.int64)  # at most `most` rows
@@ -210,7 +210,7 @@ def document_sets(docs: DataFrame, frequent: np.ndarray, id_col: str, text_col:
                      pa.array(points, pa.binary()), pa.array(coarse, pa.binary())],
                     names=["id", "text_hash", "sid", "n", "prefix", "point", "coarse"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lambda b: released(run(b)), schema)
 
 
 def overlap_bound(a: bytes, b: bytes) -> int:
@@ -350,7 +350,7 @@ def _block_pairs(blocks: DataFrame, threshold: int) -> DataFrame:
              .select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
                      "n", "pos", "sid", "comp", "chunk", "point", "fine")
              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n"))
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(lambda b: released(run(b)), "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, text_col: str, words: int,
@@ -386,7 +386,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, text_col: str,
                     names=["text_hash", "items"])
 
     items = cut_lineage(thin.join(hashes, "text_hash", "left_semi").dropDuplicates(["text_hash"])
-                        .mapInArrow(shingles, "text_hash long, items array<long>"))
+                        .mapInArrow(lambda b: released(shingles(b)), "text_hash long, items array<long>"))
     x = items.select(F.col("text_hash").alias("ha"), F.col("items").alias("xa"))
     y = items.select(F.col("text_hash").alias("hb"), F.col("items").alias("xb"))
     both = F.size(F.array_intersect("xa", "xb"))

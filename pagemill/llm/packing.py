@@ -127,13 +127,16 @@ def _encoder(tokenizer_path: str) -> Callable[[str], bytes]:
     refuses (its pattern engine has a step limit) and any other file go
     through the tokenizer itself.
     """
-    from tokenizers import Tokenizer
+    @lru_cache(maxsize=1)
+    def tokenizer():  # loaded only where it is needed
+        from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(tokenizer_path)
-    tok.encode_special_tokens = True
+        tok = Tokenizer.from_file(tokenizer_path)
+        tok.encode_special_tokens = True
+        return tok
 
     def by_tokenizer(text: str) -> bytes:
-        return array("I", tok.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", tokenizer().encode(text, add_special_tokens=False).ids).tobytes()
 
     with open(tokenizer_path, encoding="utf-8") as file:
         spec = json.load(file)

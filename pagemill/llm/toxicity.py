@@ -26,15 +26,15 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, map_rows, text_or_empty, tmp_name
 
 MAX_LABELLED = 20_000
-MAX_TERMS = 8_192
-MIN_CHI = 12.0
+MAX_TERMS = 4_096
+MIN_CHI = 15.0
 SPARSITY = 0.05
 STEM = 4
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -72,7 +72,7 @@ class Chain:
 
 
 def fit_logistic(rows: np.ndarray, cols: np.ndarray, n: int, k: int, extra: np.ndarray, y: np.ndarray,
-                 sparsity: float = SPARSITY, steps: int = 200) -> tuple[float, np.ndarray, np.ndarray]:
+                 sparsity: float = SPARSITY, steps: int = 120) -> tuple[float, np.ndarray, np.ndarray]:
     """Logistic regression on binary terms (rows, cols) and dense columns ``extra``: Adam steps on the
     whole sample, each followed by soft thresholding of the term weights (an L1 penalty that falls
     with the root of the sample), so a term needs evidence beyond chance."""
@@ -174,9 +174,10 @@ def with_probabilities(df: DataFrame, chain: Chain, out: str, text_col: str = "t
     """``df`` with a struct column ``out`` of the categories' probabilities."""
     names = [link.category for link in chain.links]
 
-    @F.pandas_udf(", ".join(f"`{c}` double" for c in names))
-    def score(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([chain.probabilities(t or "") for t in texts], columns=names)
+    @F.arrow_udf("struct<" + ", ".join(f"`{c}`: double" for c in names) + ">")
+    def score(texts: pa.Array) -> pa.Array:
+        rows = (chain.probabilities(t.as_py() or "") for t in texts)  # one text at a time in memory
+        return pa.StructArray.from_arrays([pa.array(c, pa.float64()) for c in zip(*rows, strict=True)], names=names)
 
     return df.withColumn(out, score(df[text_col]))
 
