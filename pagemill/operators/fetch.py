@@ -209,3 +209,31 @@ def fetch_with(requests: DataFrame, fetcher: Callable, num_partitions: int | Non
                                               "error", "attempts", "seq", "meta"])
 
     return req.mapInPandas(run, RESPONSE_SCHEMA)
+
+
+def fetch_live(requests: DataFrame, fetcher: Callable, wf=None, profile: str = "worker", as_of: str | None = None,
+               on_failed_fetch: str = "keep", session_headers: dict | None = None, **policy) -> DataFrame:
+    """E1-E5 with a client, in the shape of ``fetch``: request headers over ``session_headers`` (E4), retries
+    and pauses of ``fetch_with`` (E3, E5), bytes decoded with the step's or the request's charset. The task's
+    concurrency and request interval are those of ``wf`` unless given; ``attempt`` counts the calls made."""
+    req = normalize_requests(requests)
+    if session_headers:
+        req = req.withColumn("headers", merge_headers(session_headers, F.col("headers")))
+    if wf is not None:
+        if wf.concurrency:
+            policy.setdefault("num_partitions", int(wf.concurrency))
+        if wf.request_interval:
+            policy.setdefault("min_interval_s", float(wf.request_interval))
+        steps = [s for s in wf.steps if s.manual_encoding]
+        if steps:  # X18: a step's own charset, unless the request names one
+            own = F.create_map(*[x for s in steps for x in (F.lit(s.index), F.lit(s.manual_encoding))])
+            req = req.withColumn("meta", F.col("meta").withField("encoding", F.coalesce(
+                "meta.encoding", own[F.col("meta.workflow_index")])))
+    got = fetch_with(req, fetcher, **policy)
+    requested_at = (http_date(F.lit(local_now(as_of, 0)).cast("timestamp_ntz"))
+                    if profile == "spider" else iso_with_offset(local_now_literal(as_of)))
+    got = got.select("url", "status", "http_status", "headers", F.lit("").alias("body"), "content", "meta",
+                     requested_at.alias("requested_at"), "error", "seq", F.col("attempts").alias("attempt"))
+    if on_failed_fetch == "drop":
+        got = got.filter(F.col("status") != 0)
+    return with_charset_columns(got, decode_bytes=True)

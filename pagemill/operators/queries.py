@@ -80,6 +80,16 @@ def get_articles_by_task(store: ArticleTables, task_id, include_content: bool =
     return rows.orderBy(*order).offset(int(offset)).limit(int(limit))
 
 
+def get_articles_after(store: ArticleTables, task_id=None, after: tuple | None = None, limit: int = 100) -> DataFrame:
+    """O1 / O3 by keyset: the ``limit`` newest rows after the cursor ``(created_at, id)`` of the last row seen
+    (None: from the start). A page costs the same however deep it lies; an offset costs its depth."""
+    rows = _listing(store.articles if task_id is None else store.articles.filter(F.col("task_id") == F.lit(str(task_id))))
+    if after is not None:
+        at, last = F.lit(after[0]).cast("timestamp_ntz"), F.lit(str(after[1]))
+        rows = rows.filter((F.col("created_at") < at) | ((F.col("created_at") == at) & (F.col("id") < last)))
+    return rows.orderBy(F.col("created_at").desc(), F.col("id").desc()).limit(int(limit))
+
+
 def get_documents_by_task(documents: DataFrame, task_id, limit: int = 100, skip: int = 0) -> DataFrame:
     """O2: document form, same order."""
     return (documents.filter(F.col("task_id") == F.lit(str(task_id)))

@@ -28,7 +28,7 @@ from pagemill.config import STEP_DATA, STEP_LINKS, Workflow
 from pagemill.functions import rules as R
 from pagemill.functions.html import with_dom
 from pagemill.operators.data import article_projection, data_step, route
-from pagemill.operators.fetch import fetch
+from pagemill.operators.fetch import fetch, fetch_live
 from pagemill.operators.generator import run_generator
 from pagemill.operators.links import link_dead_letters, link_step
 from pagemill.operators.requests import empty_requests
@@ -62,24 +62,30 @@ def _union(dfs, empty, allow_missing: bool = False):
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), dfs)
 
 
-def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame, max_rounds: int | None = None,
+def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame | None, max_rounds: int | None = None,
                  profile: str = "worker", store: ArticleTables | None = None, has_store: bool = True,
                  as_of: str | None = None, on_failed_fetch: str = "keep",
-                 dedup_urls: bool = False, checkpoint: bool = True) -> WorkflowResult:
-    """Loop fetch -> extract -> frontier until the frontier is empty, or ``max_rounds`` are over."""
+                 dedup_urls: bool = False, checkpoint: bool = True, fetcher=None,
+                 session_headers: dict | None = None, **policy) -> WorkflowResult:
+    """Loop fetch -> extract -> frontier until the frontier is empty, or ``max_rounds`` are over.
+    ``fetcher``: a client called for each request instead of the join with ``snapshot`` (which may
+    then be None); ``policy`` goes to ``fetch_with``."""
     spark = seeds.sparkSession
     frontier = seeds.select(*REQUEST_COLS)
     items_parts, dead_parts = [], []
     seen = spark.createDataFrame([], "url string")  # urls already requested (T4 state)
     round_tables: list = []  # per-round response tables, dropped once items are written
     rounds, complete = 0, False
-    if checkpoint:  # every round joins it: build it once
+    if checkpoint and fetcher is None:  # every round joins it: build it once
         snapshot = cut_lineage(snapshot, round_tables)
     while not complete and (max_rounds is None or rounds < max_rounds):
         rounds += 1
         if dedup_urls:  # T4: persistent URL dupe filter; dont_filter rows bypass it
             frontier, seen = _dupe_filter(frontier, seen, checkpoint)
-        responses = fetch(frontier, snapshot, profile, as_of, on_failed_fetch)
+        if fetcher is None:
+            responses = fetch(frontier, snapshot, profile, as_of, on_failed_fetch)
+        else:
+            responses = fetch_live(frontier, fetcher, wf, profile, as_of, on_failed_fetch, session_headers, **policy)
         responses = normalised(wf, responses, profile)
         if checkpoint:
             responses = cut_lineage(responses, round_tables)

@@ -207,3 +207,18 @@ def test_replayed_micro_batch_is_idempotent(spark, pages_df):
     assert spark.read.parquet(f"{root}/requests").count() == 5
     # items of the last step are saved, not queued, as in a batch run
     assert store.load().articles.count() == 2
+
+
+def test_a_client_in_place_of_a_snapshot(spark):
+    pages = {"https://lamps.test/": HUB, "https://lamps.test/desk.html": DESK}
+
+    def client(url, method, headers, params, data, json):
+        if url not in pages:
+            return 404, {}, b""
+        assert headers["X-Shop"] == "lamps" and headers["User-Agent"] == "lamp-test"
+        return 200, {"Content-Type": "text/html; charset=gbk"}, pages[url].encode("gbk")
+
+    wf = parse_config(all_shelves())
+    res = run_workflow(wf, requests_from_rows(spark, [seed_request(wf)]), None, as_of=AS_OF, fetcher=client,
+                       session_headers={"X-Shop": "lamps", "User-Agent": "session"}, retry_delay_s=0.0, max_rounds=2)
+    assert {r.url for r in res.frontier.collect()} == {f"https://lamps.test/item/{x}" for x in ("reed", "owl", "gone")}
