@@ -81,6 +81,25 @@ QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_best_fit_packing
                                    op9_ngram_jaccard, op10_main_text)}
 
 ORACLES = {
+    "op9_ngram_jaccard": r"""
+        WITH RECURSIVE
+             w AS (SELECT doc_id, list_filter(regexp_split_to_array(
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+             s AS (SELECT DISTINCT doc_id, unnest(
+                          CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ') || chr(10)]
+                               ELSE list_transform(generate_series(1, len(ws) - 4),
+                                                   lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS shingle FROM w),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS x
+                        FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+             link AS (SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+                      WHERE 100 * x >= 80 * (na.n + nb.n - x)),
+             edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+             reach AS (SELECT doc_id, doc_id AS other FROM documents
+                       UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON e.a = r.other)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN n USING (doc_id)""",
     "op2_line_dedup": r"""
         WITH split_lines AS (
                SELECT doc_id, generate_subscripts(x, 1) - 1 AS line, unnest(x) AS raw
