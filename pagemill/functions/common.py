@@ -1,9 +1,23 @@
 """Small shared column helpers."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def empty_map(type_: str = "map<string,string>") -> Column:
     """An empty typed map literal (built lazily: needs an active session)."""
     return F.create_map().cast(type_)
+
+
+def hash_marked(rows: DataFrame, wanted: DataFrame, column: str, flag: str, bits: int = 1 << 23) -> DataFrame:
+    """``rows`` with a boolean ``flag``: false where ``column`` is surely not in ``wanted``.
+
+    A bitmap of hashes, of a fixed size that is safe to broadcast. It marks all
+    wanted rows, and some others when it fills up, so an exact step must follow.
+    """
+    at = F.pmod(F.xxhash64(column), F.lit(bits))
+    words = wanted.select(at.alias("at")).groupBy(F.expr("at div 64").alias("__word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("__bits"))
+    return (rows.withColumn("__at", at).join(F.broadcast(words), F.expr("__at div 64 = __word"), "left")
+            .withColumn(flag, F.coalesce(F.expr("shiftright(__bits, cast(__at % 64 as int)) & 1 = 1"), F.lit(False)))
+            .drop("__at", "__word", "__bits"))

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.functions.common import hash_marked
+
 
 def spread_key(key: Column, order: Column) -> Column:
     """``key``, or a per-row key (never equal to a real key) when it is ''."""
@@ -36,3 +38,16 @@ def first_wins(df: DataFrame, key: str, order: str = "seq", bypass_empty: bool =
     return (df.groupBy(gkey.alias("_first_wins_key"))
             .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order)).alias("_r"))
             .select(*[F.col("_r")[c].alias(c) for c in cols]))
+
+
+def first_wins_wide(df: DataFrame, key: str, order: str = "seq") -> DataFrame:
+    """``first_wins`` for rows with large columns, such as page bodies.
+
+    A first scan reads the keys alone and finds those that repeat; rows whose key
+    surely does not repeat then pass without a shuffle, the others take
+    ``first_wins``. With unique keys no large column is moved at all.
+    """
+    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
+    marked = hash_marked(df, repeated, key, "_repeats")
+    single = marked.filter(~F.col("_repeats")).drop("_repeats")
+    return single.unionByName(first_wins(marked.filter("_repeats").drop("_repeats"), key, order))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pagemill.functions.common import empty_map
 from pagemill.functions.timefn import http_date, iso_with_offset, local_now, local_now_literal
 from pagemill.functions.urls import url_host
-from pagemill.operators.dedup import first_wins
+from pagemill.operators.dedup import first_wins_wide
 from pagemill.operators.requests import normalize_requests
 
 NO_PAGE = "no page for url in snapshot"
@@ -39,18 +39,15 @@ def page_snapshot(pages: DataFrame, url_col: str = "url", html_col: str = "html"
                   version_col: str = "page_id", unique_urls: bool = False) -> DataFrame:
     """One page per url (the highest ``version_col`` wins).
 
-    The de-duplication is a ``groupBy(url)`` with map-side partial
-    aggregation, so its output is already hash-partitioned by url and a later
-    sort-merge join with a large frontier shuffles only the frontier. When
-    urls are known to be unique (``unique_urls``) nothing is shuffled here and
-    a small frontier can be broadcast against the plain scan.
+    Only pages whose url repeats are shuffled (``first_wins_wide``); with
+    ``unique_urls`` the check is left out as well.
     """
     extra = [c for c in ("status", "headers", "content") if c in pages.columns]
     snap = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         (-F.col(version_col).cast("long")).alias("_order"), *extra)
     if unique_urls:
         return snap.drop("_order")
-    return first_wins(snap, "url", "_order").drop("_order")
+    return first_wins_wide(snap, "url", "_order").drop("_order")
 
 
 def fetch(requests: DataFrame, snapshot: DataFrame, profile: str = "worker",

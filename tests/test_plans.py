@@ -46,3 +46,39 @@ def test_page_scan_is_pruned_and_articles_stay_in_the_jvm(spark, pages_df):
     store = ArticleStore(spark, scratch_dir(spark, "plan-store2")).load()
     page = Q.get_articles_by_task(store, "t", include_content=True, limit=5)
     assert "ArrowEvalPython" not in _plan(page) and "BatchEvalPython" not in _plan(page)
+
+
+def test_fetch_broadcasts_a_small_frontier_and_never_the_pages(spark):
+    from pagemill.operators.fetch import fetch, page_snapshot
+    from pagemill.operators.requests import seeds_from_urls
+
+    pages = spark.range(4000).selectExpr("id AS page_id", "concat('https://h/', id) AS url", "repeat('x', 4000) AS html")
+    root = scratch_dir(spark, "plan")
+    pages.write.parquet(root)
+    pages = spark.read.parquet(root)
+    asked = seeds_from_urls(pages.filter("page_id < 3"), "url", "page_id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 200_000)
+    try:
+        got = fetch(asked, page_snapshot(pages, unique_urls=True), as_of="2024-01-01T00:00:00", charset=False)
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(rows) == 3 and all(r.status == 200 and len(r.body) == 4000 for r in rows)
+    final = plan.split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final
+    # pages are moved by no exchange: the only exchanges above a scan with html are none
+    for line in final.split("\n"):
+        if "Exchange" in line:
+            assert "html" not in line
+
+
+def test_a_snapshot_of_unique_urls_moves_no_page(spark):
+    from pagemill.operators.fetch import page_snapshot
+
+    pages = spark.range(2000).selectExpr("id AS page_id", "concat('https://h/', id % 1999) AS url", "repeat('x', 500) AS html")
+    root = scratch_dir(spark, "plan")
+    pages.write.parquet(root)
+    rows = page_snapshot(spark.read.parquet(root)).collect()
+    assert len(rows) == 1999 and len({r.url for r in rows}) == 1999
