@@ -23,10 +23,13 @@ empty results. Extra columns, also with clashing names, pass through
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, map_rows, text_or_empty, tmp_name
+from .common import cut_lineage, text_or_empty, tmp_name
 
 COUNTERS = 1024
 
@@ -43,33 +46,18 @@ def digest_of(text: Column) -> Column:
 def frequent_digests(narrow: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """At most ``counters`` digests: merged Misra-Gries summaries of the tasks."""
 
-    def make():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, int] = {}
-
-        def each(cols):
-            for d in cols["digest"]:
+        for batch in batches:
+            for d in batch.column(0).to_pylist():
                 if d in held:
                     held[d] += 1
                 elif len(held) < counters:
                     held[d] = 1
-                else:
-                    for k in [k for k in held if held[k] == 1]:
-                        del held[k]
-                    for k in held:
-                        held[k] -= 1
-            return ()
-
-        each.held = held
-        return each
-
-    import pyarrow as pa
-
-    def run(batches):
-        each = make()
-        for batch in batches:
-            each({"digest": batch.column(0).to_pylist()})
+                else:  # full: every counter gives one up
+                    held = {k: n - 1 for k, n in held.items() if n > 1}
         # a digest seen once or twice in a task is not worth a broadcast slot
-        rows = [(d, n) for d, n in each.held.items() if n > 2]
+        rows = [(d, n) for d, n in held.items() if n > 2]
         yield pa.RecordBatch.from_pydict({"digest": pa.array([d for d, _ in rows], pa.binary()),
                                           "seen": pa.array([n for _, n in rows], pa.int64())})
 
