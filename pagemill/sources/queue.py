@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill import schemas
 from pagemill.functions.common import empty_map
 from pagemill.functions.urls import mask_url
 from pagemill.operators.requests import request_columns
