@@ -8,10 +8,12 @@ left is packed into sequences. Every stage but the last returns the columns of
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pagemill.llm import exact_dedup, ngram_jaccard, packing, pii, toxicity
-from pagemill.llm.common import cut_lineage, read_table
+from pagemill.llm.common import bounded_batches, cut_lineage, read_table
 from pagemill.llm.registry import CATEGORIES, public_file
 
 
@@ -36,8 +38,17 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_file("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 
-STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("ngram_jaccard", drop_near_copies),
-          ("pii", sanitise), ("packing", pack)]
+def _bounded(stage):
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [("toxicity", _bounded(drop_toxic)), ("exact_dedup", _bounded(drop_copies)),
+          ("ngram_jaccard", _bounded(drop_near_copies)), ("pii", _bounded(sanitise)), ("packing", _bounded(pack))]
 
 #: The toxicity stage is a trained model, so SQL cannot express the pipeline.
 ORACLE_SQL = None

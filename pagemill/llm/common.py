@@ -4,21 +4,34 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemill.functions.common import hash_marked
 from pagemill.session import cut_lineage
 
-__all__ = ["connected_components", "cut_lineage", "hash_marked", "hash_thinned", "map_rows", "read_table", "released", "text_or_empty", "tmp_name"]
+__all__ = ["bounded_batches", "connected_components", "cut_lineage", "hash_marked", "hash_thinned", "map_rows", "read_table", "released", "text_or_empty", "tmp_name"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession, rows: int = 512, size: int = 16 << 20) -> None:
+    """Arrow batches of at most ``rows`` rows and ``size`` bytes between Spark and its Python workers,
+    where the session allows larger ones: by default a batch has 10,000 rows, whatever their texts' length,
+    and both sides hold several of them."""
+    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = re.match(r"(\d+)b?$", spark.conf.get(key) or "")  # bytes may come with their unit
+        if not now or not 0 < int(now[1]) <= most:
+            spark.conf.set(key, str(most))
+
+
 def tmp_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have (names compare without case)."""
     taken = {c.lower() for c in df.columns}
@@ -99,20 +112,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .unionByName(nxt.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()))
 
 
-def hash_marked(rows: DataFrame, wanted: DataFrame, column: str, flag: str, bits: int = 1 << 23) -> DataFrame:
-    """``rows`` with a boolean ``flag``: false where ``column`` is surely not in ``wanted``.
-
-    A bitmap of hashes, of a fixed size that is safe to broadcast. It marks all
-    wanted rows, and some others when it fills up, so an exact join must follow.
-    """
-    at = F.pmod(F.xxhash64(column), F.lit(bits))
-    words = wanted.select(at.alias("at")).groupBy(F.expr("at div 64").alias("__word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("__bits"))
-    return (rows.withColumn("__at", at).join(F.broadcast(words), F.expr("__at div 64 = __word"), "left")
-            .withColumn(flag, F.coalesce(F.expr("shiftright(__bits, cast(__at % 64 as int)) & 1 = 1"), F.lit(False)))
-            .drop("__at", "__word", "__bits"))
-
-
 def hash_thinned(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
     """``rows`` without most of those whose ``column`` is not in ``wanted``, to thin a scan before
     an exact join."""

@@ -159,7 +159,7 @@ def frequent_shingles(docs: DataFrame, text_col: str, words: int = WORDS, most:
     seen = (docs.select(docs[text_col]).mapInArrow(lambda b: released(run(b)), "key long, seen long")
             .groupBy("key").agg(F.sum("seen").alias("seen")).where("seen > 7")
             .orderBy(F.desc("seen"), "key").limit(most))
-    keys = seen.toPandas()["key"].to_numpy(np.int64)  # at most `most` rows
+    keys = seen.toArrow()["key"].to_numpy().astype(np.int64)  # at most `most` rows
     return keys[::-1].view(np.uint64)
 
 

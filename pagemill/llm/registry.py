@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, exact_dedup, html_main_text, line_dedup, ngram_jaccard, packing, pii, toxicity, warc
-from .common import read_table
+from .common import bounded_batches, read_table
 
 
 def public_file(name: str) -> str:
@@ -76,7 +78,16 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main_text.extract(pages, html_main_text.fit(pages)).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_best_fit_packing, op4_toxicity, op5_byte_bpe, op6_exact_dedup,
+def _bounded(query):
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {f.__name__: _bounded(f) for f in (op1_pii, op2_line_dedup, op3_best_fit_packing, op4_toxicity, op5_byte_bpe, op6_exact_dedup,
                                    op7_hash_prefix_forest, op8_warc,
                                    op9_ngram_jaccard, op10_main_text)}
 

@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -142,26 +143,27 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id
                           for h, ts, *y in zip(c["text_hash"], c["terms"], *(c[y] for y in ys), strict=True))
 
     data = (map_rows(sample, make_rows, "text_hash long, " + ", ".join(f"{y} int" for y in ys) + ", at array<int>")
-            .orderBy("text_hash").toPandas())  # at most max_labelled rows of small numbers
-    y = data[ys].to_numpy(dtype=float).reshape(len(data), len(ys))
-    rows = np.repeat(np.arange(len(data)), [len(a) for a in data["at"]]).astype(int)
-    cols = np.concatenate([*data["at"], np.empty(0)]).astype(int)
-    fold = np.arange(len(data)) % folds
-    odds, links, cut = np.empty((len(data), 0)), [], 2.0
+            .orderBy("text_hash").toArrow())  # at most max_labelled rows of small numbers
+    size = data.num_rows
+    y = np.stack([data[c].to_numpy() for c in ys], axis=1).astype(float)
+    rows = np.repeat(np.arange(size), pc.list_value_length(data["at"]).to_numpy().astype(int))
+    cols = pc.list_flatten(data["at"]).to_numpy().astype(int)
+    fold = np.arange(size) % folds
+    odds, links, cut = np.empty((size, 0)), [], 2.0
     for i, name in enumerate(names):
-        share = (y[:, i].sum() + 0.5) / (len(data) + 1)
-        if len(data) < 2 * folds or not 0 < y[:, i].sum() < len(data):
+        share = (y[:, i].sum() + 0.5) / (size + 1)
+        if size < 2 * folds or not 0 < y[:, i].sum() < size:
             links.append(Link(name, float(np.log(share / (1 - share))), {}, [0.0] * i))
-            odds, cut = np.c_[odds, np.zeros(len(data))], 2.0
+            odds, cut = np.c_[odds, np.zeros(size)], 2.0
             continue
-        out = np.zeros(len(data))
+        out = np.zeros(size)
         for f in range(folds):
             use = fold != f
             new = np.cumsum(use) - 1
             take = use[rows]
             b, e, w = fit_logistic(new[rows[take]], cols[take], int(use.sum()), len(vocabulary), odds[use], y[use, i])
-            out += (fold == f) * (b + odds @ e + np.bincount(rows, w[cols], len(data)))
-        b, e, w = fit_logistic(rows, cols, len(data), len(vocabulary), odds, y[:, i])
+            out += (fold == f) * (b + odds @ e + np.bincount(rows, w[cols], size))
+        b, e, w = fit_logistic(rows, cols, size, len(vocabulary), odds, y[:, i])
         links.append(Link(name, float(b), {t: float(x) for t, x in zip(vocabulary, w, strict=True) if abs(x) > 1e-4},
                           e.tolist()))
         out = np.clip(out, -30, 30)
