@@ -56,6 +56,7 @@ COUNTERS = 1 << 17  # Misra-Gries counters of a task
 COARSE = 6  # the tree's points have 2 ** COARSE coordinates
 LEAF = 32
 BLOCK = 1024
+GATHER = 1 << 15  # rows of blocks joined at a time
 SLICE_BYTES = 1 << 19
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -325,23 +326,23 @@ def _block_pairs(blocks: DataFrame, threshold: int) -> DataFrame:
         return pa.RecordBatch.from_pydict({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
+        # many blocks are joined at a time, so a pair that several of them hold is given once
+        held, rows = [], 0
         for batch in batches:
-            if not batch.num_rows:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < GATHER:
                 continue
-            last = [batch.column(c)[batch.num_rows - 1] for c in range(3)]
-            same = np.ones(batch.num_rows, bool)
+            t = pa.Table.from_batches(held)
+            same = np.ones(rows, bool)
             for c in range(3):
-                same &= batch.column(c).to_numpy() == last[c].as_py()
-            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+                column = t.column(c).to_numpy()
+                same &= column == column[-1]
+            cut = rows - int(same.sum())  # whole blocks: the rows are sorted by key, i, j
             if cut:
-                yield join(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-                held = []
-            elif held and any(held[-1].column(c)[0] != last[c] for c in range(3)):
-                yield join(pa.Table.from_batches(held))
-                held = []
-            held.append(batch.slice(cut))
-        if held:
+                yield join(t.slice(0, cut))
+                held, rows = t.slice(cut).to_batches(), rows - cut
+        if rows:
             yield join(pa.Table.from_batches(held))
 
     dealt = (blocks.withColumn("chunks", F.ceil(F.col("c") / BLOCK).cast("int"))
