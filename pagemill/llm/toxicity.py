@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from .common import cut_lineage, map_rows, text_or_empty, tmp_name
 
 MAX_LABELLED = 20_000
-MAX_TERMS = 4_096
-MIN_CHI = 15.0
+MAX_TERMS = 8_192
+MIN_CHI = 12.0
 SPARSITY = 0.05
 STEM = 4
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -72,8 +72,51 @@ class Chain:
         return [1 / (1 + np.exp(-z)) for z in odds]
 
 
+class Incidence:
+    """The rows x terms matrix of zeros and ones at (rows, cols), for its products with a vector. Terms that
+    a sixteenth of the rows hold (at most ``most`` of them) are dense columns; the others are summed over
+    runs of their places, sorted by row and by term. ``rows`` is ascending."""
+
+    def __init__(self, rows: np.ndarray, cols: np.ndarray, n: int, k: int, most: int = 512):
+        self.n, self.k = n, k
+        df = np.bincount(cols, minlength=k)
+        order = np.argsort(-df, kind="stable")[:most]
+        self.top = order[df[order] * 16 >= max(n, 1)]
+        place = np.full(k, -1)
+        place[self.top] = np.arange(len(self.top))
+        at = place[cols]
+        self.dense = np.zeros((n, len(self.top)))
+        self.dense[rows[at >= 0], at[at >= 0]] = 1
+        rest, self.cols = rows[at < 0], cols[at < 0]
+        self.rows = rest[np.argsort(self.cols, kind="stable")]
+        self.by_row, self.row_starts = self._runs(rest, n)
+        self.by_term, self.term_starts = self._runs(self.cols, k)
+
+    @staticmethod
+    def _runs(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The keys that occur, ascending, and where the run of each starts when sorted."""
+        count = np.bincount(keys, minlength=size)
+        held = np.flatnonzero(count)
+        return held, (np.cumsum(count) - count)[held]
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        """Per row, the sum of its terms' weights."""
+        out = self.dense @ w[self.top]
+        if len(self.cols):
+            out[self.by_row] += np.add.reduceat(w[self.cols], self.row_starts)
+        return out
+
+    def back(self, r: np.ndarray) -> np.ndarray:
+        """Per term, the sum of its rows' values."""
+        out = np.zeros(self.k)
+        if len(self.rows):
+            out[self.by_term] = np.add.reduceat(r[self.rows], self.term_starts)
+        out[self.top] = r @ self.dense
+        return out
+
+
 def fit_logistic(rows: np.ndarray, cols: np.ndarray, n: int, k: int, extra: np.ndarray, y: np.ndarray,
-                 sparsity: float = SPARSITY, steps: int = 120) -> tuple[float, np.ndarray, np.ndarray]:
+                 sparsity: float = SPARSITY, steps: int = 200) -> tuple[float, np.ndarray, np.ndarray]:
     """Logistic regression on binary terms (rows, cols) and dense columns ``extra``: Adam steps on the
     whole sample, each followed by soft thresholding of the term weights (an L1 penalty that falls
     with the root of the sample), so a term needs evidence beyond chance."""
@@ -81,11 +124,11 @@ def fit_logistic(rows: np.ndarray, cols: np.ndarray, n: int, k: int, extra: np.n
     w = np.zeros(dense + k)
     share = (y.sum() + 0.5) / (len(y) + 1)
     w[0] = np.log(share / (1 - share))
-    m, v = np.zeros(len(w)), np.zeros(len(w))
+    m, v, held = np.zeros(len(w)), np.zeros(len(w)), Incidence(rows, cols, n, k)
     for step in range(1, steps + 1):
-        z = w[0] + extra @ w[1:dense] + np.bincount(rows, w[dense:][cols], n)
+        z = w[0] + extra @ w[1:dense] + held.dot(w[dense:])
         r = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / max(n, 1)
-        grad = np.r_[r.sum(), extra.T @ r + 1e-3 * w[1:dense], np.bincount(cols, r[rows], k)]
+        grad = np.r_[r.sum(), extra.T @ r + 1e-3 * w[1:dense], held.back(r)]
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         rate = 0.1 * (1 - step / (steps + 1)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)
         w -= rate * m / (1 - 0.9 ** step)

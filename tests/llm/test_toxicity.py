@@ -65,3 +65,22 @@ def test_edges(spark):
     for c in (one_class, none):
         assert tox.drop_toxic(d, c).count() == 200
     assert tox.scores(d.limit(0), chain).count() == 0 and tox.drop_toxic(d.limit(0), chain).count() == 0
+
+
+def test_products_match_sums_over_places():
+    rng = np.random.default_rng(4)
+    for n, k, share in [(200, 40, 0.3), (500, 300, 0.01), (3, 1, 0.0), (0, 5, 0.0)]:
+        full = rng.random((n, k)) < share * 2 * rng.random(k)
+        rows, cols = np.nonzero(full)
+        for most in (0, 7, 512):
+            held, w, r = tox.Incidence(rows, cols, n, k, most), rng.normal(size=k), rng.normal(size=n)
+            assert np.allclose(held.dot(w), full @ w) and np.allclose(held.back(r), r @ full)
+
+
+def test_whole_settings_of_the_classifier(spark):
+    """Of 40 texts 5 hold a word, 2 of them among the 6 toxic ones: 13.9, above 12 and below 15."""
+    steps = tox.fit_logistic.__defaults__[-1]
+    assert (tox.MAX_TERMS, tox.MIN_CHI, steps) == (8_192, 12.0, 200)
+    texts = [(i, f"w{'abcdefghij'[i % 10]}x{'abcdefghij'[i // 10]}" + (" grumpf" if i in (0, 1, 10, 11, 12) else "")) for i in range(40)]
+    d, l = frames(spark, texts, [(i, 1, int(i < 6)) for i in range(40)])
+    assert tox.fit_chain(d, l, CATEGORIES).links[1].weights.get("grumpf", 0) > 0
