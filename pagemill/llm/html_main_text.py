@@ -18,7 +18,8 @@ such markup are decoded by the other features.
 Cases: a null or empty html, and a page without text, have the empty text.
 Unclosed and misnested tags, comments, quotes and raw text elements are read as
 browsers do, near enough: ``p``, ``li`` and table cells end where the next one
-starts, an end tag without a start is skipped. Repeated rows, null ids and urls
+starts, an end tag without a start is skipped, a head without end ends at the
+first start tag or text that does not belong there. Repeated rows, null ids and urls
 are kept; other columns are not read. With no labelled page in the sample the
 labels of ``marked_label`` are used as they are. Empty tables give empty
 results.
@@ -51,6 +52,7 @@ section select summary table tbody td tfoot th thead title tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not text of the page.
 SILENT = frozenset("script style template noscript iframe object svg math canvas audio video head select textarea".split())
+HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())  # these leave a head open
 RAW = frozenset("script style textarea title iframe noscript".split())  # content without markup
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
 #: An element that ends an open one of its row.
@@ -70,11 +72,16 @@ class Block:
     text: str
     path: tuple[tuple[str, frozenset], ...]  # ancestors from the outside: tag, words of class, id and role
     linked: int  # characters inside links
+    holders: int = 0  # so many outer ancestors hold all main elements of the page, or else all its articles
 
 
 def leaf_blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, frozenset]] = []
+    ids: list[int] = []  # of the elements in the stack, by their order in the page
+    paths: list[list[int]] = []  # of the blocks
+    held_by: dict[str, list[int]] = {}  # ids of the ancestors that all elements of a kind have in common
+    count = 0
     held: list[str] = []
     linked = silent = links = 0
     at, size, match = 0, len(page), _TOKEN.match
@@ -85,6 +92,7 @@ def leaf_blocks(page: str) -> list[Block]:
             text = " ".join(entities.unescape("".join(held)).split())
             if text:
                 out.append(Block(text, tuple(stack), min(linked, len(text))))
+                paths.append(ids.copy())
             held.clear()
             linked = 0
 
@@ -93,7 +101,7 @@ def leaf_blocks(page: str) -> list[Block]:
         for tag, _ in stack[k:]:
             silent -= tag in SILENT
             links -= tag == "a"
-        del stack[k:]
+        del stack[k:], ids[k:]
 
     while at < size:
         m = match(page, at)
@@ -101,6 +109,8 @@ def leaf_blocks(page: str) -> list[Block]:
         tag = m["tag"]
         if tag is None:
             piece = m[0]
+            if (piece[0] != "<" or piece == "<") and stack and stack[-1][0] == "head" and piece.strip():
+                pop_to(len(stack) - 1)
             if (piece[0] != "<" or piece == "<") and not silent:
                 held.append(piece)
                 if links:
@@ -117,6 +127,8 @@ def leaf_blocks(page: str) -> list[Block]:
                 if stack[k][0] in ("table", "body") and tag != "html":
                     break
             continue
+        if stack and stack[-1][0] == "head" and tag not in HEAD:
+            pop_to(len(stack) - 1)
         if tag in _P_KEEPS or tag in _ENDS:
             ends = _ENDS.get(tag, ()) + (("p",) if tag in _P_KEEPS else ())
             for k in range(len(stack) - 1, -1, -1):
@@ -135,23 +147,42 @@ def leaf_blocks(page: str) -> list[Block]:
             at = end.start() if end else size
             if tag in SILENT or tag == "title":
                 continue
+        kind = tag if tag in MAIN_TAGS else "named" if "main" in names and not names & OTHER_NAMES else None
+        if kind:
+            held_by[kind] = _shared(held_by.get(kind, ids), ids)
         stack.append((tag, names))
+        ids.append(count)
+        count += 1
         silent += tag in SILENT
         links += tag == "a"
     flush()
+    holding = next((held_by[k] for k in ("main", "article", "named") if k in held_by), [])
+    for block, path in zip(out, paths, strict=True):
+        block.holders = len(_shared(path, holding))
     return out
 
 
+def _shared(a: list[int], b: list[int]) -> list[int]:
+    """What two paths have in common from the outside."""
+    k = 0
+    while k < min(len(a), len(b)) and a[k] == b[k]:
+        k += 1
+    return a[:k]
+
+
 def marked_label(block: Block) -> int:
     """1 where the page's own markup says main text."""
     return int(zone(block) == "main")
 
 
 def zone(block: Block) -> str:
-    """By markup alone: ``main``, ``other`` (a part that is not text, also inside the main one) or ``none``."""
+    """By markup alone: ``main``, ``other`` (a part that is not text, also inside the main one) or ``none``.
+    The names of the page as a whole (html, body) and of what holds its main elements or articles tell of
+    the layout ("has-nav", "no-sidebar") and name no part."""
     inside = False
-    for tag, names in block.path:
-        if tag in OTHER_TAGS and not (tag == "header" and inside) or names & OTHER_NAMES:
+    for k, (tag, names) in enumerate(block.path):
+        if tag in OTHER_TAGS and not (tag == "header" and inside) or (
+                k >= block.holders and tag not in ("html", "body") and names & OTHER_NAMES):
             return "other"
         inside = inside or tag in MAIN_TAGS or "main" in names
     return "main" if inside else "none"

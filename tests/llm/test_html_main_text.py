@@ -97,3 +97,27 @@ def test_edges(spark):
                                "page_id long, url string, html string")
     assert hm.fit(df) is None and hm.fit(df.limit(0)) is None
     assert hm.extract(df, None).count() == 4 and hm.extract(df.limit(0), None).count() == 0
+
+
+def test_a_head_without_end_ends_where_the_body_starts():
+    for start in ("<body><p>", "<p>", "<article>", "<a href=x>", "<img src=x>", "", "<header>", "<body class=x>"):
+        blocks = hm.leaf_blocks(f"<!DOCTYPE html><html><head><meta charset=utf-8><title>t</title> <script>s</script>\n{start}text</html>")
+        assert [b.text for b in blocks] == ["text"], start
+    assert [b.text for b in hm.leaf_blocks("<head><template><p>no</p></template><style>a</style></head><body>text")] == ["text"]
+
+
+def test_names_of_what_holds_the_article_mark_no_part():
+    def zones(html):
+        return {b.text: hm.zone(b) for b in hm.leaf_blocks(html)}
+
+    body = "<article><p>a</p><div class=share>s</div></article>"
+    for outside in ('<html class="cookies"><body class="no-sidebar">%s', '<body><div class="has-nav">%s</div>',
+                    '<body><div id="nav-left"><section class="with-menu">%s</section></div>',
+                    '<body><div class="has-nav">%s</div><div class="x"></div>'):
+        assert zones(outside % body) == {"a": "main", "s": "other"}, outside
+    # parts with articles of their own stay parts
+    page = f'<div class="has-nav">{body}<div class="related"><article>r</article></div><div class=menu>m</div></div>'
+    assert zones(page) == {"a": "main", "s": "other", "r": "other", "m": "other"}
+    assert zones(f'<div class="has-nav"><main>{body}</main></div><div class="related"><article>r</article></div>') == {
+        "a": "main", "s": "other", "r": "other"}
+    assert zones('<div class="has-nav"><div role="main">a</div></div>') == {"a": "main"}
