@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, exact_dedup, html_main_text, line_dedup, ngram_jaccard, packing, pii, toxicity, warc
+from . import ann, bpe, exact_dedup, html_main_text, language_filters, line_dedup, ngram_jaccard, packing, pii, resampling, spelling, toxicity, warc
 from .common import bounded_batches, read_table
 
 
@@ -78,6 +78,34 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main_text.extract(pages, html_main_text.fit(pages)).withColumnRenamed("id", "page_id")
 
 
+def _typo(doc_id, run):
+    """A run without one code point, for one in 199 of the pairs of document and run."""
+    h = F.crc32(F.concat(doc_id, F.lit(":"), run).cast("binary"))
+    at = (h % F.length(run)).cast("int")
+    return F.when(h % 199 == 0, F.concat(F.substring(run, 1, at), F.substring(run, at + 2, F.length(run)))).otherwise(run)
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(read_table(spark, sf_dir, "documents"), rewrite=_typo)
+    return spelling.variants(words)
+
+
+def op12_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+
+    def held_out(doc_id):
+        return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+    filters = language_filters.fit(docs.where(~held_out(F.col("doc_id"))))
+    return language_filters.predict(docs, filters).select(
+        F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 def _bounded(query):
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,9 +117,75 @@ def _bounded(query):
 
 QUERIES = {f.__name__: _bounded(f) for f in (op1_pii, op2_line_dedup, op3_best_fit_packing, op4_toxicity, op5_byte_bpe, op6_exact_dedup,
                                    op7_hash_prefix_forest, op8_warc,
-                                   op9_ngram_jaccard, op10_main_text)}
+                                   op9_ngram_jaccard, op10_main_text, op11_spelling_variants, op12_language_filters,
+                                   op13_importance_resampling)}
+
+#: SQL for CRC-32: the table of its 256 bytes, and a state carried over a list of bytes.
+_CRC_TABLE = ("list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: "
+              "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i))")
+
+
+def _crc32_sql(text: str, table: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_transform(generate_series(1, 2 * strlen({text}) - 1, 2),
+                 lambda i: CAST('0x' || substr(hex(encode({text})), i, 2) AS BIGINT)),
+                 lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1]), 4294967295))"""
+
 
 ORACLES = {
+    "op13_importance_resampling": rf"""
+        WITH crc AS (SELECT {_CRC_TABLE} AS t),
+             w AS (SELECT kind, doc_id, row_number() OVER () AS row, regexp_extract_all(
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+                   FROM (SELECT 's' AS kind, doc_id, text FROM documents
+                         UNION ALL SELECT 't', item_id, text FROM benchmark)),
+             f AS (SELECT kind, row, unnest(flatten(list_transform([1, 2, 3], lambda n: list_transform(
+                          range(1, len(ws) - n + 2), lambda i: array_to_string(ws[i:i + n - 1], ' '))))) AS feature FROM w),
+             c AS (SELECT kind, row, feature, count(*) AS n FROM f GROUP BY ALL),
+             b AS (SELECT feature, {_crc32_sql('feature', 't')} % 10000 AS bucket
+                   FROM (SELECT DISTINCT feature FROM c), crc),
+             totals AS (SELECT bucket, coalesce(sum(n) FILTER (WHERE kind = 's'), 0) AS s,
+                               coalesce(sum(n) FILTER (WHERE kind = 't'), 0) AS t FROM c JOIN b USING (feature) GROUP BY bucket),
+             gains AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                                                      / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS gain FROM totals),
+             d AS (SELECT row, sum(n) AS n_features, sum(n * gain) AS weight FROM c JOIN b USING (feature)
+                   JOIN gains USING (bucket) WHERE kind = 's' GROUP BY row),
+             scored AS (SELECT doc_id, len(ws) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features,
+                               coalesce(weight, 0)::BIGINT AS weight,
+                               (coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || doc_id), 1, 8)
+                                AS BIGINT) + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+                        FROM w LEFT JOIN d USING (row) WHERE kind = 's'),
+             fit AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+                     FROM scored WHERE n_words >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * n // 100 THEN place END AS rank
+        FROM scored LEFT JOIN fit USING (doc_id)""",
+    "op11_spelling_variants": rf"""
+        WITH RECURSIVE
+             crc AS (SELECT {_CRC_TABLE} AS t),
+             runs AS (SELECT doc_id, unnest(regexp_extract_all(
+                             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents),
+             counted AS (SELECT doc_id, run, count(*) AS n, doc_id || ':' || run AS named FROM runs
+                         WHERE length(run) >= 6 GROUP BY ALL),
+             hashed AS (SELECT run, n, {_crc32_sql('named', 't')} AS h FROM counted, crc),
+             spelt AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT)
+                                                         || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n
+                       FROM hashed),
+             vocab AS (SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+             gaps AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS cut, i
+                      FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM vocab)),
+             pairs AS (SELECT a.word, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b
+                              ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+                       UNION SELECT g.word, v.word, v.n FROM gaps g JOIN vocab v ON v.word = g.cut
+                       UNION SELECT v.word, g.word, g.n FROM gaps g JOIN vocab v ON v.word = g.cut),
+             best AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n
+                      FROM pairs GROUP BY word),
+             forms AS (SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near,
+                              CASE WHEN b.near_n >= 5 * v.n THEN b.near END AS form,
+                              CASE WHEN b.near_n >= 5 * v.n THEN b.near_n END AS form_n FROM vocab v LEFT JOIN best b USING (word)),
+             chain AS (SELECT word, word AS last, form AS up FROM forms
+                       UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.up)
+        SELECT word, form, last AS root, n, n_near, form_n FROM forms JOIN (SELECT word, last FROM chain WHERE up IS NULL) USING (word)""",
     "op9_ngram_jaccard": r"""
         WITH RECURSIVE
              w AS (SELECT doc_id, list_filter(regexp_split_to_array(
