@@ -1,11 +1,13 @@
 """Fetch: requests -> responses (E1-E5, F1, F2, J6; quirks Q1-Q3).
 
-Two forms:
+Three forms:
 
 * ``fetch(requests, snapshot)`` – the request frontier joined to a page
   snapshot on url: an inner join, for which the planner may broadcast a small
   frontier (never the pages of an outer join's other side), and, with the urls
   of the snapshot alone, an anti-join for the requests that have no page.
+* ``fetch(requests, ClusteredSnapshot)`` – the same against pages kept in buckets by
+  url (``operators.snapshot``): the frontier alone is moved.
 * ``fetch_with(requests, fetcher)`` – a user-supplied client called inside
   ``mapInPandas`` over ``repartition(n, host, salt)`` (politeness per task,
   hot hosts split over a few tasks, one client per partition), with the
@@ -31,6 +33,7 @@ from pagemill.functions.timefn import http_date, iso_with_offset, local_now, loc
 from pagemill.functions.urls import url_host
 from pagemill.operators.dedup import first_wins_wide
 from pagemill.operators.requests import normalize_requests
+from pagemill.operators.snapshot import ClusteredSnapshot
 
 NO_PAGE = "no page for url in snapshot"
 
@@ -50,7 +53,7 @@ def page_snapshot(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     return first_wins_wide(snap, "url", "_order").drop("_order")
 
 
-def fetch(requests: DataFrame, snapshot: DataFrame, profile: str = "worker",
+def fetch(requests: DataFrame, snapshot: DataFrame | ClusteredSnapshot, profile: str = "worker",
           as_of: str | None = None, on_failed_fetch: str = "keep",
           charset: bool = True) -> DataFrame:
     """Responses for ``requests`` from ``snapshot``
@@ -62,17 +65,10 @@ def fetch(requests: DataFrame, snapshot: DataFrame, profile: str = "worker",
     text snapshot is reported by header / meta evidence and kept as is.
     """
     req = normalize_requests(requests)
-    has_bytes = "content" in snapshot.columns
-    snap = snapshot.select(
-        F.col("url").alias("_surl"), F.col("html").alias("_html"),
-        (F.col("status") if "status" in snapshot.columns else F.lit(200)).cast("int").alias("_code"),
-        (F.col("headers") if "headers" in snapshot.columns else empty_map()).alias("_hdrs"),
-        *([F.col("content").alias("_content")] if has_bytes else []),
-    )
-    hit = snap.join(req, snap["_surl"] == req["url"], "inner")
-    urls = snap.select(F.col("_surl").alias("_known")).filter(F.col("_known").isNotNull())
-    miss = req.join(urls, req["url"] == urls["_known"], "left_anti")
-    j = hit.unionByName(miss, allowMissingColumns=True)
+    if isinstance(snapshot, ClusteredSnapshot):
+        has_bytes, j = snapshot.with_content, snapshot.answers(req)
+    else:
+        has_bytes, j = "content" in snapshot.columns, _joined(req, snapshot)
     matched = F.col("_surl").isNotNull()
     http_status = F.when(matched, F.col("_code"))
     ok = matched & (F.col("_code") < 400)
@@ -99,6 +95,20 @@ def fetch(requests: DataFrame, snapshot: DataFrame, profile: str = "worker",
     return out
 
 
+def _joined(req: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """Every request with the page of its url, if there is one."""
+    snap = snapshot.select(
+        F.col("url").alias("_surl"), F.col("html").alias("_html"),
+        (F.col("status") if "status" in snapshot.columns else F.lit(200)).cast("int").alias("_code"),
+        (F.col("headers") if "headers" in snapshot.columns else empty_map()).alias("_hdrs"),
+        *([F.col("content").alias("_content")] if "content" in snapshot.columns else []),
+    )
+    hit = snap.join(req, snap["_surl"] == req["url"], "inner")
+    urls = snap.select(F.col("_surl").alias("_known")).filter(F.col("_known").isNotNull())
+    miss = req.join(urls, req["url"] == urls["_known"], "left_anti")
+    return hit.unionByName(miss, allowMissingColumns=True)
+
+
 def with_charset_columns(responses: DataFrame, decode_bytes: bool) -> DataFrame:
     """X16-X19 columns on responses; only successful responses carry them."""
     from pagemill.functions import charset as CH

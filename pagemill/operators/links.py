@@ -66,12 +66,20 @@ def split_link_rules(step: Step):
 def link_step(responses: DataFrame, step: Step, wf: Workflow, profile: str = "worker",
               dom_col: str = "dom") -> DataFrame:
     """Next-step requests from the pages in ``responses`` (which carry ``dom``)."""
+    return link_rows(responses, step, wf, profile, dom_col).drop("_base", "_raw")
+
+
+def link_rows(responses: DataFrame, step: Step, wf: Workflow, profile: str = "worker",
+              dom_col: str = "dom") -> DataFrame:
+    """``link_step`` with the page (``_base``) and the link as it stands there (``_raw``): requests and dead
+    letters of a round both derive from these rows, so the rules are evaluated once."""
     from pagemill.operators.requests import empty_requests, request_columns
 
     link_rule, others = split_link_rules(step)
     if link_rule is None:
         # Q7: no rule named exactly 'link' -> nothing is emitted
-        return empty_requests(responses.sparkSession)
+        none = F.lit(None).cast("string")
+        return empty_requests(responses.sparkSession).withColumns({"_base": none, "_raw": none})
     dom = F.col(dom_col)
     links = cap_links(R.values(dom, link_rule, profile), link_rule.max_links)
     other_cols = [R.values(dom, r, profile).alias(f"_f{i}") for i, r in enumerate(others.values())]
@@ -109,22 +117,27 @@ def link_step(responses: DataFrame, step: Step, wf: Workflow, profile: str = "wo
         context=context,
         dont_filter=dont_filter,
         seq=child_seq(F.col("seq"), F.col("_pos")),
-    ))
+    ), "_base", "_raw")
+
+
+def unresolved(rows: DataFrame) -> DataFrame:
+    """Links among ``link_rows`` that name no page (a malformed authority), as dead letters: error, stage, payload."""
+    return rows.filter(F.col("url").isNull()).select(
+        F.lit("link cannot be resolved").alias("error"), F.lit("links").alias("stage"),
+        F.to_json(F.struct(F.col("_base").alias("page"), F.col("_raw").alias("link"))).alias("payload"))
 
 
 def link_dead_letters(responses: DataFrame, step: Step, profile: str = "worker",
                       dom_col: str = "dom") -> DataFrame:
-    """Links of the step that name no page (a malformed authority): error, stage, payload.
+    """Links of the step that name no page (``unresolved``), from the pages themselves.
     ``link_step`` gives them a null url, which no fetch takes."""
     link_rule, _ = split_link_rules(step)
     empty = responses.sparkSession.createDataFrame([], "error string, stage string, payload string")
     if link_rule is None:
         return empty
     links = cap_links(R.values(F.col(dom_col), link_rule, profile), link_rule.max_links)
-    return (responses.select(F.col("url"), F.explode(links).alias("_raw"))
-            .filter(urljoin(F.col("url"), F.col("_raw")).isNull())
-            .select(F.lit("link cannot be resolved").alias("error"), F.lit("links").alias("stage"),
-                    F.to_json(F.struct(F.col("url").alias("page"), F.col("_raw").alias("link"))).alias("payload")))
+    found = responses.select(F.col("url").alias("_base"), F.explode(links).alias("_raw"))
+    return unresolved(found.withColumn("url", urljoin(F.col("_base"), F.col("_raw"))))
 
 
 def preview_links(responses: DataFrame, step: Step, profile: str = "worker",

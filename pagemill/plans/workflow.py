@@ -18,6 +18,7 @@ what is still to be requested as ``frontier``.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,10 +31,12 @@ from pagemill.functions.html import with_dom
 from pagemill.operators.data import article_projection, data_step, route
 from pagemill.operators.fetch import fetch, fetch_live
 from pagemill.operators.generator import run_generator
-from pagemill.operators.links import link_dead_letters, link_step
+from pagemill.operators.links import link_rows, unresolved
 from pagemill.operators.requests import empty_requests
+from pagemill.operators.seen import SeenUrls
+from pagemill.operators.snapshot import ClusteredSnapshot
 from pagemill.operators.store import ArticleTables, SaveResult, save_articles
-from pagemill.session import cut_lineage, drop_tables
+from pagemill.session import cut_lineage, drop_tables, ensure_checkpoint_dir
 
 REQUEST_COLS = ["url", "method", "headers", "meta", "params", "data", "json", "dont_filter",
                 "seq", "attempt"]
@@ -62,26 +65,32 @@ def _union(dfs, empty, allow_missing: bool = False):
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), dfs)
 
 
-def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame | None, max_rounds: int | None = None,
+def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame | ClusteredSnapshot | None, max_rounds: int | None = None,
                  profile: str = "worker", store: ArticleTables | None = None, has_store: bool = True,
                  as_of: str | None = None, on_failed_fetch: str = "keep",
-                 dedup_urls: bool = False, checkpoint: bool = True, fetcher=None,
+                 dedup_urls: bool | SeenUrls = False, checkpoint: bool = True, fetcher=None,
                  session_headers: dict | None = None, **policy) -> WorkflowResult:
     """Loop fetch -> extract -> frontier until the frontier is empty, or ``max_rounds`` are over.
     ``fetcher``: a client called for each request instead of the join with ``snapshot`` (which may
-    then be None); ``policy`` goes to ``fetch_with``."""
+    then be None); ``policy`` goes to ``fetch_with``. ``dedup_urls``: no url is requested twice (T4), neither
+    in this run nor, with a ``SeenUrls``, in runs before it."""
     spark = seeds.sparkSession
     frontier = seeds.select(*REQUEST_COLS)
     items_parts, dead_parts = [], []
-    seen = spark.createDataFrame([], "url string")  # urls already requested (T4 state)
+    seen = None
+    if dedup_urls:
+        seen = dedup_urls if isinstance(dedup_urls, SeenUrls) else SeenUrls(
+            spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/seen-{uuid.uuid4().hex}", buckets=16)
     round_tables: list = []  # per-round response tables, dropped once items are written
     rounds, complete = 0, False
-    if checkpoint and fetcher is None:  # every round joins it: build it once
-        snapshot = cut_lineage(snapshot, round_tables)
+    if checkpoint:  # every round joins the snapshot, and a round reads its frontier more than once
+        frontier = cut_lineage(frontier, round_tables)
+        if isinstance(snapshot, DataFrame):
+            snapshot = cut_lineage(snapshot, round_tables)
     while not complete and (max_rounds is None or rounds < max_rounds):
         rounds += 1
-        if dedup_urls:  # T4: persistent URL dupe filter; dont_filter rows bypass it
-            frontier, seen = _dupe_filter(frontier, seen, checkpoint)
+        if seen is not None:  # T4: dont_filter rows bypass it
+            frontier = seen.admit(frontier, seen.next_id(), round_tables)
         if fetcher is None:
             responses = fetch(frontier, snapshot, profile, as_of, on_failed_fetch)
         else:
@@ -89,7 +98,7 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame | None, max
         responses = normalised(wf, responses, profile)
         if checkpoint:
             responses = cut_lineage(responses, round_tables)
-        next_parts, new_items, new_dead = run_steps(wf, responses, profile, has_store, checkpoint)
+        next_parts, new_items, new_dead = run_steps(wf, responses, profile, has_store, checkpoint, round_tables)
         items_parts += new_items
         dead_parts += new_dead
         # the frontier derives from this round's written responses (and written
@@ -100,9 +109,10 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame | None, max
         frontier = cut_lineage(frontier)  # the caller's, beyond the round tables
     # data structs of several data steps differ: union by name, missing fields null
     items = _union(items_parts, spark.createDataFrame([], NO_ITEMS), allow_missing=True).drop("body")
+    dead = _union(dead_parts, spark.createDataFrame([], "error string, stage string, payload string"))
     if checkpoint:  # items feed the queue, the store and the caller: extract them once
-        items = cut_lineage(items)
-        drop_tables(spark, round_tables)  # nothing returned reads the round responses
+        items, dead = cut_lineage(items), cut_lineage(dead)
+        drop_tables(spark, round_tables)  # nothing returned reads the tables of the rounds
         if complete:
             frontier = empty_requests(spark).select(*REQUEST_COLS)
     queued = items.filter(F.col("route") == "queue")
@@ -111,39 +121,23 @@ def run_workflow(wf: Workflow, seeds: DataFrame, snapshot: DataFrame | None, max
     if has_store:
         saved = save_articles(store or ArticleTables.empty(spark),
                               article_projection(to_store, profile), as_of=as_of)
-    dead = _union(dead_parts, spark.createDataFrame([], "error string, stage string, payload string"))
     return WorkflowResult(items, queued, saved, dead, rounds, frontier, complete)
 
 
-def _dupe_filter(frontier: DataFrame, seen: DataFrame, checkpoint: bool):
-    """First request per url wins within the round; urls requested in an
-    earlier round are dropped (anti-join against the seen set)."""
-    from pagemill.operators.dedup import first_wins
-
-    free = frontier.filter(F.col("dont_filter"))
-    fresh = first_wins(frontier.filter(~F.col("dont_filter")), "url", "seq")
-    fresh = fresh.join(seen.withColumnRenamed("url", "_seen"), F.col("url") == F.col("_seen"), "left_anti")
-    if checkpoint:
-        fresh = cut_lineage(fresh)
-    seen = seen.unionByName(fresh.select("url"))
-    if checkpoint:
-        seen = cut_lineage(seen)
-    return free.unionByName(fresh), seen
-
-
 def run_steps(wf: Workflow, responses: DataFrame, profile: str = "worker", has_store: bool = True,
-              checkpoint: bool = True) -> tuple[list, list, list]:
+              checkpoint: bool = True, written: list | None = None) -> tuple[list, list, list]:
     """One round of given, normalised responses (with ``_step`` and ``dom``) through their steps:
     parts of the next requests, of the items (with their route) and of the dead letters. Batch runs
-    and streams share it. ``checkpoint``: generator output and dead letters are written once."""
-    keep = cut_lineage if checkpoint else (lambda df: df)
+    and streams share it. ``checkpoint``: the links of each step (requests and dead letters alike) and generator
+    output are written once, so no rule is evaluated twice; ``written`` gets the tables' paths."""
+    keep = (lambda df: cut_lineage(df, written)) if checkpoint else (lambda df: df)
     next_parts, items_parts, dead_parts = [], [], []
     for step in wf.steps:
         mine = responses.filter(F.col("_step") == step.index)
         if step.type == STEP_LINKS:
-            next_parts.append(link_step(mine, step, wf, profile).select(*REQUEST_COLS)
-                              .filter(F.col("url").isNotNull()))
-            dead_parts.append(keep(link_dead_letters(mine, step, profile)))
+            rows = keep(link_rows(mine, step, wf, profile))
+            next_parts.append(rows.filter(F.col("url").isNotNull()).select(*REQUEST_COLS))
+            dead_parts.append(unresolved(rows))
         elif step.type == STEP_DATA:
             items = data_step(mine, step, wf, profile).withColumn("route", F.lit(route(wf, step, has_store)))
             items_parts.append(items)
