@@ -18,6 +18,8 @@ row is collected.
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +30,7 @@ from pagemill import schemas
 from pagemill.functions.hashing import article_id, content_hash, link_hash
 from pagemill.functions.timefn import local_now_literal
 from pagemill.operators.dedup import first_wins, spread_key
+from pagemill.sources.files import delete, names, path_exists, publish_text, read_text, write_text
 
 
 @dataclass
@@ -208,63 +211,33 @@ def delete_documents_by_task(documents: DataFrame, task_id: str):
 
 
 # ---- persistence ------------------------------------------------------------
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+#: Deletes that readers apply; one more folds them into a new version. It bounds what they broadcast.
+MAX_TOMBSTONES = 10_000
 
+TOMBSTONE = "kind string, value string, at long"
 
-def path_exists(spark, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
 
+class _LoggedTables:
+    """Parquet tables that grow by numbered commits.
 
-def _write_text(spark, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    out.write(bytearray(text.encode()))
-    out.close()
+    Every change has a sequence number: its files lie under ``seq=<n>``, and it takes place when the log
+    entry ``n`` is published (at one stroke; of two writers one fails). Readers take the rows of all
+    numbers up to the last entry, so what a crash left behind is invisible and is overwritten by the next
+    change. Batches leave a marker beside the versions: a replayed batch is skipped, also after deletes.
 
+    Deletes rewrite nothing. A delete writes one tombstone (an id or a task) with its number; readers leave out the
+    rows of smaller numbers that it names (an anti-join with at most ``MAX_TOMBSTONES`` rows, broadcast, so a task
+    that holds a third of all rows is not moved), and rows saved again later have larger numbers. ``compact`` writes
+    the visible rows as a new version and switches the ``CURRENT`` pointer; a version being read is not
+    touched, and the one before it is dropped.
 
-def _read_text(spark, path: str) -> str:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return ""
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-COMPACTED = "compacted"
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-
-
-class ArticleStore:
-    """Parquet directories with append-per-batch and versioned rewrites.
-
-    Appends write ``articles`` and ``article_contents`` under ``batch=<id>``
-    partitions and then a commit marker, so a replayed batch (streaming
-    restart) is skipped. Readers see committed batches only: what a crash left
-    between the two writes is invisible and is overwritten by the replay. The
-    markers lie beside the versions, so a batch stays committed after a delete
-    and a replay does not bring back what was deleted. Deletes write a new version and
-    switch the ``CURRENT`` pointer; a path being read is never overwritten.
-
-    ``buckets=n`` keeps both tables as catalog tables over the same folders,
-    bucketed by ``link_hash`` (articles) and ``article_id`` (contents): the
-    anti-join of a new batch against the stored link hashes and the content
-    joins then read the stored side without a shuffle.
+    ``buckets=n`` keeps the tables as catalog tables over the same folders, bucketed by their key: joins on the key
+    then read the stored side without a shuffle.
     """
 
-    KEYS = {"articles": "link_hash", "article_contents": "article_id"}
-    SCHEMAS = {"articles": schemas.ARTICLES, "article_contents": schemas.ARTICLE_CONTENTS}
+    TABLES: dict[str, T.StructType] = {}
+    KEYS: dict[str, str] = {}    # bucketed by
+    IDS: dict[str, str] = {}     # the column that a tombstone of kind 'id' names
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
                  table_prefix: str = "pagemill"):
@@ -273,9 +246,33 @@ class ArticleStore:
         self.buckets = buckets
         self.prefix = table_prefix
 
+    # --- versions, log, markers ------------------------------------------------
     def _version(self) -> int:
-        return int(_read_text(self.spark, f"{self.root}/CURRENT").strip() or 0)
+        return int(read_text(self.spark, f"{self.root}/CURRENT").strip() or 0)
 
+    def _last(self, version: int) -> int:
+        """The number of the last change, -1 before the first."""
+        found = names(self.spark, f"{self.root}/v{version}/log")
+        return int(found[-1].split(".")[0]) if found else -1
+
+    def _publish(self, version: int, seq: int, entry: dict) -> None:
+        if not publish_text(self.spark, f"{self.root}/v{version}/log/{seq:012d}.json", json.dumps(entry)):
+            raise RuntimeError(f"another writer changed {self.root}")
+
+    def committed(self, batch_id) -> bool:
+        marker = f"{self.root}/_commits/{batch_id}"
+        if path_exists(self.spark, marker):
+            return True
+        # a writer that died between the log and the marker: only the last entry can lack its marker
+        version = self._version()
+        last = self._last(version)
+        entry = json.loads(read_text(self.spark, f"{self.root}/v{version}/log/{last:012d}.json") or "{}")
+        if entry.get("batch") != str(batch_id):
+            return False
+        write_text(self.spark, marker, "")
+        return True
+
+    # --- reading ---------------------------------------------------------------
     def _dir(self, table: str, version: int | None = None) -> str:
         return f"{self.root}/v{self._version() if version is None else version}/{table}"
 
@@ -284,106 +281,164 @@ class ArticleStore:
         v = self._version() if version is None else version
         name = f"{self.prefix}_{table}_v{v}"
         if not self.spark.catalog.tableExists(name):
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.SCHEMAS[table].fields)
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.TABLES[table].fields)
             key = self.KEYS[table]
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name} ({cols}, batch STRING) USING parquet "
-                f"PARTITIONED BY (batch) CLUSTERED BY ({key}) SORTED BY ({key}) "
+                f"CREATE TABLE IF NOT EXISTS {name} ({cols}, seq BIGINT) USING parquet "
+                f"PARTITIONED BY (seq) CLUSTERED BY ({key}) SORTED BY ({key}) "
                 f"INTO {int(self.buckets)} BUCKETS LOCATION '{self._dir(table, v)}'")
             if path_exists(self.spark, self._dir(table, v)):  # data written before: register it
                 self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         return name
 
-    def committed(self, batch_id) -> bool:
-        return path_exists(self.spark, f"{self.root}/_commits/{batch_id}")
-
-    def _visible(self) -> Column:
-        """Rows of committed batches, and of the base that a delete wrote with its version."""
-        return F.col("batch").isin(*_names(self.spark, f"{self.root}/_commits"), COMPACTED)
-
-    def load(self) -> ArticleTables:
-        spark = self.spark
+    def _tombstones(self, version: int, last: int) -> DataFrame | None:
+        path = f"{self.root}/v{version}/tombstones"
+        if not path_exists(self.spark, path):
+            return None
+        return self.spark.read.schema(TOMBSTONE).json(path).where(F.col("at") <= last)
 
-        def read(table):
-            schema = self.SCHEMAS[table]
-            cols = [f.name for f in schema.fields]
-            if self.buckets:
-                return spark.table(self._table(table)).filter(self._visible()).select(*cols)
-            path = self._dir(table)
-            if not path_exists(spark, path):
-                return spark.createDataFrame([], schema)
-            with_batch = T.StructType(list(schema.fields) + [T.StructField("batch", T.StringType())])
-            return spark.read.schema(with_batch).parquet(path).filter(self._visible()).select(*cols)
-        return ArticleTables(read("articles"), read("article_contents"))
-
-    def _write(self, table: str, df: DataFrame, batch: str, version: int | None = None) -> None:
+    def _visible(self, table: str) -> DataFrame:
+        """The stored rows that are committed and not deleted."""
+        version = self._version()
+        last, schema = self._last(version), self.TABLES[table]
         if self.buckets:
-            # a static partition spec replaces exactly this batch's partition
-            cols = [f.name for f in self.SCHEMAS[table].fields]
-            view = f"_pm_write_{table}_{abs(hash((self.root, batch))) % 10**9}"
-            df.select(*cols).createOrReplaceTempView(view)
-            safe = batch.replace("'", "")
-            self.spark.sql(f"INSERT OVERWRITE TABLE {self._table(table, version)} "
-                           f"PARTITION (batch = '{safe}') SELECT {', '.join(cols)} FROM {view}")
-            self.spark.catalog.dropTempView(view)
+            rows = self.spark.table(self._table(table, version))
+        elif path_exists(self.spark, self._dir(table, version)):
+            rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("seq", T.LongType())])).parquet(
+                self._dir(table, version))
+        else:
+            return self.spark.createDataFrame([], schema)
+        rows = rows.where(F.col("seq") <= last)
+        dead = self._tombstones(version, last)
+        for kind, column in (("id", self.IDS[table]), ("task", "task_id")) if dead is not None else ():
+            mine = F.broadcast(dead.where(F.col("kind") == kind).groupBy("value").agg(F.max("at").alias("at")))
+            rows = rows.join(mine, (F.col(column) == F.col("value")) & (F.col("seq") < F.col("at")), "left_anti")
+        return rows.select(*schema.fieldNames())
+
+    # --- changes ---------------------------------------------------------------
+    def _write(self, table: str, df: DataFrame, seq: int | str, version: int | None = None) -> None:
+        """The rows of one change; what a dead writer left under its number is replaced."""
+        if not self.buckets:
+            df.write.mode("overwrite").parquet(f"{self._dir(table, version)}/seq={int(seq)}")
             return
-        (df.withColumn("batch", F.lit(batch)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch")
-         .parquet(self._dir(table, version)))
+        cols = self.TABLES[table].fieldNames()
+        view = f"_pm_write_{table}_{uuid.uuid4().hex}"
+        df.select(*cols).createOrReplaceTempView(view)
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self._table(table, version)} "
+                       f"PARTITION (seq = {int(seq)}) SELECT {', '.join(cols)} FROM {view}")
+        self.spark.catalog.dropTempView(view)
+
+    def _next(self, version: int) -> int:
+        """The number of the next change, free of what a writer that died left under it."""
+        seq = self._last(version) + 1
+        delete(self.spark, f"{self.root}/v{version}/tombstones/{seq:012d}.json")
+        for table in self.TABLES:
+            if self.buckets:
+                self.spark.sql(f"ALTER TABLE {self._table(table, version)} DROP IF EXISTS PARTITION (seq = {seq})")
+            delete(self.spark, f"{self._dir(table, version)}/seq={seq}")
+        return seq
+
+    def _commit(self, frames: dict[str, DataFrame], batch_id) -> None:
+        version = self._version()
+        seq = self._next(version)
+        for table, rows in frames.items():
+            self._write(table, rows, seq, version)
+        self._publish(version, seq, {"batch": str(batch_id)})
+        write_text(self.spark, f"{self.root}/_commits/{batch_id}", "")
+
+    def _delete(self, kind: str, value: str) -> int:
+        table = next(iter(self.TABLES))
+        column = self.IDS[table] if kind == "id" else "task_id"
+        gone = self._visible(table).where(F.col(column) == F.lit(str(value))).count()
+        if not gone:
+            return 0
+        version = self._version()
+        seq = self._next(version)
+        write_text(self.spark, f"{self.root}/v{version}/tombstones/{seq:012d}.json",
+                   json.dumps({"kind": kind, "value": str(value), "at": seq}) + "\n")
+        self._publish(version, seq, {"delete": kind})
+        if len(names(self.spark, f"{self.root}/v{version}/tombstones")) > MAX_TOMBSTONES:
+            self.compact()
+        return gone
+
+    def delete_task(self, task_id) -> int:
+        """The rows of a task; how many there were."""
+        return self._delete("task", task_id)
+
+    def compact(self) -> int:
+        """The visible rows as a new version without tombstones; its number."""
+        return self._replace({t: self._visible(t) for t in self.TABLES})
+
+    def _replace(self, frames: dict[str, DataFrame]) -> int:
+        old = self._version()
+        for table, rows in frames.items():
+            self._write(table, rows, 0, old + 1)
+        if self._last(old + 1) < 0:
+            self._publish(old + 1, 0, {"from": old})
+        write_text(self.spark, f"{self.root}/CURRENT", str(old + 1))
+        if old and not self.buckets:  # readers may still be at the version before, not at older ones
+            delete(self.spark, f"{self.root}/v{old - 1}")
+        return old + 1
+
+
+class ArticleStore(_LoggedTables):
+    """The two-table form (see ``_LoggedTables``). Stored contents carry their article's task, so a task is
+    deleted from both tables without a join between them."""
+
+    TABLES = {"articles": schemas.ARTICLES,
+              "article_contents": T.StructType([*schemas.ARTICLE_CONTENTS.fields, T.StructField("task_id", T.StringType())])}
+    KEYS = {"articles": "link_hash", "article_contents": "article_id"}
+    IDS = {"articles": "id", "article_contents": "article_id"}
+
+    def load(self) -> ArticleTables:
+        return ArticleTables(self._visible("articles"), self._visible("article_contents").drop("task_id"))
 
     def append(self, result: SaveResult, batch_id) -> bool:
         if self.committed(batch_id):
             return False
-        result = result.materialized()  # both tables from one computation
-        self._write("articles", result.articles, str(batch_id))
-        self._write("article_contents", result.contents, str(batch_id))
-        _write_text(self.spark, f"{self.root}/_commits/{batch_id}", "")
+        rows = result.materialized().rows  # both tables from one computation
+        contents = rows.filter(F.col("content") != "").select(
+            F.col("id").alias("article_id"), "content", "content_hash", "created_at", "task_id")
+        self._commit({"articles": rows.select(*schemas.ARTICLES.fieldNames()), "article_contents": contents}, batch_id)
         return True
 
+    def delete_article(self, article_id_value) -> bool:
+        """One article and its content; whether there was one."""
+        return self._delete("id", article_id_value) > 0
+
     def replace(self, tables: ArticleTables) -> int:
-        new_v = self._version() + 1
-        self._write("articles", tables.articles, COMPACTED, new_v)
-        self._write("article_contents", tables.contents, COMPACTED, new_v)
-        _write_text(self.spark, f"{self.root}/CURRENT", str(new_v))
-        return new_v
+        """A new version that holds ``tables``."""
+        owner = tables.articles.select(F.col("id").alias("_id"), "task_id")
+        contents = tables.contents.join(owner, tables.contents["article_id"] == owner["_id"], "left").drop("_id")
+        return self._replace({"articles": tables.articles, "article_contents": contents})
 
 
-class DocumentStore:
-    """The one-table (document) form persisted like ``ArticleStore``: append
-    per batch under ``batch=<id>`` plus a commit marker; replays are skipped."""
+class DocumentStore(_LoggedTables):
+    """The one-table (document) form: content inline, ``extra`` as JSON text in the files."""
 
-    SCHEMA = ("id string, task_id string, title string, link string, link_hash string, "
-              "content string, content_hash string, source_url string, extra string, "
-              "created_at timestamp_ntz, updated_at timestamp_ntz")
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def committed(self, batch_id) -> bool:
-        return path_exists(self.spark, f"{self.root}/_commits/{batch_id}")
+    TABLES = {"documents": T.StructType([
+        *[T.StructField(n, T.StringType()) for n in ("id", "task_id", "title", "link", "link_hash", "content",
+                                                     "content_hash", "source_url", "extra")],
+        T.StructField("created_at", T.TimestampNTZType()), T.StructField("updated_at", T.TimestampNTZType())])}
+    KEYS = {"documents": "link_hash"}
+    IDS = {"documents": "id"}
 
     def load(self) -> DataFrame:
         """Documents with ``extra`` parsed back to VARIANT."""
-        path = f"{self.root}/documents"
-        if not path_exists(self.spark, path):
-            raw = self.spark.createDataFrame([], self.SCHEMA)
-        else:
-            raw = (self.spark.read.schema(self.SCHEMA + ", batch string").parquet(path)
-                   .filter(F.col("batch").isin(*_names(self.spark, f"{self.root}/_commits"))).drop("batch"))
-        return raw.withColumn("extra", F.try_parse_json("extra"))
+        return self._visible("documents").withColumn("extra", F.try_parse_json("extra"))
 
     def save(self, batch: DataFrame, batch_id, as_of: str | None = None):
         """K7 + persist: returns the outcomes, or None when the batch was already saved."""
         if self.committed(batch_id):
             return None
         docs, outcomes = save_documents(self.load(), batch, batch_id=batch_id, as_of=as_of)
-        (docs.withColumn("extra", F.to_json("extra")).withColumn("batch", F.lit(str(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch").parquet(f"{self.root}/documents"))
-        _write_text(self.spark, f"{self.root}/_commits/{batch_id}", "")
+        self._commit({"documents": docs.withColumn("extra", F.to_json("extra"))}, batch_id)
         return outcomes
 
+    def delete_document(self, document_id) -> bool:
+        """One document; whether there was one."""
+        return self._delete("id", document_id) > 0
+
 
 def save_to_targets(batch: DataFrame, targets: list, batch_id, dead_letter_path: str | None = None,
                     as_of: str | None = None, fallback: bool = True) -> str:
