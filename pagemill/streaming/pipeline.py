@@ -18,8 +18,10 @@ are the tasks over file partitions.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,11 +30,15 @@ from pagemill import schemas
 from pagemill.config import Workflow
 from pagemill.functions.hashing import link_hash
 from pagemill.operators.data import article_projection, item_json
-from pagemill.operators.dedup import first_wins
 from pagemill.operators.fetch import fetch
-from pagemill.operators.store import ArticleStore, path_exists, save_articles
+from pagemill.operators.store import ArticleStore, save_articles
+from pagemill.operators.snapshot import ClusteredSnapshot
 from pagemill.plans.workflow import REQUEST_COLS, normalised, run_steps
 from pagemill.session import cut_lineage, drop_tables, ensure_checkpoint_dir
+from pagemill.streaming.ledger import EXACTLY_ONCE, Ledger
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 RESPONSE_COLS = ["url", "status", "http_status", "headers", "body", "meta", "requested_at",
                  "error", "encoding", "encoding_confidence", "encoding_source", "body_reencoded",
@@ -52,16 +58,28 @@ def read_request_stream(spark: SparkSession, path: str, max_files: int | None =
 
 
 def start_fetch_stream(spark: SparkSession, request_dir: str, response_dir: str,
-                       snapshot: DataFrame, checkpoint: str, trigger: dict | None = None,
-                       as_of: str | None = None, max_files: int | None = None):
-    """Continuous fetch; failures are written too (Q3)."""
+                       snapshot: DataFrame | ClusteredSnapshot, checkpoint: str, trigger: dict | None = None,
+                       as_of: str | None = None, max_files: int | None = None, delivery: str = EXACTLY_ONCE,
+                       on_written: Callable[[int], None] | None = None):
+    """Continuous fetch; failures are written too (Q3). ``delivery``: see ``Ledger``. ``on_written`` is called
+    with the batch's id when its responses are written, before its end is noted."""
     reqs = read_request_stream(spark, request_dir, max_files)
-    snapshot = cut_lineage(snapshot)  # built once, read by every micro-batch
+    if isinstance(snapshot, DataFrame):
+        snapshot = cut_lineage(snapshot)  # built once, read by every micro-batch
+    ledger = Ledger(spark, f"{checkpoint}/ledger", delivery)
 
     def sink(batch: DataFrame, batch_id: int):
-        responses = fetch(batch, snapshot, as_of=as_of).select(*RESPONSE_COLS)
-        (responses.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(response_dir))
+        written: list = []
+        asked = cut_lineage(batch, written)  # read for the hits and for the misses
+        responses = fetch(asked, snapshot, as_of=as_of).select(*RESPONSE_COLS)
+
+        def work():
+            _put(responses, batch_id, response_dir)
+            if on_written:
+                on_written(batch_id)
+
+        ledger.run(batch_id, work)
+        drop_tables(spark, written)
 
     return (reqs.writeStream.foreachBatch(sink)
             .option("checkpointLocation", checkpoint)
@@ -83,7 +101,7 @@ def extract_batch(wf: Workflow, responses: DataFrame, batch_id: int, request_dir
     The parsed pages of the batch are written once and dropped at the end."""
     spark, written = responses.sparkSession, []
     pages = cut_lineage(normalised(wf, responses, profile), written)
-    requests, items, dead = run_steps(wf, pages, profile, has_store=store is not None)
+    requests, items, dead = run_steps(wf, pages, profile, has_store=store is not None, written=written)
     if requests:
         _put(reduce(DataFrame.unionByName, requests), batch_id, request_dir)
     if dead and dead_letter_dir:
@@ -102,8 +120,10 @@ def extract_batch(wf: Workflow, responses: DataFrame, batch_id: int, request_dir
 def start_extract_stream(spark: SparkSession, wf: Workflow, response_dir: str, request_dir: str,
                          checkpoint: str, item_dir: str | None = None, store: ArticleStore | None = None,
                          profile: str = "worker", trigger: dict | None = None, as_of: str | None = None,
-                         max_files: int | None = None, dead_letter_dir: str | None = None):
-    """Continuous extraction over the response queue."""
+                         max_files: int | None = None, dead_letter_dir: str | None = None,
+                         delivery: str = EXACTLY_ONCE):
+    """Continuous extraction over the response queue. ``delivery``: see ``Ledger``."""
+    ledger = Ledger(spark, f"{checkpoint}/ledger", delivery)
     schema = ("url string, status int, http_status int, headers map<string,string>, body string, "
               f"meta {schemas.META.simpleString()}, requested_at string, error string, "
               "encoding string, encoding_confidence double, encoding_source string, "
@@ -113,31 +133,66 @@ def start_extract_stream(spark: SparkSession, wf: Workflow, response_dir: str, r
         r = r.option("maxFilesPerTrigger", max_files)
     stream = r.parquet(response_dir)
     return (stream.writeStream
-            .foreachBatch(lambda df, bid: extract_batch(wf, df.drop("batch"), bid, request_dir,
-                                                        item_dir, store, profile, as_of, dead_letter_dir))
+            .foreachBatch(lambda df, bid: ledger.run(bid, lambda: extract_batch(
+                wf, df.drop("batch"), bid, request_dir, item_dir, store, profile, as_of, dead_letter_dir)))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+#: Keys that a task remembers while it thins its rows before they are shuffled.
+THINNED_KEYS = 1 << 16
+
+
+def _thinned(batches):
+    """Rows of a task without those that an earlier row of the task beats for certain: the same key with a smaller
+    ``seq``. A link that a third of all rows name reaches the shuffle a few times a task. Which keys are remembered
+    is bounded and decides how many rows go on, not which one wins."""
+    best: dict = {}
+    for pdf in batches:
+        order = sorted(range(len(pdf)), key=lambda i: tuple(pdf["seq"].iat[i]))
+        keep = []
+        for i in order:
+            key, seq = pdf["link_hash"].iat[i], tuple(pdf["seq"].iat[i])
+            if key not in best or seq < best[key]:
+                if len(best) >= THINNED_KEYS:
+                    best.clear()
+                best[key] = seq
+                keep.append(i)
+        yield pdf.iloc[keep]
+
+
+def _first_of_key(key, batches, state):
+    """The row of a new key with the smallest ``seq`` of its micro-batch; nothing for a key that came before."""
+    first = min(((tuple(seq), row) for pdf in batches for seq, row in zip(pdf["seq"], pdf["row"])), default=None)
+    if first is not None and not state.exists:
+        state.update((True,))
+        yield pd.DataFrame({"link_hash": [key[0]], "row": [first[1]]})
+
+
 def start_link_dedup_stream(spark: SparkSession, requests: DataFrame, sink_dir: str, checkpoint: str,
                             trigger: dict | None = None):
-    """T5 on a request stream: first-wins by link hash within each micro-batch and
-    against everything written before (the sink table is the state)."""
-
-    def sink(batch: DataFrame, batch_id: int):
-        keyed = batch.withColumn("link_hash", link_hash(F.col("url")))
-        won = first_wins(keyed, "link_hash", "seq")
-        if path_exists(spark, sink_dir):
-            # a replayed batch must not see its own earlier output as state
-            schema = T.StructType([*won.schema.fields, T.StructField("batch", T.LongType())])
-            seen = (spark.read.schema(schema).parquet(sink_dir)
-                    .filter(F.col("batch") != F.lit(batch_id)).select(F.col("link_hash").alias("_k")))
-            won = won.join(seen, won["link_hash"] == seen["_k"], "left_anti")
-        (won.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(sink_dir))
-
-    return (requests.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).start())
+    """T5 on a request stream: first-wins by link hash within each micro-batch and against all earlier ones.
+
+    The state is a key-value store keyed by the link hash (RocksDB, which spills to disk and is checkpointed by its
+    changes), so a micro-batch reads and writes its own keys and no earlier output. The file sink names the files of
+    each batch in its log: a batch that is run again after a crash replaces its files. Rows without a url go.
+    """
+    columns = [f for f in requests.schema.fields]
+    row = T.StructType(columns)
+    keyed = (requests.withColumn("link_hash", link_hash(F.col("url"))).filter(F.col("link_hash") != "")
+             .select("link_hash", "seq", F.to_json(F.struct(*[F.col(f.name) for f in columns])).alias("row"))
+             .mapInPandas(_thinned, "link_hash string, seq array<bigint>, row string"))
+    won = keyed.groupBy("link_hash").applyInPandasWithState(
+        _first_of_key, "link_hash string, row string", "seen boolean", "append", "NoTimeout")
+    won = won.select("link_hash", F.from_json("row", row).alias("r")).select(*[F.col("r")[f.name].alias(f.name) for f in columns],
+                                                                             "link_hash")
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)  # the query keeps the settings it starts with
+    try:
+        return (won.writeStream.format("parquet").option("path", sink_dir).outputMode("append")
+                .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
 
 
 __all__ = ["start_fetch_stream", "start_extract_stream", "start_link_dedup_stream",
