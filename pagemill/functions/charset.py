@@ -3,10 +3,12 @@
 Order of evidence: Content-Type header (confidence 1.0) > HTML meta tag in
 the first 2 KB (0.95) > statistical guess > utf-8 (0.0). Header and meta
 are regex expressions (JVM). UTF-8 decoding is native
-(``make_valid_utf8``, same replacement rule as Python's ``errors='replace'``);
+(``make_valid_utf8``, same replacement rule as Python's ``errors='replace'``), and so is
+Latin-1, in which every byte is a character;
 only rows in other charsets, and only rows still undecided for the
 statistical guess, reach a pandas UDF – they are split off by filter so the
-UDF never sees the rest.
+UDF never sees the rest. The guess is that of a ``CharsetModel`` where one is given, else of an
+installed detector.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagemill.functions.charset_model import CharsetModel, guessed as model_guess
+
 # ---- fixed values ------------------------------------------------------------
 ENCODING_ALIASES = {
     "utf8": "utf-8",
@@ -197,20 +201,30 @@ def _is_utf8(enc: Column) -> Column:
     return F.lower(enc).isin("utf-8", "utf8", "utf_8", "u8", "utf")
 
 
+def _is_latin1(enc: Column) -> Column:
+    return F.lower(enc).isin("iso-8859-1", "iso8859-1", "iso_8859_1", "latin-1", "latin1", "latin_1", "l1", "cp819")
+
+
 def decode_utf8(content: Column) -> Column:
     return F.make_valid_utf8(content.cast("string"))
 
 
+def decode_native(content: Column, enc: Column) -> Column:
+    """``content`` in UTF-8 or Latin-1, without Python."""
+    return F.when(_is_latin1(enc), F.decode(content, "ISO-8859-1")).otherwise(decode_utf8(content))
+
+
 def with_decoded_body(df: DataFrame, content: str = "content", info: str = "encoding_info",
                       out: str = "body") -> DataFrame:
     """Decode with the detected charset (replacement on bad bytes).
 
-    UTF-8 rows decode natively; the other rows go through the pandas UDF.
+    UTF-8 and Latin-1 rows decode natively; the other rows go through the pandas UDF.
     """
     enc = F.col(f"{info}.encoding")
-    native = df.filter(_is_utf8(enc) | F.col(content).isNull()).withColumn(
-        out, F.coalesce(decode_utf8(F.col(content)), F.lit("")))
-    other = df.filter(~_is_utf8(enc) & F.col(content).isNotNull()).withColumn(
+    simple = _is_utf8(enc) | _is_latin1(enc)
+    native = df.filter(simple | F.col(content).isNull()).withColumn(
+        out, F.coalesce(decode_native(F.col(content), enc), F.lit("")))
+    other = df.filter(~simple & F.col(content).isNotNull()).withColumn(
         out, _decode_other(F.col(content), enc))
     return native.unionByName(other)
 
@@ -247,18 +261,26 @@ def _guess_and_decode(content: pd.Series, enc: pd.Series, statistical: pd.Series
 
 def decode_content(df: DataFrame, content: str = "content", headers: str = "headers",
                    manual: Column | None = None, statistical: bool = True,
-                   info: str = "encoding_info", out: str = "body") -> DataFrame:
+                   info: str = "encoding_info", out: str = "body", model: CharsetModel | None = None) -> DataFrame:
     """X14-X17 in two branches: rows whose charset is decided by manual /
-    header / meta evidence and is UTF-8 decode JVM-side; every other row goes
+    header / meta evidence and is UTF-8 or Latin-1 decode JVM-side; every other row goes
     through one pandas UDF that guesses (if undecided) and decodes. A charset that
-    fails to decode leaves its message in ``encoding_error`` and the UTF-8 reading as text."""
+    fails to decode leaves its message in ``encoding_error`` and the UTF-8 reading as text.
+    ``model``: undecided rows are guessed by it, and what it leaves open is UTF-8."""
     decided = with_encoding_info(df, content, headers, manual, statistical=False, out="_dec")
     src = F.col("_dec.source")
-    undecided = src == SOURCE_DEFAULT
-    native = decided.filter(~undecided & _is_utf8(F.col("_dec.encoding"))).withColumn(
-        out, F.coalesce(decode_utf8(F.col(content)), F.lit("")))
+    if model is not None:
+        found = decided.withColumn("_g", F.when(src == SOURCE_DEFAULT, model_guess(F.when(src == SOURCE_DEFAULT, F.col(content)), model)))
+        decided = found.withColumn("_dec", F.when(F.col("_g.encoding").isNull(), F.col("_dec")).otherwise(
+            _info(F.col("_g.encoding"), F.col("_g.confidence"), F.lit(SOURCE_STAT), F.lit("model")))).drop("_g")
+        undecided = F.lit(False)
+    else:
+        undecided = src == SOURCE_DEFAULT
+    enc = F.col("_dec.encoding")
+    simple = ~undecided & (_is_utf8(enc) | _is_latin1(enc))
+    native = decided.filter(simple).withColumn(out, F.coalesce(decode_native(F.col(content), enc), F.lit("")))
     native = native.withColumnRenamed("_dec", info).withColumn("encoding_error", F.lit(None).cast("string"))
-    rest = decided.filter(undecided | ~_is_utf8(F.col("_dec.encoding")))
+    rest = decided.filter(~simple)
     g = _guess_and_decode(F.col(content), F.when(~undecided, F.col("_dec.encoding")),
                           F.lit(bool(statistical)))
     rest = rest.withColumn("_g", g)
