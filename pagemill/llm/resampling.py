@@ -9,8 +9,8 @@ The buckets come from a head-tail vocabulary:
 
 * a first pass keeps, in each task, bounded summaries of the most frequent words
   and pairs (Misra-Gries: no word or pair that is more frequent than its task's
-  words divided by ``SUMMARY`` is missed); the ``HEAD`` most frequent of their sums
-  are broadcast. Which ones they are decides the speed alone, never a result;
+  words divided by ``SUMMARY`` is missed); the most frequent of their sums,
+  at most ``HEAD``, are broadcast. Which ones they are decides the speed alone, never a result;
 * a head word carries its CRC state: the CRC of it, the CRC of a space and it, and its length.
   CRCs are linear, so the CRC of "a b" is the CRC of "a" shifted by the length
   of " b", xor that of " b"; shifts are table look-ups. Features of head words
@@ -202,7 +202,17 @@ def head_vocabulary(docs: DataFrame, text_col: str = "text") -> Head:
     found = cut_lineage(found)
 
     def top(rows: DataFrame) -> list:
-        return rows.orderBy(F.desc("n"), "a", "b").limit(HEAD).collect()
+        """At most ``HEAD`` rows, all that are frequent enough. The limit comes from a histogram of the counts (a
+        sixteenth of a power of two wide, so of some hundred rows), so no task or driver holds more."""
+        rows = rows.withColumn("at", F.floor(F.log2("n") * 16))
+        least, held = None, 0
+        for r in sorted(rows.groupBy("at").agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True):
+            held += r["k"]
+            if held > HEAD:
+                break
+            least = r["at"]
+        kept = rows.where(F.col("at") >= least).collect() if least is not None else []
+        return sorted(kept, key=lambda r: (-r["n"], r["a"], r["b"] or b""))
 
     words = [bytes(r["a"]) for r in top(found.where(F.col("b").isNull() & (F.length("a") <= HEAD_BYTES)))]
     pairs = [(bytes(r["a"]), bytes(r["b"])) for r in top(found.where(
