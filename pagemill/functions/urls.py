@@ -81,8 +81,25 @@ def _merged_path(base: Column, ref: Column) -> Column:
     return _let(segments, resolved)
 
 
+# what needs no resolution: an absolute reference and a rooted one without dot segments, both without controls, spaces,
+# brackets, params and empty parts (which would go)
+_TAIL = r"(\?[^\x00-\x20#]+)?(#[^\x00-\x20]+)?\z"
+_ORIGIN = r"^(https?://[^\x00-\x20/?#\[\]]+)"
+_PLAIN_ABSOLUTE = r"^https?://[^\x00-\x20/?#\[\]]+(/[^\x00-\x20?#;]*)?" + _TAIL
+_PLAIN_ROOTED = r"^(?!//)(?![^?#]*/\.)/[^\x00-\x20?#;]*" + _TAIL
+
+
 def urljoin(base: Column, ref: Column) -> Column:
-    """RFC 3986 reference resolution in Catalyst expressions alone.
+    """RFC 3986 reference resolution (``resolved``); absolute and rooted references that need none, most of
+    those in pages, are recognised by a pattern."""
+    simple = base.rlike(_ORIGIN)
+    return (F.when(simple & ref.rlike(_PLAIN_ABSOLUTE), ref)
+            .when(simple & ref.rlike(_PLAIN_ROOTED), F.concat(F.regexp_extract(base, _ORIGIN, 1), ref))
+            .otherwise(resolved(base, ref)))
+
+
+def resolved(base: Column, ref: Column) -> Column:
+    """Reference resolution in Catalyst expressions alone.
 
     Absolute references and those of other schemes come back unchanged, ''
     returns the base, dot segments are removed, control characters at the

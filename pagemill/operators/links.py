@@ -83,11 +83,11 @@ def link_rows(responses: DataFrame, step: Step, wf: Workflow, profile: str = "wo
     dom = F.col(dom_col)
     links = cap_links(R.values(dom, link_rule, profile), link_rule.max_links)
     other_cols = [R.values(dom, r, profile).alias(f"_f{i}") for i, r in enumerate(others.values())]
-    exploded = responses.select(
-        F.col("url").alias("_base"), F.col("meta"), F.col("seq"),
-        *other_cols,
-        F.posexplode(links).alias("_pos", "_raw"),
-    )
+    # the values of all rules are columns of the page before its links are exploded: a generator in the same
+    # projection would come first, and every other rule be evaluated once a link
+    found = responses.select(F.col("url").alias("_base"), F.col("meta"), F.col("seq"), links.alias("_links"), *other_cols)
+    exploded = found.select("_base", "meta", "seq", *[f"_f{i}" for i in range(len(others))],
+                            F.posexplode("_links").alias("_pos", "_raw"))
     entries = []
     for i, name in enumerate(others):
         v = padded_value(F.col(f"_f{i}"), F.col("_pos"))

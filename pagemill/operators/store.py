@@ -387,6 +387,7 @@ class ArticleStore(_LoggedTables):
 
     TABLES = {"articles": schemas.ARTICLES,
               "article_contents": T.StructType([*schemas.ARTICLE_CONTENTS.fields, T.StructField("task_id", T.StringType())])}
+    REFUSAL = ""
     KEYS = {"articles": "link_hash", "article_contents": "article_id"}
     IDS = {"articles": "id", "article_contents": "article_id"}
 
@@ -402,6 +403,10 @@ class ArticleStore(_LoggedTables):
         self._commit({"articles": rows.select(*schemas.ARTICLES.fieldNames()), "article_contents": contents}, batch_id)
         return True
 
+    def refused(self, batch: DataFrame) -> DataFrame | None:
+        """Items that this store cannot take: none."""
+        return None
+
     def delete_article(self, article_id_value) -> bool:
         """One article and its content; whether there was one."""
         return self._delete("id", article_id_value) > 0
@@ -420,6 +425,7 @@ class DocumentStore(_LoggedTables):
         *[T.StructField(n, T.StringType()) for n in ("id", "task_id", "title", "link", "link_hash", "content",
                                                      "content_hash", "source_url", "extra")],
         T.StructField("created_at", T.TimestampNTZType()), T.StructField("updated_at", T.TimestampNTZType())])}
+    REFUSAL = "extra is not JSON"
     KEYS = {"documents": "link_hash"}
     IDS = {"documents": "id"}
 
@@ -435,6 +441,10 @@ class DocumentStore(_LoggedTables):
         self._commit({"documents": docs.withColumn("extra", F.to_json("extra"))}, batch_id)
         return outcomes
 
+    def refused(self, batch: DataFrame) -> DataFrame | None:
+        """Items whose ``extra`` is not JSON."""
+        return batch.filter(_is_bad_extra(F.col("extra")))
+
     def delete_document(self, document_id) -> bool:
         """One document; whether there was one."""
         return self._delete("id", document_id) > 0
@@ -442,34 +452,37 @@ class DocumentStore(_LoggedTables):
 
 def save_to_targets(batch: DataFrame, targets: list, batch_id, dead_letter_path: str | None = None,
                     as_of: str | None = None, fallback: bool = True) -> str:
-    """Save projected articles to the first target that works.
+    """Save projected articles to the first target that works, item by item.
 
     ``targets`` are ``DocumentStore`` / ``ArticleStore`` objects in priority
-    order (document store first, as the item pipeline prefers). A failing
-    write falls back to the next target (``fallback=True``, the pipeline) or
-    goes straight to the dead letters (``fallback=False``, the worker's
+    order (document store first, as the item pipeline prefers). Items that a target refuses
+    (``refused``), and all items when its write fails, go on to the next target (``fallback=True``, the
+    pipeline) or straight to the dead letters (``fallback=False``, the worker's
     direct saves). Dead letters keep the error text and each item as JSON.
-    Returns the name of the target that took the batch ('dead_letter' if none).
+    Returns the name of the first target that took items ('dead_letter' if none).
     """
-    errors = []
+    errors, took, left = [], None, batch
     for target in targets:
+        name = type(target).__name__
         try:
             if isinstance(target, DocumentStore):
-                target.save(batch, batch_id, as_of=as_of)
-                if dead_letter_path:  # single items that the store cannot take
-                    _write_dead(document_dead_letters(batch), f"{dead_letter_path}", f"{batch_id}-items")
+                target.save(left, batch_id, as_of=as_of)
             else:
-                target.append(save_articles(target.load(), batch, batch_id=batch_id, as_of=as_of),
-                              batch_id)
-            return type(target).__name__
-        except Exception as exc:  # noqa: BLE001 - any store failure routes the batch on
-            errors.append(f"{type(target).__name__} save failed: {exc}")
-            if not fallback:
-                break
+                target.append(save_articles(target.load(), left, batch_id=batch_id, as_of=as_of), batch_id)
+            took = took or name
+            refused = target.refused(left)
+            if refused is None or refused.isEmpty():
+                return took
+            left = refused
+            errors.append(f"{name} refused the item: {target.REFUSAL}")
+        except Exception as exc:  # noqa: BLE001 - any store failure routes the items on
+            errors.append(f"{name} save failed: {exc}")
+        if not fallback:
+            break
     if dead_letter_path:
-        _write_dead(batch.select(F.lit("; ".join(errors)).alias("error"), F.lit("store").alias("stage"),
-                                 F.to_json(F.struct(*batch.columns)).alias("item")), dead_letter_path, str(batch_id))
-    return "dead_letter"
+        _write_dead(left.select(F.lit("; ".join(errors)).alias("error"), F.lit("store").alias("stage"),
+                                F.to_json(F.struct(*left.columns)).alias("item")), dead_letter_path, str(batch_id))
+    return took or "dead_letter"
 
 
 def _write_dead(rows: DataFrame, path: str, batch: str) -> None:

@@ -108,37 +108,46 @@ def preview_workflow(pages: DataFrame, wf: Workflow, snapshot: DataFrame | None
             rows.append(_row(out_of_range, step, empty_map(RESULT_TYPE), error=F.concat(
                 F.lit(f"link index {link_index} out of range (0-"), (n - 1).cast("string"), F.lit(")"))))
             same = cur.filter(~has)
-            follow = cur.filter(in_range).withColumn(
-                "_target", urljoin(F.col("url"), F.get(F.col("_links"), link_index)))
-            if snapshot is not None:
-                snap = snapshot.select(F.col("url").alias("_surl"), F.col("html").alias("_html"),
-                                       (F.col("status") if "status" in snapshot.columns
-                                        else F.lit(200)).alias("_code"))
-                j = follow.join(snap, follow["_target"] == snap["_surl"], "left")
-            else:
-                j = follow.withColumn("_surl", F.lit(None).cast("string")) \
-                    .withColumn("_html", F.lit(None).cast("string")).withColumn("_code", F.lit(None).cast("int"))
-            failed = j.filter(F.col("_surl").isNull() | (F.col("_code") >= 400))
-            rows.append(_row(failed, step, empty_map(RESULT_TYPE), error=F.concat(
-                F.lit("detail page request failed: "),
-                F.when(F.col("_surl").isNull(), F.lit("no page")).otherwise(
-                    F.concat(F.lit("HTTP "), F.col("_code").cast("string"))),
-                F.lit(" ("), F.col("_target"), F.lit(")"))))
-            detail = j.filter(F.col("_surl").isNotNull() & (F.col("_code") < 400)).select(
-                "page_id", F.col("_target").alias("url"), F.col("_html").alias("body"), "_links")
-            detail = with_dom(detail, "body", spans)
-            target = same.select(*detail.columns).unionByName(detail)
+            follow = cut_lineage(cur.filter(in_range).select("page_id", urljoin(
+                F.col("url"), F.get(F.col("_links"), link_index)).alias("_target")))
+            found = _details(follow, snapshot)
+            target = same.select("page_id", "url", "dom", F.lit(None).cast("string").alias("_error"))
+            detail = with_dom(found.select("page_id", F.col("_target").alias("url"), F.col("_html").alias("body"), "_error"),
+                              "body", spans)
+            target = target.unionByName(detail.select("page_id", "url", "dom", "_error"))
+            fine = F.col("_error").isNull()
             if not step.data_rules:
-                rows.append(_row(target, step, empty_map(RESULT_TYPE),
-                                 warning=F.lit("No extraction rules configured")))
+                rows.append(_row(target, step, empty_map(RESULT_TYPE), error=F.col("_error"),
+                                 warning=F.when(fine, F.lit("No extraction rules configured"))))
             else:
-                rows.append(_row(target, step, preview_data(step)))
+                result = F.when(fine, preview_data(step)).otherwise(empty_map(RESULT_TYPE))
+                rows.append(_row(target, step, result, error=F.col("_error")))
         else:
             rows.append(_row(cur, step, empty_map(RESULT_TYPE),
                              warning=F.lit(f"Unknown step type: {step.type}")))
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
+def _details(follow: DataFrame, snapshot: DataFrame | None) -> DataFrame:
+    """The detail pages of ``follow`` (page_id, _target): ``_html``, '' and an ``_error`` where there is none. The
+    targets join the pages (an inner join, which may broadcast the few targets, never the pages); targets
+    without a page come from an anti-join with the urls alone."""
+    text = F.lit(None).cast("string")
+    at = F.concat(F.lit(" ("), F.col("_target"), F.lit(")"))
+    none = F.concat(F.lit("detail page request failed: no page"), at)
+    if snapshot is None:
+        return follow.select("page_id", "_target", F.lit("").alias("_html"), none.alias("_error"))
+    code = F.col("status") if "status" in snapshot.columns else F.lit(200)
+    snap = snapshot.select(F.col("url").alias("_surl"), F.col("html").alias("_text"), code.alias("_code"))
+    bad = F.col("_code") >= 400
+    hit = snap.join(follow, snap["_surl"] == follow["_target"]).select(
+        "page_id", "_target", F.when(bad, F.lit("")).otherwise(F.col("_text")).alias("_html"),
+        F.when(bad, F.concat(F.lit("detail page request failed: HTTP "), F.col("_code").cast("string"), at)).otherwise(text).alias("_error"))
+    known = snap.select("_surl")
+    miss = follow.join(known, follow["_target"] == known["_surl"], "left_anti")
+    return hit.unionByName(miss.select("page_id", "_target", F.lit("").alias("_html"), none.alias("_error")))
+
+
 def extraction_coverage(pages: DataFrame, wf: Workflow, html_col: str = "html") -> DataFrame:
     """Per (step, field): values found in all pages and pages with at least one."""
     df = with_dom(pages, html_col, _spans(wf))

@@ -102,3 +102,20 @@ def test_a_charset_that_cannot_decode_is_reported(spark):
                                "content binary, headers map<string,string>")
     rows = decode_content(df, "content").select("body", "encoding_error").collect()
     assert all(r.body for r in rows) and any((r.encoding_error or "").startswith("idna") for r in rows)
+
+
+def test_urljoin_patterns_agree_with_full_resolution(spark):
+    from urllib.parse import urljoin as python_join
+
+    from pagemill.functions.urls import resolved, urljoin
+
+    bases = ["https://h.test/a/b?q#f", "http://h.test", "https://u:p@h.test:80/x/", "HTTPS://H.test/a", "https://[::1]/a", "ftp://h/a", "/rel"]
+    refs = ["https://o.test/x", "https://o.test", "http://o.test/a/../b", "https://o.test/?", "https://o.test/#", "https://o.test/a;p",
+            "https://o.test/?q=1#x", "HTTPS://o.test/", "https://[x/", "//o.test/x", "/", "/x", "/x/../y", "/x/.hidden", "/./x", "/a//b",
+            "/x;p", "/x?", "/x?q", "/x?q#", "/x#f", "/x?a/../b", "/a b", "/é", "x", "?q", "#f", "", " /x", "/x\n", "mailto:a@b"]
+    df = spark.createDataFrame([(b, r) for b in bases for r in refs], "b string, r string")
+    got = df.select("b", "r", urljoin(F.col("b"), F.col("r")).alias("fast"), resolved(F.col("b"), F.col("r")).alias("full")).collect()
+    for x in got:
+        assert x.fast == x.full, (x.b, x.r)
+        if "[" not in x.b + x.r:
+            assert x.fast == python_join(x.b, x.r), (x.b, x.r)
