@@ -20,9 +20,11 @@ from pagemill.sources.runs import BucketedRuns
 class SeenUrls(BucketedRuns):
     """Keys of the urls requested so far, under ``root`` (any storage of Spark's)."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, fanout: int = 4, keys_a_file: int = 1_000_000):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, fanout: int = 4):
+        # adaptive: a file's filter is as large as its keys ask for, so a small run's files stay small
         super().__init__(spark, root, "key string", "key", buckets, fanout, {
-            "parquet.bloom.filter.enabled#key": "true", "parquet.bloom.filter.expected.ndv#key": str(keys_a_file)})
+            "parquet.bloom.filter.enabled#key": "true", "parquet.bloom.filter.adaptive.enabled": "true",
+            "parquet.bloom.filter.candidates.number#key": "14"})
 
     def admit(self, requests: DataFrame, round_id: int, written: list | None = None) -> DataFrame:
         """The requests of a round that may be made: of each url the first one (smallest ``seq``), if no earlier round

@@ -5,9 +5,11 @@ The relational form is two tables, ``articles`` and ``article_contents``
 content inline and ``updated_at``. Saving a batch:
 
   1. project + hash: link_hash = md5(link) ('' for no link), content_hash;
-  2. in-batch first-wins per link_hash by ``seq`` (``dedup.first_wins``);
-  3. ``left_anti`` against the link hashes already stored (only the
-     ``link_hash`` column of the store is read);
+  2. a bitmap of the link hashes that repeat in the batch or are stored (of the batch and the store
+     only this column is read): rows that it does not mark are new and are not moved;
+  3. of the marked ones, those whose key is not stored: in-batch first-wins per link_hash by ``seq``
+     (``dedup.first_wins``) and a ``left_anti`` against the stored link hashes, both exact; a second bitmap,
+     of the keys that pass them, thins the rows (unless they are ``FEW``) before they are moved with their content;
   4. rows with an empty link hash are never matched and always inserted.
 
 Ids are deterministic (``hashing.article_id``), so a duplicate's outcome
@@ -27,9 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill import schemas
+from pagemill.functions.common import HashBitmap
 from pagemill.functions.hashing import article_id, content_hash, link_hash
 from pagemill.functions.timefn import local_now_literal
-from pagemill.operators.dedup import first_wins, spread_key
+from pagemill.operators.dedup import first_wins
+from pagemill.session import cut_lineage, drop_tables
 from pagemill.sources.files import delete, names, path_exists, publish_text, read_text, write_text
 
 
@@ -63,7 +67,6 @@ class SaveResult:
     def materialized(self) -> "SaveResult":
         """The same result with the new rows written once to the checkpoint
         folder, so writing both tables does not recompute the batch."""
-        from pagemill.session import cut_lineage
         return SaveResult(cut_lineage(self.rows), self.outcomes)
 
 
@@ -96,22 +99,40 @@ def prepare(batch: DataFrame, batch_id: int | str = 0, as_of: str | None = None)
 
 
 def _not_stored(winners: DataFrame, stored_keys: DataFrame, key: str) -> DataFrame:
-    """Winners whose key is not stored yet, in one pass. Rows with an empty key
-    are never matched: they join on a per-row key (``spread_key``) that no
-    stored hash can equal, so they are kept and do not meet on one key."""
-    probe = winners.withColumn("_probe", spread_key(F.col(key), F.col("seq")))
-    return probe.join(stored_keys, probe["_probe"] == stored_keys["_k"], "left_anti").drop("_probe")
+    """Winners whose key is not stored yet."""
+    return winners.join(stored_keys, winners[key] == stored_keys["_k"], "left_anti")
+
+
+#: Rows that are moved with their content without looking whether they may be new.
+FEW = 10_000
+
+
+def _new_rows(prepared: DataFrame, stored_keys: DataFrame, key: str) -> DataFrame:
+    """First rows per key that are not stored, and all rows without a key. Content moves only for rows whose key
+    repeats in the batch and is not stored."""
+    keyed = prepared.select(key, "seq").filter(F.col(key) != "")
+    repeated = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(key).alias("_k"))
+    suspects = HashBitmap(repeated.unionByName(stored_keys), "_k")
+    asked = F.col("_suspect") & (F.col(key) != "")
+    mine = suspects.mark(keyed, key, "_suspect").where(asked)
+    marked = suspects.mark(prepared, key, "_suspect")
+    open_ = marked.where(asked).drop("_suspect")
+    if mine.count() > FEW:
+        first = mine.groupBy(key).agg(F.min("seq").alias("seq"))
+        alive = HashBitmap(_not_stored(first, stored_keys, key).select(key), key)
+        open_ = alive.mark(open_, key, "_alive").where("_alive").drop("_alive")
+    decided = _not_stored(first_wins(open_, key, "seq"), stored_keys, key)
+    return decided.unionByName(marked.where(~asked).drop("_suspect"))
 
 
 def save_articles(store: ArticleTables, batch: DataFrame, batch_id: int | str = 0,
                   as_of: str | None = None, dedup_on: str = "link_hash") -> SaveResult:
     """K6: first-wins by link hash within the batch and against the store."""
     prepared = prepare(batch, batch_id, as_of)
-    winners = first_wins(prepared, dedup_on, "seq", bypass_empty=True)
     # the stored keys live in articles (link_hash) or article_contents (content_hash)
     source = store.contents if dedup_on == "content_hash" else store.articles
     stored_keys = source.select(F.col(dedup_on).alias("_k")).filter(F.col("_k") != "")
-    new = _not_stored(winners, stored_keys, dedup_on)
+    new = _new_rows(prepared, stored_keys, dedup_on)
     inserted = new.select(F.col("seq").alias("_seq"), F.lit(True).alias("_ins"))
     marked = prepared.join(inserted, prepared["seq"] == inserted["_seq"], "left")
     if dedup_on == "link_hash":  # the id is the link hash, so a duplicate has the id of its link
@@ -184,9 +205,8 @@ def save_documents(documents: DataFrame, batch: DataFrame, batch_id: int | str =
     """K7: same de-dup as K6 into the single-table form. Returns (new_docs, outcomes); items whose
     ``extra`` is not JSON take no part (see ``document_dead_letters``)."""
     prepared = prepare(batch.filter(~_is_bad_extra(F.col("extra"))), batch_id, as_of)
-    winners = first_wins(prepared, "link_hash", "seq", bypass_empty=True)
     stored = documents.select(F.col("link_hash").alias("_k")).filter(F.col("_k") != "")
-    new = _not_stored(winners, stored, "link_hash")
+    new = _new_rows(prepared, stored, "link_hash")
     docs = new.select("id", "task_id", "title", "link", "link_hash",
                       "content", "content_hash", "source_url", F.try_parse_json("extra").alias("extra"),
                       "created_at", F.col("created_at").alias("updated_at"))
@@ -397,10 +417,12 @@ class ArticleStore(_LoggedTables):
     def append(self, result: SaveResult, batch_id) -> bool:
         if self.committed(batch_id):
             return False
-        rows = result.materialized().rows  # both tables from one computation
+        written: list = []
+        rows = cut_lineage(result.rows, written)  # both tables from one computation
         contents = rows.filter(F.col("content") != "").select(
             F.col("id").alias("article_id"), "content", "content_hash", "created_at", "task_id")
         self._commit({"articles": rows.select(*schemas.ARTICLES.fieldNames()), "article_contents": contents}, batch_id)
+        drop_tables(self.spark, written)
         return True
 
     def refused(self, batch: DataFrame) -> DataFrame | None:

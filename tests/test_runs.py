@@ -100,7 +100,7 @@ def test_bytes_written_follow_the_new_keys(spark):
     seen.admit(requests(spark, ["https://h/5", "https://new/1"]), 1)
     big, small = seen.runs()
     assert (big.rows, small.rows) == (200_000, 1)
-    assert small.bytes * 1000 < big.bytes * 200  # one key costs its files' frames, not the set
+    assert small.bytes < 4000 < 1_000_000 < big.bytes  # one key costs its file's frame, not the set
 
 
 def test_stored_keys_are_not_moved(spark, no_broadcast):

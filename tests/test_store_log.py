@@ -114,3 +114,23 @@ def test_readers_broadcast_tombstones_only(spark):
     for line in plan.split("\n"):  # what is exchanged are the few tombstones
         if "Exchange hashpartitioning" in line:
             assert "value" in line
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_saves_match_brute_force_whichever_rows_move(spark, monkeypatch, few):
+    monkeypatch.setattr(St, "FEW", few)
+    store = ArticleStore(spark, scratch_dir(spark, "moves"))
+    held: dict = {}
+    for number in range(3):
+        rows = [(f"t{i % 3}", f"L{(i * 7 + number * 11) % 40}" if i % 9 else "", f"c{number}-{i}") for i in range(60)]
+        df = spark.createDataFrame([(t, n, f"https://h/{n}" if n else "", c, "s", "{}", [0, i]) for i, (t, n, c) in enumerate(rows)], COLS)
+        got = save_articles(store.load(), df.repartition(4), batch_id=number)
+        want = []
+        for i, (t, n, c) in enumerate(rows):
+            new = not n or n not in held
+            want.append("inserted" if new else "existing")
+            if new:
+                held[n or f"none-{number}-{i}"] = c
+        assert [r.status for r in got.outcomes.orderBy("seq").collect()] == want
+        store.append(got, number)
+    assert sorted(r.content for r in store.load().contents.collect()) == sorted(held.values())
