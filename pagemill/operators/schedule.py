@@ -12,20 +12,24 @@ their host has used; other errors, and the last attempt's, are final.
 from __future__ import annotations
 
 import inspect
+import json
 import time
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.functions.common import empty_map
 from pagemill.functions.urls import url_host
 from pagemill.operators.requests import normalize_requests
 from pagemill.session import cut_lineage, drop_tables
 
+#: What a call answers; the request's own columns pass by as they are.
+CALLED = "status int, http_status int, headers map<string,string>, content binary, error string, retryable boolean"
 CALL_SCHEMA = ("url string, host string, seq array<bigint>, meta struct<workflow_index:int,context:map<string,string>,"
-               "params:map<string,string>,encoding:string>, attempt int, slot long, due double, status int, "
-               "http_status int, headers map<string,string>, content binary, error string, retryable boolean")
+               f"params:map<string,string>,encoding:string>, attempt int, slot long, due double, {CALLED}")
+#: Calls whose answers a task holds at one time.
+AT_ONCE = 256
 
 
 def places(rows: DataFrame, key: str, order: str, written: list | None = None) -> DataFrame:
@@ -58,31 +62,51 @@ def due_slots(requests: DataFrame, used: DataFrame | None = None, interval_s: fl
     return placed.withColumn("due", F.floor(F.col("slot") / F.lit(int(parallel))).cast("double") * F.lit(float(interval_s)))
 
 
-def _caller(client: Callable, retryable: tuple):
-    """Calls of a task's requests, one after the other, each once. A client that names a parameter ``attempt`` gets it."""
+def _called(wave: DataFrame, client: Callable, retryable: tuple) -> DataFrame:
+    """The calls of a wave's requests: each task makes its own one after the other, each once. A client that names a
+    parameter ``attempt`` gets it. Nested columns go through the tasks as JSON texts, those of no use there unread."""
     numbered = "attempt" in inspect.signature(client).parameters
+    meta = wave.schema["meta"].dataType
+    passing = "url string, host string, seq string, meta string, attempt int, slot long, due double"
+    schema = f"{passing}, status int, http_status int, headers string, content binary, error string, retryable boolean"
 
     def run(batches):
-        for pdf in batches:
-            rows = []
-            for r in pdf.itertuples(index=False):
-                status, headers, content, error, again = 0, {}, b"", None, False
-                extra = {"attempt": int(r.attempt)} if numbered else {}
-                code = None
-                try:
-                    code, found, body = client(r.url, r.method, dict(r.headers or {}), dict(r.params or {}), r.data, r.json, **extra)
-                    if code < 400:
-                        status, headers, content = code, {str(k): str(v) for k, v in (found or {}).items()}, body
-                except retryable as exc:
-                    error, again = f"request failed: {exc}", True
-                except Exception as exc:  # noqa: BLE001 - whatever a client raises is the request's outcome
-                    error = f"unexpected error: {exc}"
-                rows.append((r.url, r.host, None if r.seq is None else list(r.seq), r.meta, int(r.attempt), int(r.slot),
-                             float(r.due), status, code, headers, content, error, again))
-            yield pd.DataFrame(rows, columns=["url", "host", "seq", "meta", "attempt", "slot", "due", "status",
-                                              "http_status", "headers", "content", "error", "retryable"])
-
-    return run
+        import pyarrow as pa
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(at, AT_ONCE)
+                asked = {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}
+                answers = []
+                for url, method, headers, params, data, body, attempt in zip(*(asked[n] for n in (
+                        "url", "method", "headers", "params", "data", "json", "attempt"))):
+                    code, status, found, content, error, again = None, 0, None, b"", None, False
+                    extra = {"attempt": attempt} if numbered else {}
+                    try:
+                        code, fields, raw = client(url, method, json.loads(headers or "{}"), json.loads(params or "{}"), data, body, **extra)
+                        if code < 400:
+                            status, content = code, raw
+                            found = json.dumps({str(k): str(v) for k, v in fields.items()}) if fields else None
+                    except retryable as exc:
+                        error, again = f"request failed: {exc}", True
+                    except Exception as exc:  # noqa: BLE001 - whatever a client raises is the request's outcome
+                        error = f"unexpected error: {exc}"
+                    answers.append((status, code, found, content, error, again))
+                kept = [part.column(part.schema.names.index(n)) for n in ("url", "host", "seq", "meta", "attempt", "slot", "due")]
+                types = (pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.string(), pa.bool_())
+                yield pa.RecordBatch.from_arrays(kept + [pa.array(c, t) for c, t in zip(zip(*answers), types)], names=[
+                    "url", "host", "seq", "meta", "attempt", "slot", "due", "status", "http_status", "headers", "content",
+                    "error", "retryable"])
+
+    def text(name: str) -> Column:  # null where there is nothing in it
+        return F.when(F.size(name) > 0, F.to_json(name)).alias(name)
+
+    asked = wave.select("url", "host", F.to_json("seq").alias("seq"), F.to_json("meta").alias("meta"), "attempt", "slot", "due", "method",
+                        text("headers"), text("params"), "data", "json")
+    done = asked.mapInArrow(run, schema)
+    return done.withColumns({
+        "seq": F.from_json("seq", "array<bigint>"), "meta": F.from_json("meta", meta),
+        "headers": F.coalesce(F.from_json("headers", "map<string,string>"), empty_map())})
 
 
 def fetch_scheduled(requests: DataFrame, client: Callable, interval_s: float = 1.0, parallel: int = 1,
@@ -109,7 +133,7 @@ def fetch_scheduled(requests: DataFrame, client: Callable, interval_s: float = 1
         for number, wave in enumerate(waves):
             if clock:
                 time.sleep(max(0.0, started + number * window_s - time.monotonic()))
-            made.append(cut_lineage(wave.mapInPandas(_caller(client, retryable), CALL_SCHEMA)))
+            made.append(cut_lineage(_called(wave, client, retryable)))
         if not made:
             break
         done = made[0]
