@@ -41,6 +41,7 @@ from pagemill.sources.files import delete, names, path_exists, publish_text, rea
 class ArticleTables:
     articles: DataFrame
     contents: DataFrame
+    content_files: DataFrame | None = None  # of a stored table: article_id and the file that holds its content
 
     @staticmethod
     def empty(spark: SparkSession) -> "ArticleTables":
@@ -317,8 +318,8 @@ class _LoggedTables:
             return None
         return self.spark.read.schema(TOMBSTONE).json(path).where(F.col("at") <= last)
 
-    def _visible(self, table: str) -> DataFrame:
-        """The stored rows that are committed and not deleted."""
+    def _visible(self, table: str, with_file: bool = False) -> DataFrame:
+        """The stored rows that are committed and not deleted; ``with_file``: with the path of their file, ``_file``."""
         version = self._version()
         last, schema = self._last(version), self.TABLES[table]
         if self.buckets:
@@ -327,13 +328,16 @@ class _LoggedTables:
             rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("seq", T.LongType())])).parquet(
                 self._dir(table, version))
         else:
-            return self.spark.createDataFrame([], schema)
+            none = self.spark.createDataFrame([], schema)
+            return none.withColumn("_file", F.lit(None).cast("string")) if with_file else none
+        if with_file:
+            rows = rows.withColumn("_file", F.col("_metadata.file_path"))
         rows = rows.where(F.col("seq") <= last)
         dead = self._tombstones(version, last)
         for kind, column in (("id", self.IDS[table]), ("task", "task_id")) if dead is not None else ():
             mine = F.broadcast(dead.where(F.col("kind") == kind).groupBy("value").agg(F.max("at").alias("at")))
             rows = rows.join(mine, (F.col(column) == F.col("value")) & (F.col("seq") < F.col("at")), "left_anti")
-        return rows.select(*schema.fieldNames())
+        return rows.select(*schema.fieldNames(), *(["_file"] if with_file else []))
 
     # --- changes ---------------------------------------------------------------
     def _write(self, table: str, df: DataFrame, seq: int | str, version: int | None = None) -> None:
@@ -412,7 +416,8 @@ class ArticleStore(_LoggedTables):
     IDS = {"articles": "id", "article_contents": "article_id"}
 
     def load(self) -> ArticleTables:
-        return ArticleTables(self._visible("articles"), self._visible("article_contents").drop("task_id"))
+        return ArticleTables(self._visible("articles"), self._visible("article_contents").drop("task_id"),
+                             self._visible("article_contents", with_file=True).select("article_id", "_file"))
 
     def append(self, result: SaveResult, batch_id) -> bool:
         if self.committed(batch_id):
