@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pagemill.functions.common import hash_marked
 from pagemill.session import cut_lineage
 
-__all__ = ["bounded_batches", "connected_components", "cut_lineage", "hash_marked", "hash_thinned", "map_rows", "read_table", "released", "text_or_empty", "tmp_name"]
+__all__ = ["bounded_batches", "connected_components", "counted_marked", "cut_lineage", "hash_marked", "hash_thinned", "map_rows", "read_table", "released", "text_or_empty", "tmp_name"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,6 +112,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .unionByName(nxt.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()))
 
 
+def counted_marked(rows: DataFrame, wanted: DataFrame, column: str, flag: str) -> DataFrame:
+    """``hash_marked`` with a bitmap sized by the number of ``wanted`` rows (a written table: it is read twice):
+    32 bits for each, 16 MB at most."""
+    n = wanted.count()
+    return hash_marked(rows, wanted, column, flag, 1 << min(max((32 * n).bit_length(), 16), 27))
+
+
 def hash_thinned(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
     """``rows`` without most of those whose ``column`` is not in ``wanted``, to thin a scan before
     an exact join."""

@@ -1,28 +1,36 @@
 """Information-theoretic sanitisation of personal data, in DataFrame functions alone.
 
 Protected entities are the e-mail addresses, IP addresses, card numbers and
-phone numbers in the texts. A term near an entity can reveal it after the
-entity itself is gone. How strongly is estimated from the corpus: with
-probabilities as shares of documents,
+phone numbers in the texts. A term of a text that holds an entity can reveal it
+after the entity itself is gone. How strongly is estimated from the corpus: with
+probabilities as shares of the different texts,
 
     information of entity e:  I(e)    = -log2 p(e)
-    disclosure by term t:     PMI(e;t) = log2 p(e, t) / (p(e) p(t))
-
-PMI never exceeds I(e); a term whose PMI reaches ``disclosure * I(e)`` discloses
-that share of the entity's information. Such a term is replaced by its stem
-class (first letters and a star) if the class discloses less than that, else
-it is removed. ``p(e, t)`` counts documents that have t among the ``near`` words
-beside e; a pair is judged from ``support`` different surroundings on, so copies
-of one text are no evidence. ``p(t)`` counts all documents with the term.
-
-Plan: one scan finds the base spans and the words beside them (narrow, written
-once); pairs are aggregated from those; a second scan counts documents with the
-candidate terms, thinned by a bitmap of fixed size before the shuffle. A text
-without base spans never leaves its scan and is never changed.
+    disclosure by term t:     PMI(e;t) = log2 p(e|t) / p(e)
+
+PMI never exceeds I(e), so ``PMI / I`` is the share of the entity's information that
+the term gives away. Every term of every text with an entity is judged, wherever
+it stands and whatever its length; no count is a cut. Few observations are shrunk
+instead: p(e|t) is the lower Wilson bound at one standard deviation, and with c texts
+that hold both, the score is the mean of the entity's own share (weight c) and of
+a prior (weight ``PRIOR``). The prior pools the entity's class - mail domain, network,
+issuer or dialling prefix - over the texts without the entity itself, and is shrunk
+towards 0 in the same way; so one text is no evidence alone, two are, and so are several
+addresses of a domain that come with one term. A term whose score reaches
+``disclosure`` is replaced at all its places in the texts that hold the entity: by its stem
+class (first letters and a star) if the class scores less than that, else by nothing.
+
+Plan: one scan finds the base spans and the words of texts that have some (written
+once). Texts with a term are counted in a second scan, with partial sums a task; only
+texts that occur more than once are counted by their hash. Entities and terms meet on
+the text, after terms too frequent and classes too rare to reach the threshold are left
+out (both bounds are exact). A text without base spans never leaves its scan and is never
+changed.
 
 Cases: a null text is empty (no spans, stays null in ``sanitise``). Ids may be
-null or repeated: rows are matched by id and text hash, and repeated rows get
-the same spans. Empty tables give empty results; other columns pass through.
+null or repeated: what is found belongs to the text, and rows with equal texts get
+the same spans; copies of a text count once. A term inside an address is part of its span,
+not a term. Empty tables give empty results; other columns pass through.
 """
 
 from __future__ import annotations
@@ -30,14 +38,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, hash_thinned, text_or_empty, tmp_name
+from .common import counted_marked, cut_lineage, text_or_empty, tmp_name
 
 KINDS = ("email", "ip", "card", "phone")
-NEAR_WORDS = 8
-NEAR_CHARS = 160
-SUPPORT = 3
-DISCLOSURE = 0.75
+DISCLOSURE = 0.58
+PRIOR = 1.0
 STEM = 3
+#: Rows with equal texts are dealt over this many keys in the joins on the text.
+SALTS = 16
 
 # The patterns of the kinds, in a form that the regex engine runs in linear time: possessive
 # repeats, and a match starts where a run starts or where the last match ended.
@@ -48,6 +56,8 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
+# An address or a word outside of addresses.
+TOKEN = rf"{PATTERNS['email']}|(?:(?!{PATTERNS['email']})\p{{L}})++"
 
 
 def _luhn(digits: Column) -> Column:
@@ -103,103 +113,149 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*(kind_spans(text, k) for k in KINDS)))
 
 
-def _words_beside(text: Column, spans: Column, near: int) -> Column:
-    """array<struct<entity, term, start, end, around>>: the words next to each span, by position."""
-
-    def words(part: Column, offset: Column, order) -> Column:
-        gaps = F.transform(F.split(part, r"\p{L}+", -1), F.length)
-        zipped = F.arrays_zip(F.regexp_extract_all(part, F.lit(r"\p{L}+"), F.lit(0)).alias("w"), gaps.alias("gap"))
-        none = F.array().cast("array<struct<term:string,start:int,end:int>>")
-        placed = F.aggregate(zipped, F.struct(offset.cast("int").alias("at"), none.alias("found")), lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.coalesce(F.length(x["w"]), F.lit(0))).alias("at"),
-            F.when(x["w"].isNotNull(), F.concat(acc["found"], F.array(F.struct(
-                F.lower(x["w"]).alias("term"), (acc["at"] + x["gap"]).alias("start"),
-                (acc["at"] + x["gap"] + F.length(x["w"])).alias("end"))))).otherwise(acc["found"]).alias("found")))["found"]
-        return order(placed)
-
-    def one(span: Column) -> Column:
-        low = F.greatest(span["start"] - NEAR_CHARS, F.lit(0))
-        left = F.substring(text, low + 1, span["start"] - low)
-        right = F.substring(text, span["end"] + 1, NEAR_CHARS)
-        # a word that the cut goes through is not whole and is left out
-        before = words(left, low, lambda a: F.reverse(F.slice(F.reverse(F.filter(
-            a, lambda w: (w["start"] > low) | (low == 0))), 1, near)))
-        after = words(right, span["end"], lambda a: F.slice(F.filter(
-            a, lambda w: w["end"] < span["end"] + NEAR_CHARS), 1, near))
-        entity = F.concat_ws(":", span["kind"].cast("string"), F.when(span["kind"] == 0, F.lower(span["value"]))
-                             .otherwise(F.regexp_replace(span["value"], "[^0-9.]", "")))
-        beside = F.filter(F.concat(before, after), lambda w: (F.length(w["term"]) > STEM) & ~F.exists(
-            spans, lambda s: (w["start"] < s["end"]) & (s["start"] < w["end"])))
-        around = F.xxhash64(F.concat_ws(" ", F.transform(beside, lambda w: w["term"])))
-        return F.transform(beside, lambda w: F.struct(
-            entity.alias("entity"), w["term"].alias("term"), w["start"].alias("start"), w["end"].alias("end"),
-            around.alias("around")))
-
-    return F.flatten(F.transform(spans, one))
-
-
-def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: int = NEAR_WORDS) -> DataFrame:
-    """Written table (id, text_hash, base, beside): one row per input row."""
+def _entity(span: Column) -> Column:
+    """Key of the protected value of a span."""
+    return F.concat_ws(":", span["kind"].cast("string"), F.when(span["kind"] == 0, F.lower(span["value"]))
+                       .otherwise(F.regexp_replace(span["value"], "[^0-9.]", "")))
+
+
+def _class(entity: Column) -> Column:
+    """Key of the class that an entity's statistics are pooled with: domain, network, issuer, dialling prefix."""
+    kind, value = F.substring(entity, 1, 1), F.substring(entity, 3, F.length(entity))
+    return F.concat(kind, F.lit("@"), F.when(kind == "0", F.substring_index(value, "@", -1))
+                    .when(kind == "1", F.substring_index(value, ".", 2)).when(kind == "2", F.substring(value, 1, 6))
+                    .otherwise(F.substring(F.regexp_replace(value, r"\.", ""), 1, 5)))
+
+
+def _stem(term: Column) -> Column:
+    return F.concat(F.substring(term, 1, STEM), F.lit("*"))
+
+
+def _terms(words: Column) -> Column:
+    """Distinct terms of a text and their classes, which are judged like terms."""
+    lower = F.array_distinct(F.transform(F.filter(words, lambda w: (w != "") & ~w.contains("@")), F.lower))
+    return F.array_distinct(F.concat(lower, F.transform(F.filter(lower, lambda w: F.length(w) > STEM), _stem)))
+
+
+def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Written table (id, text_hash, base, tokens, gaps): one row per input row. Tokens (words and addresses, in
+    order) and the lengths of what lies between them are null where there are no base spans."""
     text = text_or_empty(docs[text_col])
     rows = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     rows = rows.withColumn("base", base_spans(F.col("text")))
-    none = F.array().cast("array<struct<entity:string,term:string,start:int,end:int,around:bigint>>")
-    beside = F.when(F.size("base") > 0, _words_beside(F.col("text"), F.col("base"), near)).otherwise(none)
-    return cut_lineage(rows.select("id", "text_hash", "base", beside.alias("beside")))
+    has = F.size("base") > 0
+    return cut_lineage(rows.select(
+        "id", "text_hash", "base",
+        F.when(has, F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))).alias("tokens"),
+        F.when(has, F.transform(F.split("text", TOKEN, -1), F.length)).alias("gaps")))
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text", support: int = SUPPORT,
+def _term_docs(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame:
+    """(term, docs_term): the number of different texts with each term, over all texts."""
+    text = text_or_empty(docs[text_col])
+    repeated = cut_lineage(found.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("text_hash"))
+    # a text without an @ has no address to leave out
+    words = F.when(text.contains("@"), F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))).otherwise(
+        F.split(text, r"\P{L}+"))
+    rows = counted_marked(docs.select(F.xxhash64(text).alias("text_hash"), _terms(words).alias("terms")), repeated,
+                          "text_hash", "may_repeat")
+    each = rows.select(F.when(F.col("may_repeat"), F.col("text_hash")).alias("copy"), F.explode("terms").alias("term"))
+    return (each.groupBy("term", "copy").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("term").agg(F.sum(F.when(F.col("copy").isNull(), F.col("n")).otherwise(1)).alias("docs_term")))
+
+
+def _share(both: Column, with_term: Column, with_entity: Column, total: Column) -> Column:
+    """Share of the entity's information that the term discloses, from 0 to 1; p(e|t) is the lower Wilson bound."""
+    p, n = both / with_term, with_term
+    low = (p + 0.5 / n - F.sqrt(p * (1 - p) / n + 0.25 / (n * n))) / (1 + 1 / n)
+    bits, of = F.log2(low * total / with_entity), F.log2(total / with_entity)
+    return F.when((both > 0) & (low > 0) & (of > 0), F.greatest(F.least(bits / of, F.lit(1.0)), F.lit(0.0))).otherwise(0.0)
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text",
                      disclosure: float = DISCLOSURE) -> DataFrame:
-    """(entity, term, bits, of, generalised): pairs beyond the threshold. ``generalised`` is the stem
+    """(entity, term, score, generalised): pairs that reach the threshold. ``generalised`` is the stem
     class of the term where that stays below, else null."""
-    places = found.where(F.size("beside") > 0).select("text_hash", F.explode("beside").alias("b")).select(
-        "text_hash", "b.entity", "b.term", "b.around")
-    # the class of a term is judged like a term
-    both = places.withColumn("term", F.explode(F.array("term", F.concat(F.substring("term", 1, STEM), F.lit("*")))))
-    pairs = both.groupBy("entity", "term").agg(F.countDistinct("around").alias("ways"),
-                                               F.countDistinct("text_hash").alias("docs_both"))
-    pairs = cut_lineage(pairs.where(F.col("ways") >= support))
-    entities = found.where(F.size("base") > 0).select("text_hash", F.explode(F.array_distinct(F.transform(
-        "base", lambda s: F.concat_ws(":", s["kind"].cast("string"), F.when(s["kind"] == 0, F.lower(s["value"]))
-                                      .otherwise(F.regexp_replace(s["value"], "[^0-9.]", "")))))).alias("entity"))
-    entity_docs = entities.join(pairs.select("entity").distinct(), "entity", "left_semi").groupBy("entity").agg(
-        F.countDistinct("text_hash").alias("docs_entity"))
-    # documents with each candidate, over all texts: equal texts count once, as above
-    wanted = pairs.select("term").distinct()
-    text = text_or_empty(docs[text_col])
-    words = docs.select(F.xxhash64(text).alias("text_hash"), F.explode(F.array_distinct(F.filter(
-        F.split(F.lower(text), r"[^\p{L}]+"), lambda w: F.length(w) > STEM))).alias("word"))
-    words = words.select("text_hash", F.explode(F.array("word", F.concat(F.substring("word", 1, STEM), F.lit("*"))))
-                         .alias("term"))
-    term_docs = (hash_thinned(words, wanted, "term").join(wanted, "term", "left_semi")
-                 .distinct().groupBy("term").agg(F.count(F.lit(1)).alias("docs_term")))
-    total = found.agg(F.countDistinct("text_hash").alias("total"))
-    judged = (pairs.join(entity_docs, "entity").join(term_docs, "term").crossJoin(F.broadcast(total))  # one row
-              .withColumn("bits", F.log2(F.col("total") * F.col("docs_both") / (F.col("docs_term") * F.col("docs_entity"))))
-              .withColumn("of", F.log2(F.col("total") / F.col("docs_entity")))
-              .withColumn("beyond", F.col("bits") >= disclosure * F.col("of")))
-    judged = cut_lineage(judged.select("entity", "term", "bits", "of", "beyond"))
-    classes = judged.where("term like '%*'").select("entity", F.col("term").alias("class"),
-                                                    F.col("beyond").alias("class_beyond"))
-    return (judged.where("beyond and term not like '%*'")
-            .withColumn("class", F.concat(F.substring("term", 1, STEM), F.lit("*")))
-            .join(classes, ["entity", "class"], "left")
-            .select("entity", "term", "bits", "of", F.when(~F.col("class_beyond"), F.col("class")).alias("generalised")))
+    if not 1 / (1 + PRIOR) < disclosure <= 1:
+        raise ValueError(f"disclosure must lie above {1 / (1 + PRIOR)}, which one text alone reaches, and be 1 at most")
+    with_base = found.where(F.size("base") > 0)
+    entities = cut_lineage(with_base.select("text_hash", F.explode(F.array_distinct(F.transform("base", _entity)))
+                                            .alias("entity")).distinct())
+    both = entities.withColumn("class", _class(F.col("entity")))
+    docs_class = both.select("text_hash", "class").distinct().groupBy("class").agg(F.count(F.lit(1)).alias("docs_class"))
+    # one text of a class is less evidence than the threshold asks for
+    known = cut_lineage(both.groupBy("entity", "class").agg(F.count(F.lit(1)).alias("docs_entity"))
+                        .join(docs_class.where("docs_class > 1"), "class"))
+    total = found.select("text_hash").distinct().count()
+    holders = entities.join(known, "entity").select("text_hash", "entity", "class", "docs_class")
+    holders = (holders.select("text_hash", F.col("entity").alias("of"), "docs_class")
+               .unionByName(holders.select("text_hash", F.col("class").alias("of"), "docs_class")).distinct())
+    terms = with_base.select("text_hash", F.explode(_terms(F.col("tokens"))).alias("term")).distinct()
+    # so is a term of one such text
+    shared = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("term")
+    counted = cut_lineage(_term_docs(docs, found, text_col).join(shared, "term"))
+    n = F.lit(float(total))
+    # the score is at most I(term) / I(class), as PMI is at most I(term)
+    pairs = (terms.join(counted, "term").join(holders, "text_hash")
+             .where(F.log2(n / F.col("docs_term")) >= disclosure * F.log2(n / F.col("docs_class")) - 1e-9)
+             .groupBy("of", "term", "docs_term").agg(F.count(F.lit(1)).alias("docs_both")))
+    pairs = cut_lineage(pairs)
+    pooled = pairs.select(F.col("of").alias("class"), "term", F.col("docs_both").alias("class_both"))
+    c, r = F.col("docs_both"), F.col("class_both") - F.col("docs_both")
+    prior = r / (r + PRIOR) * _share(r, F.greatest(F.col("docs_term") - c, F.lit(1)),
+                                     F.greatest(F.col("docs_class") - F.col("docs_entity"), F.lit(1)),
+                                     n - F.col("docs_entity"))
+    own = _share(c, F.col("docs_term"), F.col("docs_entity"), n)
+    beyond = (pairs.withColumnRenamed("of", "entity").join(known, "entity").join(pooled, ["class", "term"])
+              .select("entity", "term", ((c * own + PRIOR * prior) / (c + PRIOR)).alias("score"))
+              .where(F.col("score") >= disclosure))
+    beyond = cut_lineage(beyond)
+    classes = beyond.where("term like '%*'").select("entity", F.col("term").alias("stem"), F.lit(True).alias("told"))
+    return (beyond.where("term not like '%*'").withColumn("stem", _stem(F.col("term")))
+            .join(classes, ["entity", "stem"], "left")
+            .select("entity", "term", "score", F.when(F.col("told").isNull() & (F.length("term") > STEM), F.col("stem"))
+                    .alias("generalised")))
 
 
 def term_spans(found: DataFrame, disclosing: DataFrame) -> DataFrame:
-    """(id, text_hash, terms): array<struct<start, kind, end, value>> of terms to sanitise, where
-    ``value`` is the class that takes the term's place, or empty."""
-    places = found.where(F.size("beside") > 0).select("id", "text_hash", F.explode("beside").alias("b")).select(
-        "id", "text_hash", "b.entity", "b.term", "b.start", "b.end")
-    hit = places.join(disclosing, ["entity", "term"]).groupBy("id", "text_hash", "start", "end").agg(
+    """(text_hash, terms), one row per text that has some: array<struct<start, kind, end, value>> of terms to
+    sanitise, where ``value`` is the class that takes the term's place, or empty."""
+    with_base = found.where(F.size("base") > 0)
+    entities = with_base.select("text_hash", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
+    asked = entities.distinct().join(disclosing, "entity").groupBy("text_hash", "term").agg(
         # removed as soon as one entity asks for it
-        F.max(F.when(F.col("generalised").isNull(), F.lit(1)).otherwise(F.lit(0))).alias("gone"),
-        F.min("generalised").alias("generalised"))
-    span = F.struct("start", F.lit(len(KINDS)).alias("kind"), "end",
-                    F.when(F.col("gone") == 1, "").otherwise(F.col("generalised")).alias("value"))
-    # the spans of one document's own text: as many as its words beside entities
-    return hit.groupBy("id", "text_hash").agg(F.array_sort(F.collect_list(span)).alias("terms"))
+        F.max(F.col("generalised").isNull()).alias("gone"), F.min("generalised").alias("generalised"))
+    # of one text: at most as many as it has different words
+    asked = cut_lineage(asked.groupBy("text_hash").agg(F.map_from_entries(F.collect_list(F.struct(
+        "term", F.when(F.col("gone"), "").otherwise(F.col("generalised")))))
+        .alias("asked")))
+    texts = (counted_marked(with_base, asked, "text_hash", "may").where("may")
+             .groupBy("text_hash").agg(F.first("tokens").alias("tokens"), F.first("gaps").alias("gaps")))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+
+    def step(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + x["gap"]
+        end = begin + F.coalesce(F.length(x["token"]), F.lit(0))
+        value = F.try_element_at(F.col("asked"), F.lower(x["token"]))
+        return F.struct(end.alias("at"), F.when(value.isNotNull(), F.concat(acc["found"], F.array(F.struct(
+            begin.alias("start"), F.lit(len(KINDS)).alias("kind"), end.alias("end"), value.alias("value")))))
+            .otherwise(acc["found"]).alias("found"))
+
+    zipped = F.arrays_zip(F.col("tokens").alias("token"), F.col("gaps").alias("gap"))
+    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
+    return texts.join(asked, "text_hash").select(
+        "text_hash", F.aggregate(zipped, start, step)["found"].alias("terms"))
+
+
+def _with_terms(rows: DataFrame, terms: DataFrame, hash_col: str, out_col: str) -> DataFrame:
+    """``rows`` with the term spans of their texts; rows with equal texts are dealt over ``SALTS`` keys."""
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+    kh, ks, kt, salt = (tmp_name(rows, s) for s in ("term_hash", "term_salt", "term_spans", "salt"))
+    keys = terms.select(F.col("text_hash").alias(kh), F.col("terms").alias(kt),
+                        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(ks))
+    dealt = rows.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    joined = dealt.join(keys, (F.col(hash_col) == F.col(kh)) & (F.col(salt) == F.col(ks)), "left")
+    return joined.withColumn(out_col, F.coalesce(kt, none)).drop(kh, ks, kt, salt)
 
 
 def _joined(spans: Column) -> Column:
@@ -208,16 +264,15 @@ def _joined(spans: Column) -> Column:
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
-                  disclosure: float = DISCLOSURE, near: int = NEAR_WORDS) -> DataFrame:
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  disclosure: float = DISCLOSURE) -> DataFrame:
     """One row per input row: id, base and terms (arrays of spans), spans (both, by start and kind)."""
-    found = found_spans(docs, id_col, text_col, near)
-    terms = term_spans(found, disclosing_terms(docs, found, text_col, support, disclosure))
+    found = found_spans(docs, id_col, text_col)
+    terms = cut_lineage(term_spans(found, disclosing_terms(docs, found, text_col, disclosure)))
     none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
-    keys = terms.select(F.col("id").alias("tid"), F.col("text_hash").alias("thash"), "terms")
     rows = found.select("id", "text_hash", "base")
-    both = rows.join(keys, rows["id"].eqNullSafe(keys["tid"]) & (rows["text_hash"] == keys["thash"]), "left")
-    both = both.withColumn("terms", F.coalesce("terms", none))
+    both = _with_terms(rows.where(F.size("base") > 0), terms, "text_hash", "terms").unionByName(
+        rows.where(F.size("base") == 0).withColumn("terms", none))
     return both.select("id", "text_hash", "base", "terms", F.array_sort(F.concat("base", "terms")).alias("spans"))
 
 
@@ -232,21 +287,19 @@ def digest_columns(spans: DataFrame) -> DataFrame:
                         F.size("terms").cast("long").alias("n_term"))
 
 
-def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
-             disclosure: float = DISCLOSURE, near: int = NEAR_WORDS) -> DataFrame:
+def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             disclosure: float = DISCLOSURE) -> DataFrame:
     """``df`` with base spans replaced by their kind in brackets and disclosing terms by their class
     or nothing. All rows and columns stay; texts without base spans are passed on as they are."""
-    found = found_spans(df, id_col, text_col, near)
-    terms = term_spans(found, disclosing_terms(df, found, text_col, support, disclosure))
-    kh, kt, kb, ki = (tmp_name(df, s) for s in ("hash", "terms", "base", "id"))
-    keys = terms.select(F.col("id").alias(ki), F.col("text_hash").alias(f"{kh}t"), F.col("terms").alias(kt))
+    found = found_spans(df, id_col, text_col)
+    terms = cut_lineage(term_spans(found, disclosing_terms(df, found, text_col, disclosure)))
+    kh, kt, kb = (tmp_name(df, s) for s in ("hash", "terms", "base"))
     text = df[text_col]
     wide = df.withColumn(kb, base_spans(text_or_empty(text)))
     clean = wide.where(F.size(kb) == 0).drop(kb)
     marked = wide.where(F.size(kb) > 0).withColumn(kh, F.xxhash64(text_or_empty(text)))
-    marked = marked.join(keys, marked[id_col].eqNullSafe(keys[ki]) & (marked[kh] == keys[f"{kh}t"]), "left")
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
-    spans = F.array_sort(F.concat(F.col(kb), F.coalesce(F.col(kt), none)))
+    marked = _with_terms(marked, terms, kh, kt)
+    spans = F.array_sort(F.concat(F.col(kb), F.col(kt)))
     marks = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     source = F.col(text_col)
 

@@ -1,7 +1,10 @@
 import hashlib
+import math
 import re
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from pagemill.llm import pii
 
@@ -77,6 +80,72 @@ def test_disclosing_terms_are_found_and_sanitised(spark):
     assert out[100] == corpus()[6][1] and len(out) == len(corpus())
 
 
+def words_of(spans, text):
+    return {text[s["start"]:s["end"]].lower() for s in spans}
+
+
+@pytest.mark.parametrize("told", ["two", "far", "short", "heading"])
+def test_terms_are_found_wherever_they_stand(spark, told):
+    """A name told by two texts, far from the address, of three letters, and in a heading that is kept otherwise."""
+    name = "Lee" if told == "short" else "Zyxwork"
+    filler = " ".join("the other matter about text number thing and".split() * (5 if told == "far" else 1))
+    head = f"{name}\n\n" if told == "heading" else ""
+    rows = [(i, f"{head}note{chr(97 + i)} {name} {filler} boss@corp.example end") for i in range(2)]
+    rows += [(100 + i, f"note the other matter about text number{i} thing and end") for i in range(300)]
+    got = {r["id"]: r for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert words_of(got[0]["terms"], rows[0][1]) == {name.lower()}
+    assert len(got[0]["terms"]) == 1 + (told == "heading")
+    assert not any(r["terms"] for i, r in got.items() if i >= 100)
+
+
+def test_rare_addresses_are_pooled_over_their_domain(spark):
+    rows = [(i, f"person{chr(97 + i)}@acme.example wrote from Qwyx about thing{chr(97 + i)}") for i in range(8)]
+    rows += [(100 + i, f"someone wrote from there about text number{i}") for i in range(300)]
+    got = {r["id"]: r for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(words_of(got[i]["terms"], rows[i][1]) == {"qwyx"} for i in range(8))
+
+
+def brute_scores(texts, disclosure):
+    """The pairs beyond the threshold, counted plainly over sets of words."""
+    def tokens(text):
+        keep = re.sub(PATTERNS["email"], lambda m: " " * len(m[0]), text)
+        return {w.lower() for w in re.findall(r"[^\W\d_]+", keep)}
+
+    texts = set(texts)
+    terms = {t: {x for w in tokens(t) for x in ((w, w[:3] + "*") if len(w) > 3 else (w,))} for t in texts}
+    mails = {t: {m[0].lower() for m in re.finditer(PATTERNS["email"], t)} for t in texts}
+    total = len(texts)
+
+    def share(both, with_term, with_entity, n):
+        p = both / max(with_term, 1)
+        m = max(with_term, 1)
+        low = (p + 0.5 / m - math.sqrt(p * (1 - p) / m + 0.25 / m ** 2)) / (1 + 1 / m)
+        of = math.log2(n / max(with_entity, 1))
+        return min(max(math.log2(low * n / with_entity) / of, 0), 1) if both and low > 0 and of > 0 else 0
+
+    found = set()
+    for e in set().union(*mails.values()):
+        holds = {t for t in texts if e in mails[t]}
+        rest = {t for t in texts if any(m.split("@")[1] == e.split("@")[1] for m in mails[t])} - holds
+        for w in set().union(*(terms[t] for t in holds)):
+            has = {t for t in texts if w in terms[t]}
+            c, r = len(holds & has), len(rest & has)
+            prior = r / (r + 1) * share(r, len(has) - c, len(rest), total - len(holds))
+            if (c * share(c, len(has), len(holds), total) + prior) / (c + 1) >= disclosure:
+                found.add((f"0:{e}", w))
+    return {(e, w, None if (e, w[:3] + "*") in found or len(w) < 4 else w[:3] + "*") for e, w in found if w[-1] != "*"}
+
+
+@given(st.lists(st.lists(st.sampled_from(["aa", "bbbb", "bbbc", "ccccc", "d", "m@x.yz", "n@x.yz", "o@v.w", "É.", "eé1"]),
+                         min_size=1, max_size=5), min_size=1, max_size=25))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+def test_disclosing_pairs_match_brute_force(spark, parts):
+    texts = [" ".join(p) for p in parts] + ["f g", "f h", "bbbb q", "g i j"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = pii.disclosing_terms(df, pii.found_spans(df))
+    assert {(r["entity"], r["term"], r["generalised"]) for r in got.collect()} == brute_scores(texts, pii.DISCLOSURE)
+
+
 def test_copies_are_no_evidence(spark):
     rows = [(i, "zyxwork wrote to boss@corp.example again") for i in range(9)] + [(50 + i, f"text {i}") for i in range(90)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
