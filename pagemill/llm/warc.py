@@ -1,10 +1,13 @@
 """Deterministic sharded WARC writer, and a reader of its archives.
 
 Records are range-sorted by id, so a shard holds a stretch of ids. Where a range
-ends is planned from a histogram of payload bytes over the ids (of fixed size),
-not from a random sample, and inside a range a shard is rolled when its
-compressed size reaches ``shard_bytes``: the same rows give the same files,
-byte for byte. Headers, record ids and digests are made anew from the payload.
+ends is planned from a histogram of payload bytes over the ids, not from a random
+sample: cells heavier than ``range_bytes`` are split and counted again until none is,
+however the ids are spread, and a single id (or null) that is heavier is split by
+digest. Inside a range a shard is rolled when its compressed size reaches
+``shard_bytes``: the same rows give the same files, byte for byte. Headers, record
+ids and digests are made anew from the payload. The driver holds four numbers for each
+``range_bytes`` of payload at most (about 200 MB for 100 TB).
 
 Of records with equal payloads of at least ``least_bytes`` bytes the one with
 the smallest id is a response, the others revisit it.
@@ -20,7 +23,8 @@ Cases: a null html is an empty payload; a null id comes before the others and is
 without the id header; a null url is written without a target; rows repeated
 with the same id and payload are one response and revisits of it (or all responses, if
 short). An empty table gives an empty manifest and no shard. Other columns are
-not read. A payload is held whole in one task, shards and ranges are not.
+not read. A payload is held whole in one task, shards and ranges are not. Archives are
+read back by one task a shard (``MAX_TASKS`` tasks at most, dealt evenly).
 """
 
 from __future__ import annotations
@@ -30,16 +34,20 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hash_marked, text_or_empty
+from .common import counted_marked, cut_lineage, text_or_empty
 
-SHARD_BYTES = 64 << 20
-RANGE_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
+RANGE_BYTES = 64 << 20
 LEAST_BYTES = 100
-BUCKETS = 1 << 12
+#: Cells of the first histogram, and the fewest of a later one.
+CELLS = 1 << 12
+MAX_TASKS = 20_000
 DATE = "2000-01-01T00:00:00Z"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL name space of RFC 4122
 MANIFEST = "shard string, records long, bytes long, sha256 string, first_id long, last_id long"
@@ -87,6 +95,10 @@ def _file_system(folder: str) -> tuple:
     return FileSystem.from_uri(folder)
 
 
+def _name(part: int, roll: int) -> str:
+    return f"pages-{part:09d}-{roll:05d}.warc.gz"
+
+
 class _Shard:
     """A shard being written under a temporary name."""
 
@@ -110,22 +122,67 @@ class _Shard:
         return self.name, self.records, self.bytes, self.sha.hexdigest(), self.ids[0], self.ids[-1]
 
 
-def _ranges(narrow: DataFrame, range_bytes: int) -> list[int]:
-    """First ids of the ranges after the first: from a histogram of bytes over the ids."""
-    span = narrow.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high")).first()
-    if span["low"] is None:
-        return []
-    width = max(1, -(-(span["high"] - span["low"] + 1) // BUCKETS))
-    bucket = F.expr(f"(page_id - {span['low']}L) div {width}")
-    filled = narrow.where("page_id is not null").groupBy(bucket.alias("bucket")).agg(
-        F.sum("payload_bytes").alias("size")).collect()  # at most BUCKETS rows
-    cuts, held = [], 0
-    for b, size in sorted((r["bucket"], r["size"]) for r in filled):
-        if held and held + size > range_bytes:
-            cuts.append(span["low"] + b * width)
-            held = 0
-        held += size
-    return cuts
+class _Ranges:
+    """The plan: ``starts`` are the first ids of the ranges after the first, which holds the null ids alone;
+    range k is cut into ``subs[k]`` parts by digest, of which the first is number ``base[k]``."""
+
+    def __init__(self, sizes: list[tuple[int, int]], null_bytes: int, range_bytes: int) -> None:
+        starts, subs, held = [], [max(1, -(-null_bytes // range_bytes))], 0
+        for first, size in sizes:
+            if not starts or held + size > range_bytes:
+                starts.append(first)
+                subs.append(max(1, -(-size // range_bytes)))
+                held = 0
+            held += size
+        self.starts, self.subs = np.array(starts, "int64"), np.array(subs, "int64")
+        self.base = np.concatenate([[0], np.cumsum(self.subs)[:-1]]).astype("int64")
+        self.parts = int(self.subs.sum())
+
+    def part(self, page_id: Column, digest: Column) -> Column:
+        starts, subs, base = self.starts, self.subs, self.base
+
+        def run(ids: pd.Series, absent: pd.Series, prefix: pd.Series) -> pd.Series:
+            k = np.where(absent, 0, np.searchsorted(starts, ids.to_numpy("int64"), side="right"))
+            return pd.Series(base[k] + (prefix.to_numpy("int64") * subs[k] >> 16))
+
+        return F.pandas_udf(run, "long")(F.coalesce(page_id, F.lit(0)), page_id.isNull(),
+                                         F.conv(F.substring(digest, 1, 4), 16, 10).cast("long"))
+
+
+def _ranges(narrow: DataFrame, range_bytes: int, cells: int = CELLS) -> _Ranges:
+    """Plan from histograms of bytes over the ids, each finer where the last one was too heavy."""
+    span = narrow.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high"), F.sum(F.when(
+        F.col("page_id").isNull(), F.col("payload_bytes"))).alias("null"), F.sum("payload_bytes").alias("all")).first()
+    sizes: list[tuple[int, int]] = []
+    heavy = [] if span["low"] is None else [(span["low"], span["high"] + 1)]
+    most = max(cells, 4 * (span["all"] or 0) // range_bytes)
+    while heavy:
+        edges = []  # first id of each cell, and the end of the last one of each heavy stretch
+        for low, high in heavy:
+            width = max(1, -(-(high - low) // max(2, most // len(heavy))))
+            edges.extend((at, min(at + width, high)) for at in range(low, high, width))
+        firsts, ends = (np.array(e, "object") for e in zip(*edges))
+        counted = _cell_sizes(narrow, firsts.astype("int64"), np.array([e - 1 for e in ends], "int64"))
+        heavy = []
+        for cell, size in counted:
+            low, high = edges[cell]
+            if size > range_bytes and high - low > 1:
+                heavy.append((low, high))
+            else:
+                sizes.append((low, size))
+    return _Ranges(sorted(sizes), span["null"] or 0, range_bytes)
+
+
+def _cell_sizes(narrow: DataFrame, firsts: np.ndarray, lasts: np.ndarray) -> list[tuple[int, int]]:
+    """(cell, bytes) of the cells that hold rows."""
+    def run(ids: pd.Series) -> pd.Series:
+        of = ids.to_numpy("int64")
+        k = np.searchsorted(firsts, of, side="right") - 1
+        return pd.Series(np.where((k >= 0) & (of <= lasts[np.maximum(k, 0)]), k, -1))
+
+    cell = F.pandas_udf(run, "long")("page_id")
+    rows = narrow.where("page_id is not null").select(cell.alias("cell"), "payload_bytes").where("cell >= 0")
+    return [(r["cell"], r["size"]) for r in rows.groupBy("cell").agg(F.sum("payload_bytes").alias("size")).collect()]
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -137,20 +194,17 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].alias("url"), html.alias("html"))
     rows = rows.withColumns({"digest": F.sha2(F.col("html").cast("binary"), 256),
                              "payload_bytes": F.octet_length("html").cast("long")})
-    narrow = rows.select("page_id", "digest", "payload_bytes")
+    narrow = cut_lineage(rows.select("page_id", "digest", "payload_bytes"))
     # payloads that occur more than once: partial aggregation, whatever the size of a group
-    repeated = (narrow.where(F.col("payload_bytes") >= least_bytes).groupBy("digest")
-                .agg(F.count(F.lit(1)).alias("copies"), F.min("page_id").alias("first_id")).where("copies > 1")
-                .select("digest", "first_id"))
-    marked = hash_marked(rows, repeated, "digest", "may_repeat")
+    repeated = cut_lineage(narrow.where(F.col("payload_bytes") >= least_bytes).groupBy("digest")
+                           .agg(F.count(F.lit(1)).alias("copies"), F.min("page_id").alias("first_id")).where("copies > 1")
+                           .select("digest", "first_id"))
+    marked = counted_marked(rows, repeated, "digest", "may_repeat")
     single = marked.where("not may_repeat").withColumn("first_id", F.lit(None).cast("long")).withColumn("shared", F.lit(False))
     copies = (marked.where("may_repeat").join(repeated.withColumn("shared", F.lit(True)), "digest", "left")
               .withColumn("shared", F.coalesce("shared", F.lit(False))))
     both = single.unionByName(copies).drop("may_repeat")
-    cuts = _ranges(narrow, range_bytes)
-    bounds = F.array(*(F.lit(c) for c in cuts)).cast("array<long>")
-    part = F.when(F.col("page_id").isNull(), 0).otherwise(
-        F.size(F.filter(bounds, lambda c: c <= F.col("page_id"))))
+    plan = _ranges(narrow, range_bytes)
     sort = ["part", "page_id", "digest", "url"]
     columns = [*sort, "html", "shared", "first_id"]
 
@@ -165,7 +219,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
                         done.append(shard.commit())
                         shard = None
                 if shard is None:
-                    shard = _Shard(folder, f"pages-{p:06d}-{roll:05d}.warc.gz")
+                    shard = _Shard(folder, _name(p, roll))
                 # the smallest id responds; of rows that repeat it, the first in this order
                 revisit = shared and ((page_id, digest) == last or page_id != first_id)
                 last = (page_id, digest)
@@ -181,9 +235,11 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
             yield pa.RecordBatch.from_pydict({n: list(c) for n, c in zip(names, zip(*done), strict=True)}, schema=pa.schema(
                 [(n, pa.string() if n in ("shard", "sha256") else pa.int64()) for n in names]))
 
-    # a range stays in one task, and a task takes whole ranges
-    sorted_rows = (both.withColumn("part", part).select(*columns)
-                   .repartition(len(cuts) + 1, "part").sortWithinPartitions(*sort))
+    # a part stays in one task, a task takes a stretch of parts, and parts are dealt by their number
+    tasks = min(plan.parts, MAX_TASKS)
+    sorted_rows = (both.withColumn("part", plan.part(F.col("page_id"), F.col("digest"))).select(*columns)
+                   .repartitionById(tasks, F.expr(f"cast(part * {tasks}L div {plan.parts}L as int)"))
+                   .sortWithinPartitions(*sort))
     sorted_rows.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
 
 
@@ -248,8 +304,11 @@ def read(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFr
                 if held:
                     yield batch_of(held)
 
-    # one task a shard, or as many as there are cores to share them
-    shards = manifest.select("shard").repartition("shard")
+    # parts first, then the second shards of all parts: about one shard a task
+    made = manifest.agg(F.count(F.lit(1)).alias("n"), F.max(F.substring("shard", 7, 9).cast("long")).alias("last")).first()
+    tasks = max(1, min(made["n"], MAX_TASKS))
+    at = F.substring("shard", 7, 9).cast("long") + F.substring("shard", 17, 5).cast("long") * ((made["last"] or 0) + 1)
+    shards = manifest.select("shard").repartitionById(tasks, (at % tasks).cast("int"))
     return shards.mapInArrow(run, schema)
 
 

@@ -66,6 +66,32 @@ def test_same_rows_same_bytes(spark, frame, tmp_path):
         k: (len(v), hashlib.sha256(v).hexdigest()) for k, v in shards[0].items()}
 
 
+def test_ranges_follow_the_bytes_however_ids_are_spread(spark):
+    """Far-off ids, clusters, an id and nulls that are heavier than a range: parts are bounded and in order."""
+    ids = [*range(2000), *range(10 ** 12, 10 ** 12 + 500), 2 ** 62, -(2 ** 62), *[77] * 600, *[None] * 600]
+    rows = [(i, hashlib.sha256(str(k).encode()).hexdigest(), 100) for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "page_id long, digest string, payload_bytes long")
+    plan = warc._ranges(df, 10_000, cells=16)
+    got = df.withColumn("part", plan.part(F.col("page_id"), F.col("digest"))).collect()
+    size = {}
+    for r in got:
+        size[r["part"]] = size.get(r["part"], 0) + 100
+    assert max(size.values()) <= 15_000 and len(size) <= plan.parts < 2.5 * len(ids) * 100 / 10_000
+    order = sorted(got, key=lambda r: (r["page_id"] is not None, r["page_id"] or 0, r["digest"]))
+    assert [r["part"] for r in order] == sorted(r["part"] for r in got)
+
+
+def test_one_task_a_shard(spark, frame, tmp_path):
+    folder = f"file://{tmp_path}/a"
+    warc.write(frame.unionByName(frame.limit(1).withColumn("page_id", F.lit(2 ** 61))), folder, shard_bytes=2000,
+               range_bytes=20_000)
+    shards = spark.read.parquet(f"{folder}/manifest").count()
+    read = warc.read(spark, folder)
+    assert shards > 10 and read.rdd.getNumPartitions() == shards
+    tasks = read.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > shards / 2
+
+
 def test_damage_is_noticed_and_strays_are_not_read(spark, frame, tmp_path):
     folder = f"file://{tmp_path}/a"
     warc.write(frame, folder)
