@@ -162,7 +162,9 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id
     text = text_or_empty(docs[text_col])
     sample = (docs.select(docs[id_col].alias("id"), text.alias("text"))
               .join(F.broadcast(picked), "id")  # at most max_labelled narrow rows
-              .withColumn("text_hash", F.xxhash64("text")).dropDuplicates(["text_hash"]))
+              # of equal texts with different labels the largest label counts, as for equal ids
+              .groupBy(F.xxhash64("text").alias("text_hash"))
+              .agg(F.first("text").alias("text"), *(F.max(y).alias(y) for y in ys)))
 
     def make():
         return lambda c: ((h, *y, sorted(terms(t))) for h, t, *y in zip(c["text_hash"], c["text"], *(c[y] for y in ys),

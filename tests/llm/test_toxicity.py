@@ -84,3 +84,19 @@ def test_whole_settings_of_the_classifier(spark):
     texts = [(i, f"w{'abcdefghij'[i % 10]}x{'abcdefghij'[i // 10]}" + (" grumpf" if i in (0, 1, 10, 11, 12) else "")) for i in range(40)]
     d, l = frames(spark, texts, [(i, 1, int(i < 6)) for i in range(40)])
     assert tox.fit_chain(d, l, CATEGORIES).links[1].weights.get("grumpf", 0) > 0
+
+
+def test_equal_texts_with_different_labels_count_as_the_largest(spark):
+    """The order of the rows decides nothing: a text labelled both ways is toxic."""
+    docs, labels = corpus(3, 300)
+    docs += [(1000 + i, docs[i][1]) for i in range(300)]
+    labels += [(1000 + i, 1, 0) for i in range(300)]
+    chains = []
+    for order in (1, -1):
+        d, l = frames(spark, docs[::order], labels[::order])
+        chains.append(tox.fit_chain(d, l, CATEGORIES))
+    texts = [t for _, t in docs[:40]]
+    for t in texts:
+        assert np.allclose(chains[0].probabilities(t), chains[1].probabilities(t), atol=1e-9)
+    told = [chains[0].probabilities(t)[1] > 0.5 for t in texts]
+    assert sum(a == bool(y[2]) for a, y in zip(told, labels)) >= 36
