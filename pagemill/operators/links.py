@@ -86,8 +86,11 @@ def link_rows(responses: DataFrame, step: Step, wf: Workflow, profile: str = "wo
     # the values of all rules are columns of the page before its links are exploded: a generator in the same
     # projection would come first, and every other rule be evaluated once a link
     found = responses.select(F.col("url").alias("_base"), F.col("meta"), F.col("seq"), links.alias("_links"), *other_cols)
-    exploded = found.select("_base", "meta", "seq", *[f"_f{i}" for i in range(len(others))],
-                            F.posexplode("_links").alias("_pos", "_raw"))
+    # exploded as an expression: of a bare column Spark infers a filter on its size, and moves that with all it is
+    # made of, the normaliser too, below the projection, so that every page would be parsed a second time
+    placed = F.explode(F.transform("_links", lambda link, i: F.struct(i.alias("_pos"), link.alias("_raw")))).alias("_link")
+    exploded = found.select("_base", "meta", "seq", *[f"_f{i}" for i in range(len(others))], placed).select(
+        "*", "_link.*").drop("_link")
     entries = []
     for i, name in enumerate(others):
         v = padded_value(F.col(f"_f{i}"), F.col("_pos"))
