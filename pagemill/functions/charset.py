@@ -6,8 +6,7 @@ are regex expressions (JVM). UTF-8 decoding is native
 (``make_valid_utf8``, same replacement rule as Python's ``errors='replace'``), and so is
 Latin-1, in which every byte is a character;
 only rows in other charsets, and only rows still undecided for the
-statistical guess, reach a pandas UDF – they are split off by filter so the
-UDF never sees the rest. The guess is that of a ``CharsetModel`` where one is given, else of an
+statistical guess, reach a UDF with their content – it sees nulls for the rest. The guess is that of a ``CharsetModel`` where one is given, else of an
 installed detector.
 """
 
@@ -16,8 +15,10 @@ from __future__ import annotations
 import encodings
 import encodings.aliases
 import pkgutil
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,21 +105,31 @@ def normalize_encoding(name: Column) -> Column:
             .when(valid, n))
 
 
-def charset_from_headers(headers: Column) -> Column:
-    """X11: charset of the Content-Type header (key case-insensitive)."""
+def _header_name(headers: Column) -> Column:
     ct = F.get(F.map_values(F.map_filter(
         F.coalesce(headers, F.create_map().cast("map<string,string>")),
         lambda k, v: F.lower(k) == "content-type")), 0)
     raw = F.regexp_extract(ct, HEADER_CHARSET, 1)
     raw = F.regexp_replace(raw, r"^['\"]+|['\"]+$", "")
-    return normalize_encoding(F.nullif(raw, F.lit("")))
+    return F.nullif(raw, F.lit(""))
+
+
+def charset_from_headers(headers: Column) -> Column:
+    """X11: charset of the Content-Type header (key case-insensitive)."""
+    return normalize_encoding(_header_name(headers))
+
+
+def _head(content: Column) -> Column:
+    return F.make_valid_utf8(F.substring(content, 1, META_SCAN_BYTES).cast("string"))
+
+
+def _meta_name(head: Column) -> Column:
+    return F.coalesce(*[F.nullif(F.regexp_extract(head, p, g), F.lit("")) for p, g in META_PATTERNS])
 
 
 def charset_from_meta(content: Column) -> Column:
     """Charset from a meta tag within the first 2 KB of the bytes."""
-    head = F.make_valid_utf8(F.substring(content, 1, META_SCAN_BYTES).cast("string"))
-    found = F.coalesce(*[F.nullif(F.regexp_extract(head, p, g), F.lit("")) for p, g in META_PATTERNS])
-    return normalize_encoding(found)
+    return normalize_encoding(_meta_name(_head(content)))
 
 
 @F.pandas_udf(T.StructType([T.StructField("encoding", T.StringType()),
@@ -154,16 +165,23 @@ def with_encoding_info(df: DataFrame, content: str = "content", headers: str = "
     ``manual``: an encoding name column (request meta or step config); a
     valid one wins with source 'manual'.
     """
-    h = charset_from_headers(F.col(headers)) if headers in df.columns else F.lit(None).cast("string")
-    m = charset_from_meta(F.col(content))
-    if manual is None:
-        manual = F.lit(None).cast("string")
-    man = normalize_encoding(manual)
-    decided = (F.when(man.isNotNull(), _info(F.lower(F.trim(manual)), F.lit(1.0), F.lit(SOURCE_MANUAL),
-                                             F.lit("manual_config")))
-               .when(h.isNotNull(), _info(h, F.lit(1.0), F.lit(SOURCE_HEADER), F.lit("header")))
-               .when(m.isNotNull(), _info(m, F.lit(0.95), F.lit(SOURCE_META), F.lit("meta"))))
-    df = df.withColumn(out, decided)
+    none = F.lit(None).cast("string")
+    # each piece of evidence is a column of its own, looked for only where nothing before it decides: in one
+    # expression every use of a name would search it again
+    found = df.withColumn("_manual", none if manual is None else F.lower(F.trim(manual)))
+    found = found.withColumn("_man", normalize_encoding(F.col("_manual")))
+    open_ = F.col("_man").isNull()
+    found = found.withColumn("_hname", F.when(open_, _header_name(F.col(headers))) if headers in df.columns else none)
+    found = found.withColumn("_h", normalize_encoding(F.col("_hname")))
+    open_ = open_ & F.col("_h").isNull()
+    found = found.withColumn("_head", F.when(open_, _head(F.col(content))))
+    found = found.withColumn("_mname", F.when(F.col("_head").isNotNull(), _meta_name(F.col("_head"))))
+    found = found.withColumn("_m", normalize_encoding(F.col("_mname")))
+    decided = (F.when(F.col("_man").isNotNull(), _info(F.col("_manual"), F.lit(1.0), F.lit(SOURCE_MANUAL),
+                                                       F.lit("manual_config")))
+               .when(F.col("_h").isNotNull(), _info(F.col("_h"), F.lit(1.0), F.lit(SOURCE_HEADER), F.lit("header")))
+               .when(F.col("_m").isNotNull(), _info(F.col("_m"), F.lit(0.95), F.lit(SOURCE_META), F.lit("meta"))))
+    df = found.withColumn(out, decided).drop("_manual", "_man", "_hname", "_h", "_head", "_mname", "_m")
     default = _info(F.lit("utf-8"), F.lit(0.0), F.lit(SOURCE_DEFAULT), F.lit(None).cast("string"))
     if not statistical:
         return df.withColumn(out, F.coalesce(F.col(out), default))
@@ -229,42 +247,66 @@ def with_decoded_body(df: DataFrame, content: str = "content", info: str = "enco
     return native.unionByName(other)
 
 
-@F.pandas_udf(T.StructType([T.StructField("encoding", T.StringType()),
-                            T.StructField("confidence", T.DoubleType()),
-                            T.StructField("body", T.StringType()),
-                            T.StructField("error", T.StringType())]))
-def _guess_and_decode(content: pd.Series, enc: pd.Series, statistical: pd.Series) -> pd.DataFrame:
-    try:
-        from charset_normalizer import from_bytes
-    except ImportError:
-        from_bytes = None
-    out = []
-    for b, e, stat in zip(content, enc, statistical):
-        if b is None:
-            out.append((e or "utf-8", None, None, None))
-            continue
-        b = bytes(b)
-        conf, error = None, None
-        if e is None:
-            e, conf = "utf-8", 0.0
-            if stat and len(b) and from_bytes is not None:
-                best = from_bytes(b).best()
-                if best is not None:
-                    e, conf = best.encoding, float(1.0 - best.chaos)
+_READ = T.StructType([T.StructField("encoding", T.StringType()),
+                      T.StructField("confidence", T.DoubleType()),
+                      T.StructField("body", T.StringType()),
+                      T.StructField("error", T.StringType())])
+_ARROW_READ = pa.struct([("encoding", pa.string()), ("confidence", pa.float64()), ("body", pa.string()), ("error", pa.string())])
+
+#: Characters and rows after which decoded texts go back to the JVM, whatever the size of the batch that came in.
+SLICE_CHARS, SLICE_ROWS = 1 << 21, 1000
+
+
+def _read(b: bytes | None, e: str | None, statistical: bool) -> tuple:
+    if b is None:
+        return e or "utf-8", None, None, None
+    conf, error = None, None
+    if e is None:
+        e, conf = "utf-8", 0.0
         try:
-            text = b.decode(e, errors="replace")
-        except (LookupError, TypeError, ValueError) as exc:  # UnicodeError is a ValueError
-            text, error = b.decode("utf-8", errors="replace"), f"{e}: {exc}"
-        out.append((e, conf, text, error))
-    return pd.DataFrame(out, columns=["encoding", "confidence", "body", "error"])
+            from charset_normalizer import from_bytes
+        except ImportError:
+            from_bytes = None
+        if statistical and len(b) and from_bytes is not None:
+            best = from_bytes(b).best()
+            if best is not None:
+                e, conf = best.encoding, float(1.0 - best.chaos)
+    try:
+        text = b.decode(e, errors="replace")
+    except (LookupError, TypeError, ValueError) as exc:  # UnicodeError is a ValueError
+        text, error = b.decode("utf-8", errors="replace"), f"{e}: {exc}"
+    return e, conf, text, error
+
+
+def _read_slices(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    """Guessed and decoded rows in slices: a worker holds one batch as it came and one slice of texts."""
+    for batch in batches:
+        out, chars = [], 0
+        for row in zip(*batch):
+            out.append(_read(*(v.as_py() for v in row)))
+            chars += len(out[-1][2] or "")
+            if chars >= SLICE_CHARS or len(out) >= SLICE_ROWS:
+                yield _read_array(out)
+                out, chars = [], 0
+        if out:
+            yield _read_array(out)
+
+
+def _read_array(rows: list) -> pa.Array:
+    return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW_READ)], fields=list(_ARROW_READ))
+
+
+@F.arrow_udf(_READ)
+def _guess_and_decode(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    return _read_slices(batches)
 
 
 def decode_content(df: DataFrame, content: str = "content", headers: str = "headers",
                    manual: Column | None = None, statistical: bool = True,
                    info: str = "encoding_info", out: str = "body", model: CharsetModel | None = None) -> DataFrame:
-    """X14-X17 in two branches: rows whose charset is decided by manual /
-    header / meta evidence and is UTF-8 or Latin-1 decode JVM-side; every other row goes
-    through one pandas UDF that guesses (if undecided) and decodes. A charset that
+    """X14-X17 in one pass: rows whose charset is decided by manual /
+    header / meta evidence and is UTF-8 or Latin-1 decode JVM-side and are null for the
+    UDF that guesses (if undecided) and decodes all others. A charset that
     fails to decode leaves its message in ``encoding_error`` and the UTF-8 reading as text.
     ``model``: undecided rows are guessed by it, and what it leaves open is UTF-8."""
     decided = with_encoding_info(df, content, headers, manual, statistical=False, out="_dec")
@@ -277,23 +319,18 @@ def decode_content(df: DataFrame, content: str = "content", headers: str = "head
     else:
         undecided = src == SOURCE_DEFAULT
     enc = F.col("_dec.encoding")
-    simple = ~undecided & (_is_utf8(enc) | _is_latin1(enc))
-    native = decided.filter(simple).withColumn(out, F.coalesce(decode_native(F.col(content), enc), F.lit("")))
-    native = native.withColumnRenamed("_dec", info).withColumn("encoding_error", F.lit(None).cast("string"))
-    rest = decided.filter(~simple)
-    g = _guess_and_decode(F.col(content), F.when(~undecided, F.col("_dec.encoding")),
-                          F.lit(bool(statistical)))
-    rest = rest.withColumn("_g", g)
-    guessed = F.col("_g.confidence").isNotNull() & (F.col("_g.confidence") > 0) & undecided
-    rest = (rest.withColumn(info, F.when(
-                ~undecided, F.col("_dec"))
-                .when(guessed, _info(F.col("_g.encoding"), F.col("_g.confidence"),
-                                     F.lit(SOURCE_STAT), F.lit("chardet")))
-                .otherwise(F.col("_dec")))
-            .withColumn(out, F.coalesce(F.col("_g.body"), F.lit("")))
-            .withColumn("encoding_error", F.col("_g.error"))
-            .drop("_g", "_dec"))
-    return native.unionByName(rest)
+    # flags and guess are columns, not filters: those would move below the projections and search the evidence again
+    read = decided.withColumn("_undecided", undecided)
+    read = read.withColumn("_simple", ~F.col("_undecided") & (_is_utf8(enc) | _is_latin1(enc)))
+    read = read.withColumn("_g", _guess_and_decode(F.when(~F.col("_simple"), F.col(content)),
+                                                   F.when(~F.col("_undecided"), enc), F.lit(bool(statistical))))
+    guessed = F.col("_undecided") & (F.col("_g.confidence") > 0)
+    return (read.withColumn("_dec", F.when(guessed, _info(F.col("_g.encoding"), F.col("_g.confidence"),
+                                                          F.lit(SOURCE_STAT), F.lit("chardet"))).otherwise(F.col("_dec")))
+            .withColumn(out, F.coalesce(F.when(F.col("_simple"), decode_native(F.col(content), enc))
+                                        .otherwise(F.col("_g.body")), F.lit("")))
+            .withColumn("encoding_error", F.when(~F.col("_simple"), F.col("_g.error")))
+            .drop("_g", "_simple", "_undecided").withColumnRenamed("_dec", info))
 
 
 def header_value(headers: Column, name: str) -> Column:
