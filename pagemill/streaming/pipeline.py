@@ -17,8 +17,10 @@ are the tasks over file partitions.
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import pandas as pd
@@ -40,6 +42,9 @@ from pagemill.streaming.ledger import EXACTLY_ONCE, Ledger
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: Most rows and bytes of an Arrow batch between a stream and its Python workers: by default 10,000 rows and 64 MB.
+STREAM_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 512, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
+
 RESPONSE_COLS = ["url", "status", "http_status", "headers", "body", "meta", "requested_at",
                  "error", "encoding", "encoding_confidence", "encoding_source", "body_reencoded",
                  "encoding_error", "seq"]
@@ -50,6 +55,31 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def _started_with(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings for the queries started inside, which keep them to their end; the session gets its own back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _small_batches(spark: SparkSession) -> dict[str, str]:
+    """The settings of ``STREAM_BATCH`` where the session allows larger batches. Each worker holds the batch that came
+    in, and the one with state also two data frames a key until as many keys as a batch has rows are done: a task's
+    rows grow with the input until a batch is full, and the memory of all its workers with them."""
+    small = {}
+    for key, most in STREAM_BATCH.items():
+        now = re.fullmatch(r"(\d+)([kmgt]?)b?", (spark.conf.get(key) or "").strip().lower())  # bytes may come with their unit
+        if not now or not 0 < int(now[1]) * 1024 ** " kmgt".index(now[2] or " ") <= most:
+            small[key] = str(most)
+    return small
+
+
 def read_request_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     r = spark.readStream.schema(schemas.REQUEST)
     if max_files:
@@ -186,13 +216,9 @@ def start_link_dedup_stream(spark: SparkSession, requests: DataFrame, sink_dir:
         _first_of_key, "link_hash string, row string", "seen boolean", "append", "NoTimeout")
     won = won.select("link_hash", F.from_json("row", row).alias("r")).select(*[F.col("r")[f.name].alias(f.name) for f in columns],
                                                                              "link_hash")
-    before = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ROCKSDB)  # the query keeps the settings it starts with
-    try:
+    with _started_with(spark, {STATE_STORE: ROCKSDB, **_small_batches(spark)}):
         return (won.writeStream.format("parquet").option("path", sink_dir).outputMode("append")
                 .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
-    finally:
-        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
 
 
 __all__ = ["start_fetch_stream", "start_extract_stream", "start_link_dedup_stream",
